@@ -1,0 +1,168 @@
+"""A page as a small tree, and the few CSS selector forms the page layouts use."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+VOID = frozenset(
+    "area base br col embed hr img input link meta param source track wbr".split()
+)
+NO_TEXT = frozenset(("script", "style", "template"))
+
+
+class Node:
+    __slots__ = ("attrs", "kids", "parent", "tag")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.kids: list[Node | str] = []
+
+    def walk(self) -> Iterator[Node]:
+        todo = [k for k in reversed(self.kids) if isinstance(k, Node)]
+        while todo:
+            node = todo.pop()
+            yield node
+            todo.extend(k for k in reversed(node.kids) if isinstance(k, Node))
+
+    def text(self) -> str:
+        out: list[str] = []
+        todo: list[Node | str] = list(reversed(self.kids))
+        while todo:
+            item = todo.pop()
+            if isinstance(item, str):
+                out.append(item)
+            elif item.tag not in NO_TEXT:
+                todo.extend(reversed(item.kids))
+        return " ".join(" ".join(out).split())
+
+    def up(self) -> Iterator[Node]:
+        node = self.parent
+        while node is not None:
+            yield node
+            node = node.parent
+
+
+class Builder(HTMLParser):
+    """Tree of a page; an end tag closes up to its nearest open start tag, stray ones are ignored."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.here = Node("", {}, None)
+        self.open: dict[str, int] = {}
+
+    def handle_starttag(self, tag, attrs):
+        first: dict[str, str] = {}
+        for key, value in attrs:
+            first[key] = value or ""
+        node = Node(tag, first, self.here)
+        self.here.kids.append(node)
+        if tag not in VOID:
+            self.here = node
+            self.open[tag] = self.open.get(tag, 0) + 1
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        while self.open.get(tag):
+            closed, self.here = self.here, self.here.parent
+            self.open[closed.tag] -= 1
+            if closed.tag == tag:
+                break
+
+    def handle_data(self, data):
+        kids = self.here.kids
+        if kids and isinstance(kids[-1], str):
+            kids[-1] += data
+        else:
+            kids.append(data)
+
+
+def parse_page(page: str) -> Node:
+    builder = Builder()
+    builder.feed(page)
+    builder.close()
+    return builder.root
+
+
+_STEP = re.compile(
+    r"\s*(?P<child>>)\s*|(?P<gap>\s+)|(?P<tag>[a-zA-Z][\w-]*)|\.(?P<cls>[\w-]+)"
+    r"|(?P<neg>:not\()?\[(?P<attr>[\w-]+)(?:(?P<op>[*^]?=)['\"](?P<val>[^'\"]*)['\"]"
+    r"(?P<ci>\s+i)?)?\](?(neg)\))"
+)
+
+
+def _parse_selector(selector: str):
+    """Alternatives of ``tag``, ``.class``, ``[a]``, ``[a='v']``, ``[a*='v' i]``, ``[a^='v']``,
+    ``:not([a])``, joined by blanks (inside) or ``>`` (directly inside)."""
+    alternatives = []
+    for option in selector.split(","):
+        steps, tests, link, at, text = [], [], " ", 0, option.strip()
+        while at < len(text):
+            m = _STEP.match(text, at)
+            if m is None or m.end() == at:
+                raise ValueError(f"selector not understood: {selector}")
+            at = m.end()
+            if m["child"] or m["gap"]:
+                steps.append((link, tests))
+                tests, link = [], ">" if m["child"] else " "
+            elif m["tag"]:
+                tests.append(("tag", m["tag"].lower(), "", False, False))
+            elif m["cls"]:
+                tests.append(("class", m["cls"], "", False, False))
+            else:
+                tests.append((m["op"] or "has", m["attr"], m["val"] or "", bool(m["ci"]), bool(m["neg"])))
+        steps.append((link, tests))
+        alternatives.append(steps)
+    return alternatives
+
+
+def _passes(node: Node, tests) -> bool:
+    for op, name, want, fold, negate in tests:
+        if op == "tag":
+            ok = node.tag == name
+        elif op == "class":
+            ok = name in node.attrs.get("class", "").split()
+        else:
+            have = node.attrs.get(name)
+            ok = have is not None
+            if ok and op != "has":
+                if fold:
+                    have, want = have.lower(), want.lower()
+                ok = (
+                    have == want if op == "=" else have.startswith(want) if op == "^=" else want in have
+                )
+        if ok == negate:
+            return False
+    return True
+
+
+def _matches(node: Node, steps, at: int | None = None) -> bool:
+    at = len(steps) - 1 if at is None else at
+    link, tests = steps[at]
+    if not _passes(node, tests):
+        return False
+    if at == 0:
+        return True
+    if link == ">":
+        return node.parent is not None and _matches(node.parent, steps, at - 1)
+    return any(_matches(above, steps, at - 1) for above in node.up())
+
+
+class Selector:
+    def __init__(self, text: str):
+        self.options = _parse_selector(text)
+
+    def all(self, node: Node) -> Iterator[Node]:
+        return (n for n in node.walk() if any(_matches(n, s) for s in self.options))
+
+    def one(self, node: Node) -> Node | None:
+        return next(self.all(node), None)
+
+    def one_text(self, node: Node) -> str:
+        hit = self.one(node)
+        return hit.text() if hit is not None else ""

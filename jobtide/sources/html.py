@@ -3,22 +3,28 @@
 Spark has no HTML type, and nested or unclosed elements are out of reach of regular expressions,
 so one Arrow-batched function per page returns plain structs.  Everything after that (exploding,
 URL handling, joining, de-duplication) is DataFrame work.  The helper keeps to the standard
-library and knows only the selector forms listed in :func:`_parse_selector`.
+library (``dom``) and knows only the selector forms listed there.
 """
 
 from __future__ import annotations
 
-import re
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.text import as_col
 from jobtide.functions.urls import absolute_url, best_url, canonical_url, is_detail_url
+from jobtide.sources import dom
+from jobtide.sources.dom import Node, Selector, parse_page
+
+# Tasks get the page code with the function itself, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(dom)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CARD_FIELDS = ("url", "title", "company", "location_raw", "posted_date", "employment_type")
 FACT_FIELDS = (
@@ -28,12 +34,6 @@ CARD_TYPE = "array<struct<" + ",".join(f"{f}:string" for f in CARD_FIELDS) + ">>
 RAW_CARD_TYPE = CARD_TYPE.replace("url:string", "links:array<string>")
 FACT_TYPE = "struct<" + ",".join(f"{f}:string" for f in FACT_FIELDS) + ">"
 
-_VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
-_NO_TEXT = frozenset(("script", "style", "template"))
-
-
 @dataclass(frozen=True)
 class PageLayout:
     """Selectors of one site.  Lists are tried in order, the first non-empty result wins."""
@@ -81,167 +81,11 @@ class PageLayout:
     reserved: tuple[str, ...] = ("search", "results")
 
 
-class _Node:
-    __slots__ = ("attrs", "kids", "parent", "tag")
-
-    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.kids: list[_Node | str] = []
-
-    def walk(self) -> Iterator[_Node]:
-        todo = [k for k in reversed(self.kids) if isinstance(k, _Node)]
-        while todo:
-            node = todo.pop()
-            yield node
-            todo.extend(k for k in reversed(node.kids) if isinstance(k, _Node))
-
-    def text(self) -> str:
-        out: list[str] = []
-        todo: list[_Node | str] = list(reversed(self.kids))
-        while todo:
-            item = todo.pop()
-            if isinstance(item, str):
-                out.append(item)
-            elif item.tag not in _NO_TEXT:
-                todo.extend(reversed(item.kids))
-        return " ".join(" ".join(out).split())
-
-    def up(self) -> Iterator[_Node]:
-        node = self.parent
-        while node is not None:
-            yield node
-            node = node.parent
-
-
-class _Builder(HTMLParser):
-    """Tree of a page; an end tag closes up to its nearest open start tag, stray ones are ignored."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = _Node("", {}, None)
-        self.open: dict[str, int] = {}
-
-    def handle_starttag(self, tag, attrs):
-        first: dict[str, str] = {}
-        for key, value in attrs:
-            first[key] = value or ""
-        node = _Node(tag, first, self.here)
-        self.here.kids.append(node)
-        if tag not in _VOID:
-            self.here = node
-            self.open[tag] = self.open.get(tag, 0) + 1
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        while self.open.get(tag):
-            closed, self.here = self.here, self.here.parent
-            self.open[closed.tag] -= 1
-            if closed.tag == tag:
-                break
-
-    def handle_data(self, data):
-        kids = self.here.kids
-        if kids and isinstance(kids[-1], str):
-            kids[-1] += data
-        else:
-            kids.append(data)
-
-
-def _tree(page: str) -> _Node:
-    builder = _Builder()
-    builder.feed(page)
-    builder.close()
-    return builder.root
-
-
-_STEP = re.compile(
-    r"\s*(?P<child>>)\s*|(?P<gap>\s+)|(?P<tag>[a-zA-Z][\w-]*)|\.(?P<cls>[\w-]+)"
-    r"|(?P<neg>:not\()?\[(?P<attr>[\w-]+)(?:(?P<op>[*^]?=)['\"](?P<val>[^'\"]*)['\"]"
-    r"(?P<ci>\s+i)?)?\](?(neg)\))"
-)
-
-
-def _parse_selector(selector: str):
-    """Alternatives of ``tag``, ``.class``, ``[a]``, ``[a='v']``, ``[a*='v' i]``, ``[a^='v']``,
-    ``:not([a])``, joined by blanks (inside) or ``>`` (directly inside)."""
-    alternatives = []
-    for option in selector.split(","):
-        steps, tests, link, at, text = [], [], " ", 0, option.strip()
-        while at < len(text):
-            m = _STEP.match(text, at)
-            if m is None or m.end() == at:
-                raise ValueError(f"selector not understood: {selector}")
-            at = m.end()
-            if m["child"] or m["gap"]:
-                steps.append((link, tests))
-                tests, link = [], ">" if m["child"] else " "
-            elif m["tag"]:
-                tests.append(("tag", m["tag"].lower(), "", False, False))
-            elif m["cls"]:
-                tests.append(("class", m["cls"], "", False, False))
-            else:
-                tests.append((m["op"] or "has", m["attr"], m["val"] or "", bool(m["ci"]), bool(m["neg"])))
-        steps.append((link, tests))
-        alternatives.append(steps)
-    return alternatives
-
-
-def _passes(node: _Node, tests) -> bool:
-    for op, name, want, fold, negate in tests:
-        if op == "tag":
-            ok = node.tag == name
-        elif op == "class":
-            ok = name in node.attrs.get("class", "").split()
-        else:
-            have = node.attrs.get(name)
-            ok = have is not None
-            if ok and op != "has":
-                if fold:
-                    have, want = have.lower(), want.lower()
-                ok = (
-                    have == want if op == "=" else have.startswith(want) if op == "^=" else want in have
-                )
-        if ok == negate:
-            return False
-    return True
-
-
-def _matches(node: _Node, steps, at: int | None = None) -> bool:
-    at = len(steps) - 1 if at is None else at
-    link, tests = steps[at]
-    if not _passes(node, tests):
-        return False
-    if at == 0:
-        return True
-    if link == ">":
-        return node.parent is not None and _matches(node.parent, steps, at - 1)
-    return any(_matches(above, steps, at - 1) for above in node.up())
-
-
-class _Selector:
-    def __init__(self, text: str):
-        self.options = _parse_selector(text)
-
-    def all(self, node: _Node) -> Iterator[_Node]:
-        return (n for n in node.walk() if any(_matches(n, s) for s in self.options))
-
-    def one(self, node: _Node) -> _Node | None:
-        return next(self.all(node), None)
-
-    def one_text(self, node: _Node) -> str:
-        hit = self.one(node)
-        return hit.text() if hit is not None else ""
-
-
-def _first_text(node: _Node, selectors: Sequence[_Selector]) -> str:
+def _first_text(node: Node, selectors: Sequence[Selector]) -> str:
     return next((t for t in (s.one_text(node) for s in selectors) if t), "")
 
 
-def _labelled_value(node: _Node, prefix: str, label: _Selector, value: _Selector) -> str:
+def _labelled_value(node: Node, prefix: str, label: Selector, value: Selector) -> str:
     """Text of the value element beside the first label that starts with the prefix."""
     for hit in label.all(node):
         if hit.text().lower().startswith(prefix.lower()):
@@ -251,7 +95,7 @@ def _labelled_value(node: _Node, prefix: str, label: _Selector, value: _Selector
     return ""
 
 
-def _card_links(card: _Node, anchor: _Selector) -> list[str]:
+def _card_links(card: Node, anchor: Selector) -> list[str]:
     outer = [n for n in list(card.up())[:8] if n.tag == "a" and n.attrs.get("href")]
     return [n.attrs.get("href", "") for n in [*outer, *anchor.all(card)]]
 
@@ -262,12 +106,12 @@ def raw_cards(html: Column | str, layout: PageLayout | None = None) -> Column:
 
     @F.pandas_udf(RAW_CARD_TYPE)
     def cards_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        kinds = [_Selector(s) for s in layout.cards]
-        title, company = _Selector(layout.card_title), _Selector(layout.card_company)
-        date, anchor = _Selector(layout.card_date), _Selector("a[href]")
-        label, value = _Selector(layout.label), _Selector(layout.labelled)
+        kinds = [Selector(s) for s in layout.cards]
+        title, company = Selector(layout.card_title), Selector(layout.card_company)
+        date, anchor = Selector(layout.card_date), Selector("a[href]")
+        label, value = Selector(layout.label), Selector(layout.labelled)
 
-        def facts(card: _Node) -> dict:
+        def facts(card: Node) -> dict:
             return {
                 "links": _card_links(card, anchor),
                 "title": title.one_text(card),
@@ -278,7 +122,7 @@ def raw_cards(html: Column | str, layout: PageLayout | None = None) -> Column:
             }
 
         def one(page: str | None) -> list[dict]:
-            root = _tree(page or "")
+            root = parse_page(page or "")
             found = (list(kind.all(root)) for kind in kinds)
             return [facts(card) for card in next((c for c in found if c), [])]
 
@@ -320,9 +164,9 @@ def labelled_value(
 
     @F.pandas_udf("string")
     def value_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        label, value = _Selector(layout.label), _Selector(layout.labelled)
+        label, value = Selector(layout.label), Selector(layout.labelled)
         for batch in pages:
-            yield batch.map(lambda p: _labelled_value(_tree(p or ""), prefix, label, value))
+            yield batch.map(lambda p: _labelled_value(parse_page(p or ""), prefix, label, value))
 
     return value_of(as_col(html))
 
@@ -341,9 +185,9 @@ def detail_facts(html: Column | str, layout: PageLayout | None = None) -> Column
             "workload_raw": layout.workload,
             "employment_type": layout.contract,
         }
-        ready = {name: [_Selector(s) for s in sel] for name, sel in sources.items()}
+        ready = {name: [Selector(s) for s in sel] for name, sel in sources.items()}
         for batch in pages:
-            trees = [_tree(p or "") for p in batch]
+            trees = [parse_page(p or "") for p in batch]
             yield pd.DataFrame(
                 {name: [_first_text(t, ready[name]) for t in trees] for name in FACT_FIELDS},
                 dtype=object,
@@ -358,11 +202,11 @@ def main_text(html: Column | str, layout: PageLayout | None = None) -> Column:
 
     @F.pandas_udf("string")
     def text_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        body = [_Selector(s) for s in layout.body]
-        teaser, meta = _Selector(layout.teaser), _Selector(layout.body_meta)
+        body = [Selector(s) for s in layout.body]
+        teaser, meta = Selector(layout.teaser), Selector(layout.body_meta)
 
         def one(page: str | None) -> str:
-            root = _tree(page or "")
+            root = parse_page(page or "")
             first = body[0].one(root) if body else None
             if first is not None:
                 cut = teaser.one(first)
@@ -386,12 +230,12 @@ def links(html: Column | str, selector: str = "a[href]") -> Column:
 
     @F.pandas_udf("array<struct<href:string,text:string>>")
     def links_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        wanted = _Selector(selector)
+        wanted = Selector(selector)
         for batch in pages:
             yield batch.map(
                 lambda p: [
                     {"href": n.attrs.get("href", ""), "text": n.text()}
-                    for n in wanted.all(_tree(p or ""))
+                    for n in wanted.all(parse_page(p or ""))
                 ]
             )
 
