@@ -42,8 +42,7 @@ def salary_range(c: Column | str) -> Column:
     def single(pattern: str, marks: str, factor: int = 1) -> Column:
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
         amounts = F.filter(F.transform(found, lambda s: _amount(s, marks, factor)), plausible)
-        first = F.get(amounts, F.lit(0))
-        return F.when(first.isNotNull(), pair(first, first))
+        return F.get(F.transform(amounts, lambda a: pair(a, a)), F.lit(0))
 
     span = rf"(?i){cur}{_WS}([0-9']+){_WS}(?:{fixed.SALARY_RANGE_WORDS}){_WS}([0-9']+)"
     spans = F.zip_with(
@@ -81,9 +80,14 @@ def seniority_from_words(title: Column | str, description: Column | str) -> Colu
     """Level named in the title, else one named unmistakably in the description, else null."""
     title = F.lower(F.coalesce(as_col(title), F.lit("")))
     text = F.lower(F.coalesce(as_col(description), F.lit("")))
-    steps = [(title, level, words) for level, words in fixed.SENIORITY_TITLE_PATTERNS]
-    steps += [(text, level, words) for level, words in fixed.SENIORITY_TEXT_PATTERNS]
-    return F.coalesce(*[F.when(_any_word(t, words), F.lit(level)) for t, level, words in steps])
+
+    def cascade(where: Column, patterns) -> Column:
+        return F.coalesce(*[F.when(_any_word(where, w), F.lit(level)) for level, w in patterns])
+
+    # most descriptions name no level at all: one test for all words spares them the cascade
+    some = "|".join(words for _, words in fixed.SENIORITY_TEXT_PATTERNS)
+    in_text = F.when(_any_word(text, some), cascade(text, fixed.SENIORITY_TEXT_PATTERNS))
+    return F.coalesce(cascade(title, fixed.SENIORITY_TITLE_PATTERNS), in_text)
 
 
 def seniority_of_years(years: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -50,42 +51,40 @@ def absolute_url(base: Column | str, href: Column | str) -> Column:
     )
 
 
+def detail_pattern(
+    base: str,
+    section: Sequence[str] = ("en", "jobs"),
+    reserved: Sequence[str] = ("search", "results"),
+) -> str:
+    """Pattern of a canonical URL below the section root that is not a listing."""
+    path = "/+".join(["", *map(re.escape, section), ""])
+    listing = "|".join(map(re.escape, reserved))
+    other = rf"(?!(?:{listing})(?:/|$))" if listing else ""
+    return rf"^(?={re.escape(base)})[^/?#]*//[^/]*{path}{other}[^/]"
+
+
 def is_detail_url(
     url: Column | str,
     base: str,
     section: Sequence[str] = ("en", "jobs"),
     reserved: Sequence[str] = ("search", "results"),
 ) -> Column:
-    """True for pages of one posting: below the section root and not a listing."""
-    clean = canonical_url(url)
-    parts = path_parts(clean)
-    n = len(section)
-    in_section = F.lit(True)
-    for i, name in enumerate(section):
-        in_section = in_section & (F.get(parts, F.lit(i)) == name)
-    ok = (
-        F.startswith(clean, F.lit(base))
-        & (F.size(parts) > n)
-        & in_section
-        & ~F.get(parts, F.lit(n)).isin(*reserved)
-    )
-    return F.coalesce(ok, F.lit(False))
-
-
-def best_url(urls: Column | str, seen: Column | None = None, marker: str = "/detail/") -> Column:
-    """Best of an array of URLs: with the marker first, then the longest path, then by name.
-
-    URLs in ``seen`` are taken only where nothing else is left.
-    """
-    ranked = F.array_sort(
-        F.transform(
-            F.array_distinct(as_col(urls)),
-            lambda u: F.struct(
-                (F.array_contains(seen, u) if seen is not None else F.lit(False)).alias("seen"),
-                (~F.contains(u, F.lit(marker))).alias("unmarked"),
-                (-F.length(url_path(u))).alias("shortness"),
-                u.alias("url"),
-            ),
-        )
+    """True for pages of one posting."""
+    return canonical_url(url).rlike(detail_pattern(base, section, reserved))
+
+
+def ranked_urls(urls: Column | str, marker: str = "/detail/") -> Column:
+    """Distinct URLs, best first: with the marker, then the longest path, then by name."""
+    keyed = F.transform(
+        F.array_distinct(as_col(urls)),
+        lambda u: F.struct(
+            (~F.contains(u, F.lit(marker))).alias("unmarked"),
+            (-F.length(url_path(u))).alias("shortness"),
+            u.alias("url"),
+        ),
     )
-    return F.get(ranked, F.lit(0))["url"]
+    return F.transform(F.array_sort(keyed), lambda k: k["url"])
+
+
+def best_url(urls: Column | str, marker: str = "/detail/") -> Column:
+    return F.get(ranked_urls(urls, marker), F.lit(0))

@@ -32,10 +32,13 @@ def group_quantiles(
     small_domain: bool = False,
     slices: int = SLICES,
 ) -> DataFrame:
-    """Groups, ``n`` (non-null values) and ``q0, q1, …``, linearly interpolated."""
+    """Groups, ``n`` (non-null values) and ``q0, q1, …``, linearly interpolated.
+
+    Groups without a name (null in any group column) are left out.
+    """
     if not groups:
         raise ValueError("at least one group column is needed")
-    rows = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    rows = df.select(*groups, F.col(value).cast("double").alias("_v")).dropna()
     if small_domain:
         found = rows.groupBy(*groups).agg(
             F.count("*").alias("n"),
@@ -51,12 +54,8 @@ def group_quantiles(
     )
     low, high = _stretch(F.col("_lo")), _stretch(F.col("_hi"))
     part = F.floor((_stretch(F.col("_v")) - low) / F.nullif(high - low, F.lit(0.0)) * slices)
-    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups]
-    sliced = (
-        counts.alias("a")
-        .join(span.alias("b"), _all(same))
-        .select(*[F.col(f"a.{g}") for g in groups], "_v", "_c", "n", "_lo", "_hi")
-        .select(*groups, "_v", "_c", "n", F.coalesce(part, F.lit(0)).alias("_s"))
+    sliced = counts.join(span, list(groups)).select(
+        *groups, "_v", "_c", "n", F.coalesce(part, F.lit(0)).alias("_s")
     )
 
     # slice sizes: at most `slices` rows per group
@@ -74,12 +73,9 @@ def group_quantiles(
             wanted = wanted | inside(edge, F.col("_before"), F.col("_m"))
     chosen = sizes.where(wanted).select(*groups, "_s", "_before")
 
-    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in [*groups, "_s"]]
     in_slice = W.partitionBy(*groups, "_s").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     ordered = (
-        sliced.alias("a")
-        .join(chosen.alias("b"), _all(same))
-        .select(*[F.col(f"a.{c}") for c in [*groups, "_s", "_v", "_c", "n"]], "b._before")
+        sliced.join(chosen, [*groups, "_s"])
         .withColumn("_start", F.col("_before") + F.sum("_c").over(in_slice) - F.col("_c"))
     )
     picks = []
@@ -96,13 +92,6 @@ def group_quantiles(
     return found.select(*groups, "n", *out)
 
 
-def _all(tests: Sequence[Column]) -> Column:
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return out
-
-
 def group_median(
     df: DataFrame, group: str, value: str, small_domain: bool = False
 ) -> DataFrame:

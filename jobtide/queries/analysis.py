@@ -145,7 +145,7 @@ def export_view(spark, sf):
 
 
 _PREVIEW = """title, company, role, seniority, canton, region, city, industry,
-  skill_count, CASE WHEN salary_available = 1 THEN 'Yes' ELSE 'No' END AS salary_available"""
+  CAST(skill_count AS INTEGER) AS skill_count, CASE WHEN salary_available = 1 THEN 'Yes' ELSE 'No' END AS salary_available"""
 _CHOICE = "role IN ('en', 'fr') AND region IN ('Region 1', 'Region 2')"
 
 SQL_TOP = """top AS (SELECT term, row_number() OVER (ORDER BY n DESC, term) AS tag_rank

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.lexicon import Lexicon
 from jobtide.functions.tags import dictionary_tags
+from jobtide.sources.files import spread
 
 BASE_URL = "https://jobs.example.com"
 
@@ -24,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """The columns of a table, on all cores where its files are too few for that."""
+    return spread(table(spark, sf_dir, name).select(key, *columns), key)
+
+
 # Words of the test texts, in place of skills.  Some share their start, some overlap, one ends in
 # a mark (it counts only before a word character, as a word edge asks for).
 TERMS = (
@@ -38,30 +45,31 @@ SQL_SPACE = (
 )
 
 
-def sql_list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
 def sql_has_word(text: str, term: str) -> str:
     """Whole-word test in SQL; a term that ends in a mark needs a word character behind it."""
-    return (
-        f"regexp_matches({text}, '(^|{SQL_EDGE})' || regexp_escape({term}) || "
-        f"CASE WHEN regexp_matches({term}, '[\\p{{L}}\\p{{N}}_]$') "
-        f"THEN '($|{SQL_EDGE})' ELSE '[\\p{{L}}\\p{{N}}_]' END)"
+    word_end = term[-1].isalnum() or term[-1] == "_"
+    after = f"($|{SQL_EDGE})" if word_end else r"[\p{L}\p{N}_]"
+    pattern = f"(^|{SQL_EDGE})" + re.escape(term).replace("\\ ", " ") + after
+    return f"regexp_matches({text}, '{pattern}')"
+
+
+def sql_hits(table_sql: str, key: str, text: str, terms) -> str:
+    """(key, term) for every term found: one literal pattern per term, compiled once."""
+    return " UNION ALL ".join(
+        f"SELECT {key}, '{t}' AS term FROM {table_sql} "
+        f"WHERE strpos({text}, '{t}') > 0 AND {sql_has_word(text, t)}"
+        for t in terms
     )
 
 
 SQL_HITS = f"""
-terms AS (SELECT unnest({sql_list(TERMS)}) AS term),
-hits AS (
-  SELECT d.doc_id, t.term FROM documents d, terms t
-  WHERE {sql_has_word('lower(d.text)', 't.term')}
-)"""
+lowered AS MATERIALIZED (SELECT doc_id, lower(text) AS body FROM documents),
+hits AS MATERIALIZED ({sql_hits('lowered', 'doc_id', 'body', TERMS)})"""
 
 
 def tagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the list of dictionary words found in the whole text."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
     return docs.withColumn("tags", dictionary_tags("text", lexicon=WORDS)).drop("text")
 
 

@@ -10,11 +10,10 @@ from jobtide.operators import rows, summary
 from jobtide.queries.common import (
     SQL_EDGE,
     SQL_HITS,
-    TERMS,
     WORDS,
     Query,
-    sql_has_word,
-    sql_list,
+    spread_table,
+    sql_hits,
     table,
 )
 from jobtide import fixed_values as fixed
@@ -54,7 +53,9 @@ def salary_extract(spark, sf):
         .when(form == 6, F.concat(F.lit("CHF, plus bonus "), low.cast("string")))
         .otherwise(F.concat(low.cast("string"), F.lit(" EUR")))
     )
-    line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", text.alias("text"))
+    line = spread_table(
+        spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_quantity"
+    ).select("l_orderkey", "l_partkey", "l_linenumber", text.alias("text"))
     out = line.withColumn("s", extract.salary_range("text"))
     return out.select(
         "l_orderkey",
@@ -93,7 +94,7 @@ SENIORITY_CASES = (
 
 
 def seniority_cascade(spark, sf):
-    part = table(spark, sf, "part").select(
+    part = spread_table(spark, sf, "part", "p_partkey", "p_name").select(
         "p_partkey",
         pick("p_partkey", [c[0] for c in SENIORITY_CASES]).alias("title"),
         pick("p_partkey", [c[1] for c in SENIORITY_CASES]).alias("text"),
@@ -211,7 +212,7 @@ PLACES = (
 
 
 def _located(spark, sf):
-    people = table(spark, sf, "customer")
+    people = spread_table(spark, sf, "customer", "c_custkey")
     place = pick("c_custkey", [p[0] for p in PLACES])
     return people.select("c_custkey", place.alias("location_raw"))
 
@@ -234,9 +235,11 @@ def unresolved_values(spark, sf):
 
 
 def dictionary_tags(spark, sf):
-    docs = table(spark, sf, "documents")
-    found = tags.dictionary_tags("text", "source", lexicon=WORDS)
-    return docs.select("doc_id", F.array_join(found, "|").alias("tags"), F.size(found).alias("n"))
+    docs = spread_table(spark, sf, "documents", "doc_id", "text", "source")
+    found = docs.select(
+        "doc_id", tags.dictionary_tags("text", "source", lexicon=WORDS).alias("found")
+    )
+    return found.select("doc_id", F.array_join("found", "|").alias("tags"), F.size("found").alias("n"))
 
 
 SKILL_TEXTS = (
@@ -251,7 +254,7 @@ SKILL_TEXTS = (
 
 def skill_tags(spark, sf):
     """The default skill dictionary on each text with some skill words behind it."""
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id", "text", "lang")
     extra = pick("doc_id", SKILL_TEXTS)
     found = tags.dictionary_tags("text", extra, "lang")
     return docs.select("doc_id", F.array_join(found, "|").alias("tags"))
@@ -305,7 +308,7 @@ RULE_COLUMNS = ("rule_order", "category", "keyword_order", "keyword")
 
 def _firms(spark, sf):
     """Documents as postings: the source is the company, the text the description."""
-    return table(spark, sf, "documents").withColumn(
+    return spread_table(spark, sf, "documents", "doc_id", "text", "source").withColumn(
         "company", F.concat(F.lit("Firma "), F.upper("source"), F.lit(" AG"))
     )
 
@@ -381,14 +384,17 @@ classified AS (
              {_sql_first_rule('lower(text)')}, '{DEFAULT}') AS industry
   FROM firms)"""
 
-SQL_TRACE = "keywords AS (SELECT * FROM (VALUES " + ", ".join(
+_WORD_LIST = dict.fromkeys(w for _, words in RULES.rules for w in words)
+SQL_TRACE = f"""keywords AS (SELECT * FROM (VALUES {", ".join(
     f"({i}, '{name}', {j}, '{word}')"
     for i, (name, words) in enumerate(RULES.rules, 1)
     for j, word in enumerate(words, 1)
-) + f""") k(rule_order, category, keyword_order, keyword)),
+)}) k(rule_order, category, keyword_order, keyword)),
+lowered AS MATERIALIZED (SELECT doc_id, lower(text) AS body FROM documents),
+found AS ({sql_hits('lowered', 'doc_id', 'body', _WORD_LIST)}),
 trace AS (
-  SELECT d.doc_id, k.rule_order, k.category, k.keyword_order, k.keyword
-  FROM documents d, keywords k WHERE {sql_has_word('lower(d.text)', 'k.keyword')})"""
+  SELECT doc_id, rule_order, category, keyword_order, keyword
+  FROM found JOIN keywords ON keyword = term)"""
 
 _S_LOW = "CAST(floor(l_extendedprice) AS BIGINT)"
 _S_MONTH = "12 * CAST(floor(floor(l_extendedprice) / 12) AS BIGINT)"
@@ -413,7 +419,6 @@ _CANTON = sql_pick("c_custkey", [p[1] for p in PLACES])
 _REGION = "CASE canton " + " ".join(
     f"WHEN '{c}' THEN '{r}'" for c, r in fixed.CANTON_REGION.items()
 ) + " END"
-_SKILL_TERMS = sql_list(fixed.SKILL_TERMS)
 
 QUERIES: dict[str, Query] = {
     "salary_extract": Query(
@@ -494,11 +499,9 @@ QUERIES: dict[str, Query] = {
     ),
     "skill_tags": Query(
         skill_tags,
-        f"""WITH t AS (SELECT doc_id, lower(text || ' ' || {sql_pick('doc_id', SKILL_TEXTS)}
+        f"""WITH t AS MATERIALIZED (SELECT doc_id, lower(text || ' ' || {sql_pick('doc_id', SKILL_TEXTS)}
                 || ' ' || lang) AS body FROM documents),
-              s AS (SELECT unnest({_SKILL_TERMS}) AS term),
-              h AS (SELECT doc_id, term FROM t, s
-                    WHERE strpos(body, term) > 0 AND {sql_has_word('body', 'term')})
+              h AS ({sql_hits('t', 'doc_id', 'body', fixed.SKILL_TERMS)})
             SELECT t.doc_id, coalesce(string_agg(h.term, '|' ORDER BY h.term), '') AS tags
             FROM t LEFT JOIN h ON h.doc_id = t.doc_id GROUP BY t.doc_id""",
     ),

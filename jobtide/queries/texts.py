@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions import text as tx
 from jobtide.functions import urls
-from jobtide.queries.common import BASE_URL, SQL_SPACE, Query, table
+from jobtide.queries.common import BASE_URL, SQL_SPACE, Query, spread_table, table
 from jobtide.sources import html
 
 PAGE = html.PageLayout(
@@ -34,7 +34,8 @@ def _sql_element(tag: str) -> str:
 
 
 def clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("cleaned"))
+    docs = spread_table(spark, sf, "documents", "doc_id", "text")
+    return docs.select("doc_id", tx.clean_text("text").alias("cleaned"))
 
 
 def short_label(spark, sf):
@@ -82,16 +83,17 @@ def detail_url_filter(spark, sf):
 
 def html_facts(spark, sf):
     facts = html.detail_facts("html", PAGE).alias("f")
-    out = table(spark, sf, "pages").select("page_id", facts)
+    out = spread_table(spark, sf, "pages", "page_id", "html").select("page_id", facts)
     return out.select("page_id", *[F.col(f"f.{c}").alias(c) for c in html.FACT_FIELDS])
 
 
 def html_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.main_text("html", PAGE).alias("text"))
+    pages = spread_table(spark, sf, "pages", "page_id", "html")
+    return pages.select("page_id", html.main_text("html", PAGE).alias("text"))
 
 
 def html_links(spark, sf):
-    found = table(spark, sf, "pages").select(
+    found = spread_table(spark, sf, "pages", "page_id", "url", "html").select(
         "page_id", "url", F.posexplode(html.links("html", "nav li > a[href]")).alias("pos", "l")
     )
     return found.select(
@@ -127,17 +129,17 @@ def _segment_page():
 
 
 def html_cards(spark, sf):
-    people = table(spark, sf, "customer").join(
-        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    people = spread_table(
+        spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
+    ).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     pages = people.select("c_custkey", _segment_page().alias("page"))
     return html.listing_cards(pages, "page", BASE_URL, ["c_custkey"])
 
 
 def html_labeled_value(spark, sf):
-    people = table(spark, sf, "customer").join(
-        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    people = spread_table(
+        spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
+    ).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     page = F.concat(
         F.lit('<div class="card"><div><span> Place of work:</span><p>'), "n_name",
         F.lit("</p></div><div><span>contract <i>TYPE</i></span><p>"), "c_mktsegment",
@@ -153,7 +155,8 @@ def html_labeled_value(spark, sf):
 
 
 def best_link(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url", html.links("html").alias("l"))
+    pages = spread_table(spark, sf, "pages", "page_id", "url", "html")
+    pages = pages.select("page_id", "url", html.links("html").alias("l"))
     hrefs = F.transform("l", lambda x: urls.canonical_url(urls.absolute_url(F.col("url"), x["href"])))
     marked = F.when(
         F.col("page_id") % 3 == 0,

@@ -35,6 +35,19 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType | None) ->
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows hashed over all cores, where the scan gives fewer tasks than there are cores.
+
+    A file with one row group is read by one task, and everything up to the next shuffle stays in
+    it.  Worth a shuffle only before heavy per-row work on small inputs; a table of many row groups
+    is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = MAX_ROWS_PER_FILE
 ) -> None:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.text import as_col
-from jobtide.functions.urls import absolute_url, best_url, canonical_url, is_detail_url
+from jobtide.functions.urls import absolute_url, canonical_url, detail_pattern, ranked_urls
 from jobtide.sources import dom
 from jobtide.sources.dom import Node, Selector, parse_page
 
@@ -139,21 +139,24 @@ def card_list(html: Column | str, base: str, layout: PageLayout | None = None) -
     """
     layout = layout or PageLayout()
 
-    def detail_links(card: Column) -> Column:
+    names = [f for f in CARD_FIELDS if f != "url"]
+    pattern = detail_pattern(base, layout.section, layout.reserved)
+
+    def with_choices(card: Column) -> Column:
         full = F.transform(
             card["links"], lambda href: canonical_url(absolute_url(F.lit(base), href))
         )
-        return F.filter(full, lambda u: is_detail_url(u, base, layout.section, layout.reserved))
+        good = F.filter(full, lambda u: u.rlike(pattern))
+        return F.struct(ranked_urls(good).alias("urls"), *[card[f].alias(f) for f in names])
 
     def add(kept: Column, card: Column) -> Column:
         taken = F.transform(kept, lambda k: k["url"])
-        url = best_url(detail_links(card), seen=taken)
-        row = F.struct(url.alias("url"), *[card[f].alias(f) for f in CARD_FIELDS if f != "url"])
-        fresh = url.isNotNull() & ~F.array_contains(taken, F.coalesce(url, F.lit("")))
-        return F.when(fresh, F.concat(kept, F.array(row))).otherwise(kept)
+        url = F.get(F.filter(card["urls"], lambda u: ~F.array_contains(taken, u)), F.lit(0))
+        row = F.struct(url.alias("url"), *[card[f].alias(f) for f in names])
+        return F.when(url.isNull(), kept).otherwise(F.concat(kept, F.array(row)))
 
     none = F.array().cast(CARD_TYPE)
-    return F.aggregate(raw_cards(html, layout), none, add)
+    return F.aggregate(F.transform(raw_cards(html, layout), with_choices), none, add)
 
 
 def labelled_value(
