@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as fixed
 from jobtide.functions.text import as_col, yes_no
 from jobtide.operators.conform import select_existing
-from jobtide.operators.summary import value_counts
-from jobtide.operators.tagstats import top_tags
 
 FACETS = ("role", "region", "canton", "industry", "seniority")
 
@@ -96,19 +94,31 @@ def exec_summary(
     canton: str = "canton",
     salary: str = "salary_available",
 ) -> DataFrame:
-    """Most frequent role, canton and tag, and the disclosure rate; ``N/A`` where there is none."""
-
-    def leader(counts: DataFrame, column: str) -> Column:
-        name = counts.select(F.col(column).cast("string").alias("v")).limit(1).scalar()
-        return F.coalesce(name, F.lit("N/A"))
-
-    base = df.agg(F.coalesce(F.avg(F.col(salary) * 100.0), F.lit(0.0)).alias("salary_rate"))
-    return base.select(
-        leader(value_counts(df, role), role).alias("top_role"),
-        leader(value_counts(df, canton), canton).alias("top_canton"),
-        leader(top_tags(df, tags, 1), "tag").alias("top_skill"),
-        "salary_rate",
+    """Most frequent role, canton and tag, and the disclosure rate; ``N/A`` where there is none.
+
+    All three are counted in one pass, as (kind, value) pairs.
+    """
+    kinds = {"role": F.col(role).cast("string"), "canton": F.col(canton).cast("string")}
+    pairs = [F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in kinds.items()]
+    none = F.array().cast("array<string>")
+    tag_pairs = F.transform(
+        F.coalesce(F.col(tags), none),
+        lambda t: F.struct(F.lit("tag").alias("kind"), t.alias("value")),
     )
+    entries = df.select(F.explode_outer(F.concat(F.array(*pairs), tag_pairs)).alias("_x"))
+    counts = entries.groupBy("_x.kind", "_x.value").agg(F.count("*").alias("n"))
+
+    def leader(kind: str) -> Column:
+        named = (F.col("kind") == kind) & F.col("value").isNotNull()
+        first = F.min(F.when(named, F.struct((-F.col("n")).alias("n"), "value")))
+        return F.coalesce(first["value"], F.lit("N/A"))
+
+    rate = df.agg(F.coalesce(F.avg(F.col(salary) * 100.0), F.lit(0.0)).alias("r")).scalar()
+    return counts.agg(
+        leader("role").alias("top_role"),
+        leader("canton").alias("top_canton"),
+        leader("tag").alias("top_skill"),
+    ).withColumn("salary_rate", rate)
 
 
 def export_view(df: DataFrame, columns: Sequence[str] = fixed.PREVIEW_COLUMNS) -> DataFrame:

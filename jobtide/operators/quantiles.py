@@ -24,6 +24,14 @@ def _stretch(v: Column) -> Column:
     return F.signum(v) * F.log1p(F.abs(v))
 
 
+def _counted(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """Distinct values of each group and how often they occur; spread by group and value."""
+    for name in (*groups, value):
+        df = df.where(F.col(name).isNotNull())
+    rows = df.select(*groups, F.col(value).cast("double").alias("_v"))
+    return rows.groupBy(*groups, "_v").agg(F.count("*").alias("_c"))
+
+
 def group_quantiles(
     df: DataFrame,
     groups: Sequence[str],
@@ -38,17 +46,18 @@ def group_quantiles(
     """
     if not groups:
         raise ValueError("at least one group column is needed")
-    rows = df.select(*groups, F.col(value).cast("double").alias("_v")).dropna()
+    counts = _counted(df, groups, value)
     if small_domain:
-        found = rows.groupBy(*groups).agg(
-            F.count("*").alias("n"),
-            F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q"),
+        found = counts.groupBy(*groups).agg(
+            F.sum("_c").alias("n"),
+            F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]), F.col("_c")).alias(
+                "_q"
+            ),
         )
         return found.select(
             *groups, "n", *[F.get("_q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))]
         )
 
-    counts = rows.groupBy(*groups, "_v").agg(F.count("*").alias("_c"))
     span = counts.groupBy(*groups).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n")
     )
@@ -104,15 +113,16 @@ def group_median(
 def boxplot_stats(
     df: DataFrame, group: str, value: str, reach: float = 1.5, small_domain: bool = False
 ) -> DataFrame:
-    """Quartiles, whiskers (furthest values within ``reach`` box lengths) and outlier counts."""
-    rows = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    box = fences(rows, group, value, reach, small_domain)
-    joined = _with_fences(rows, box, group, value)
+    """Quartiles, whiskers (furthest values within ``reach`` box lengths) and outlier counts.
+
+    Fences are compared with the counted values, so the rows are read once.
+    """
+    joined = _with_fences(df, group, value, reach, small_domain)
     v, inside = F.col("_v"), F.col("_v").between(F.col("fence_low"), F.col("fence_high"))
     out = joined.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("_low"),
         F.max(F.when(inside, v)).alias("_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers"),
     )
     return out.select(
         group,
@@ -126,12 +136,12 @@ def boxplot_stats(
     ).orderBy(F.desc("median"), group)
 
 
-def fences(
-    rows: DataFrame, group: str, value: str, reach: float = 1.5, small_domain: bool = False
+def _with_fences(
+    df: DataFrame, group: str, value: str, reach: float, small_domain: bool
 ) -> DataFrame:
-    found = group_quantiles(rows, [group], value, [0.25, 0.5, 0.75], small_domain)
+    found = group_quantiles(df, [group], value, [0.25, 0.5, 0.75], small_domain)
     step = (F.col("q2") - F.col("q0")) * reach
-    return found.select(
+    box = found.select(
         group,
         "n",
         F.col("q0").alias("q1"),
@@ -140,17 +150,14 @@ def fences(
         (F.col("q0") - step).alias("fence_low"),
         (F.col("q2") + step).alias("fence_high"),
     )
-
-
-def _with_fences(rows: DataFrame, box: DataFrame, group: str, value: str) -> DataFrame:
-    return rows.select(group, F.col(value).cast("double").alias("_v")).join(box, group)
+    return _counted(df, [group], value).join(box, group)
 
 
 def outliers(
     df: DataFrame, group: str, value: str, reach: float = 1.5, small_domain: bool = False
 ) -> DataFrame:
-    """The values beyond the whiskers."""
-    rows = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    joined = _with_fences(rows, fences(rows, group, value, reach, small_domain), group, value)
-    beyond = ~F.col("_v").between(F.col("fence_low"), F.col("fence_high"))
-    return joined.where(beyond).select(group, F.col("_v").alias(value))
+    """The values beyond the whiskers, each as often as it occurs."""
+    joined = _with_fences(df, group, value, reach, small_domain)
+    beyond = joined.where(~F.col("_v").between(F.col("fence_low"), F.col("fence_high")))
+    each = F.explode(F.sequence(F.lit(1), F.col("_c")))
+    return beyond.select(group, F.col("_v").alias(value), each.alias("_i")).drop("_i")

@@ -187,27 +187,29 @@ def quality_checks(df: DataFrame) -> dict[str, Column]:
     }
 
 
+_MOMENTS = {
+    "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+}
+
+
 def describe_numeric(
     df: DataFrame, columns: Sequence[str], small_domain: bool = False
 ) -> DataFrame:
     """Count, mean, standard deviation (n−1), minimum, quartiles, maximum per column."""
-    cells = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("_x")
-    ).select("_x.*")
-    base = cells.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    number = {c: F.col(c).cast("double") for c in columns}
+    row = df.agg(
+        *[
+            f(v).alias(f"_{name}{i}")
+            for i, v in enumerate(number.values())
+            for name, f in _MOMENTS.items()
+        ]
     )
+    table = {
+        c: tuple(F.col(f"_{name}{i}") for name in _MOMENTS) for i, c in enumerate(columns)
+    }
+    base = _melt(row, "column", tuple(_MOMENTS), table)
+    items = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in number.items()]
+    cells = df.select(F.explode(F.array(*items)).alias("_x")).select("_x.*")
     quart = group_quantiles(cells, ["column"], "value", [0.25, 0.5, 0.75], small_domain)
     return base.join(quart, "column", "left").select(
         "column",
@@ -243,9 +245,8 @@ def count_and_mean(
         .agg(F.count(counted).alias("postings"), F.avg(averaged).alias("macro_mean"))
         .where(F.col("postings") >= min_rows)
     )
-    known = df.where(F.col(group).isNotNull() & F.col(averaged).isNotNull())
-    any_known = known.agg((F.count("*") > 0).alias("known")).scalar()
-    return out.where(any_known).orderBy("postings", group)
+    known = out.agg((F.count("macro_mean") > 0).alias("known")).scalar()
+    return out.where(known).orderBy("postings", group)
 
 
 def rate_by_group(df: DataFrame, group: str, flag: str, min_rows: int = 1) -> DataFrame:
