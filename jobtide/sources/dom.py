@@ -1,41 +1,55 @@
-"""A page as a small tree, and the few CSS selector forms the page layouts use."""
+"""A page as a flat list of elements, and the few CSS selector forms the page layouts use.
+
+Elements are kept in document order, so those inside an element are a slice of the list, and its
+text a slice of the text pieces.  Attributes are read only where a selector asks for them.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
-VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset(("script", "style", "template"))
 
+_TOKEN = re.compile(
+    r"<!--(?:.*?-->|.*\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
+    r"|</?[!?][^>]*+>?|</[^a-zA-Z>][^>]*+>?|</>"
+    r"|([^<]++|<)",
+    re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"([^\s/>=\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+
 
 class Node:
-    __slots__ = ("attrs", "kids", "parent", "tag")
+    """One element; ``stop`` and ``pieces`` bound what lies inside it."""
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.kids: list[Node | str] = []
+    __slots__ = ("_attrs", "at", "first", "last", "page", "parent", "raw", "stop", "tag")
 
-    def walk(self) -> Iterator[Node]:
-        todo = [k for k in reversed(self.kids) if isinstance(k, Node)]
-        while todo:
-            node = todo.pop()
-            yield node
-            todo.extend(k for k in reversed(node.kids) if isinstance(k, Node))
+    def __init__(self, page: Page, tag: str, raw: str, parent: Node | None):
+        self.page, self.tag, self.raw, self.parent = page, tag, raw, parent
+        self.at, self.first = len(page.nodes), len(page.pieces)
+        self.stop = self.last = -1
+        self._attrs: dict[str, str] | None = None
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            found: dict[str, str] = {}
+            for name, value in _ATTRIBUTE.findall(self.raw):
+                quoted = value[:1] in ("'", '"')
+                found[name.lower()] = unescape(value[1:-1] if quoted else value)
+            self._attrs = found
+        return self._attrs
+
+    def inside(self) -> Iterator[Node]:
+        return (n for n in self.page.nodes[self.at + 1 : self.stop] if n.stop >= 0)
 
     def text(self) -> str:
-        out: list[str] = []
-        todo: list[Node | str] = list(reversed(self.kids))
-        while todo:
-            item = todo.pop()
-            if isinstance(item, str):
-                out.append(item)
-            elif item.tag not in NO_TEXT:
-                todo.extend(reversed(item.kids))
-        return " ".join(" ".join(out).split())
+        return " ".join(" ".join(self.page.pieces[self.first : self.last]).split())
 
     def up(self) -> Iterator[Node]:
         node = self.parent
@@ -43,50 +57,71 @@ class Node:
             yield node
             node = node.parent
 
+    def remove(self) -> None:
+        """Takes the element, all inside it and its text out of the page."""
+        self.page.pieces[self.first : self.last] = [""] * (self.last - self.first)
+        for node in self.page.nodes[self.at : self.stop]:
+            node.stop = -1
 
-class Builder(HTMLParser):
-    """Tree of a page; an end tag closes up to its nearest open start tag, stray ones are ignored."""
 
+class Page:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", {}, None)
-        self.open: dict[str, int] = {}
-
-    def handle_starttag(self, tag, attrs):
-        first: dict[str, str] = {}
-        for key, value in attrs:
-            first[key] = value or ""
-        node = Node(tag, first, self.here)
-        self.here.kids.append(node)
-        if tag not in VOID:
-            self.here = node
-            self.open[tag] = self.open.get(tag, 0) + 1
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        while self.open.get(tag):
-            closed, self.here = self.here, self.here.parent
-            self.open[closed.tag] -= 1
-            if closed.tag == tag:
-                break
-
-    def handle_data(self, data):
-        kids = self.here.kids
-        if kids and isinstance(kids[-1], str):
-            kids[-1] += data
-        else:
-            kids.append(data)
-
-
-def parse_page(page: str) -> Node:
-    builder = Builder()
-    builder.feed(page)
-    builder.close()
-    return builder.root
+        self.nodes: list[Node] = []
+        self.pieces: list[str] = []
+
+
+def parse_page(text: str) -> Node:
+    """Root of a page; an end tag closes up to its nearest open start tag, stray ones are ignored."""
+    page = Page()
+    here = root = Node(page, "", "", None)
+    page.nodes.append(root)
+    open_tags: dict[str, int] = {}
+    joined = False
+
+    def close(node: Node) -> Node | None:
+        node.stop, node.last = len(page.nodes), len(page.pieces)
+        return node.parent
+
+    at, end = 0, len(text)
+    while at < end:
+        m = _TOKEN.match(text, at)
+        at = m.end()
+        words = m[7]
+        if words is not None:
+            words = unescape(words) if "&" in words else words
+            if joined:
+                page.pieces[-1] += words
+            else:
+                page.pieces.append(words)
+            joined = True
+            continue
+        joined = False
+        tag = m[2] or m[5]
+        if tag is None:
+            continue
+        tag, raw = tag.lower(), m[3] or m[6] or ""
+        if m[1] or m[4]:
+            while open_tags.get(tag):
+                name, here = here.tag, close(here)
+                open_tags[name] -= 1
+                if name == tag:
+                    break
+            continue
+        node = Node(page, tag, raw, here)
+        page.nodes.append(node)
+        if tag in VOID or raw.endswith("/"):
+            close(node)
+            continue
+        if tag in NO_TEXT:
+            found = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(text, at)
+            at = found.end() if found else end
+            close(node)
+            continue
+        here = node
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+    while here is not None:
+        here = close(here)
+    return root
 
 
 _STEP = re.compile(
@@ -158,7 +193,7 @@ class Selector:
         self.options = _parse_selector(text)
 
     def all(self, node: Node) -> Iterator[Node]:
-        return (n for n in node.walk() if any(_matches(n, s) for s in self.options))
+        return (n for n in node.inside() if any(_matches(n, s) for s in self.options))
 
     def one(self, node: Node) -> Node | None:
         return next(self.all(node), None)

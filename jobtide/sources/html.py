@@ -214,7 +214,7 @@ def main_text(html: Column | str, layout: PageLayout | None = None) -> Column:
             if first is not None:
                 cut = teaser.one(first)
                 if cut is not None:
-                    cut.parent.kids.remove(cut)
+                    cut.remove()
             for selector in body:
                 text = selector.one_text(root)
                 if len(text) >= layout.body_min_chars:
