@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from jobtide import fixed_values as fixed
 from jobtide.functions.extract import workload_category
+from jobtide.functions.rules import RuleSet
 from jobtide.functions.text import nonempty, percent, strip
 from jobtide.operators.quantiles import group_quantiles
 
@@ -349,6 +350,15 @@ def fallback_companies(
     return out if k is None else out.limit(k)
 
 
+def match_trace(
+    df: DataFrame, text: str, rules: RuleSet, keep: Sequence[str], first_per_rule: bool = False
+) -> DataFrame:
+    """One row per keyword hit in the text (or per rule, its first keyword)."""
+    hits = rules.trace(F.lower(text), first_per_rule)
+    found = df.select(*keep, F.explode_outer(hits).alias("_h")).where(F.col("_h").isNotNull())
+    return found.select(*keep, "_h.*")
+
+
 def trimmed(df: DataFrame, column: str) -> DataFrame:
     """Group labels trimmed, blank ones null."""
     return df.withColumn(column, nonempty(strip(F.col(column).cast("string"))))

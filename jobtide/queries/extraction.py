@@ -303,7 +303,6 @@ RULES = rules.RuleSet.of(
 )
 AGENCIES = ("src1", "rc7")
 DEFAULT = "Other"
-RULE_COLUMNS = ("rule_order", "category", "keyword_order", "keyword")
 
 
 def _firms(spark, sf):
@@ -323,15 +322,11 @@ def rule_classifier(spark, sf):
 
 
 def rule_trace(spark, sf):
-    hits = RULES.trace(F.lower("text"))
-    found = _firms(spark, sf).select("doc_id", F.explode(hits).alias("h"))
-    return found.select("doc_id", *[F.col(f"h.{c}").alias(c) for c in RULE_COLUMNS])
+    return summary.match_trace(_firms(spark, sf), "text", RULES, ["doc_id"])
 
 
 def rule_trace_first(spark, sf):
-    hits = RULES.trace(F.lower("text"), first_per_rule=True)
-    found = _firms(spark, sf).select("doc_id", F.explode(hits).alias("h"))
-    return found.select("doc_id", *[F.col(f"h.{c}").alias(c) for c in RULE_COLUMNS])
+    return summary.match_trace(_firms(spark, sf), "text", RULES, ["doc_id"], first_per_rule=True)
 
 
 def agency_flag(spark, sf):

@@ -93,15 +93,9 @@ def html_text(spark, sf):
 
 
 def html_links(spark, sf):
-    found = spread_table(spark, sf, "pages", "page_id", "url", "html").select(
-        "page_id", "url", F.posexplode(html.links("html", "nav li > a[href]")).alias("pos", "l")
-    )
-    return found.select(
-        "page_id",
-        "pos",
-        urls.absolute_url("url", "l.href").alias("link"),
-        F.col("l.text").alias("text"),
-    )
+    pages = spread_table(spark, sf, "pages", "page_id", "url", "html")
+    found = html.link_rows(pages, "html", "nav li > a[href]", ["page_id", "url"])
+    return found.select("page_id", "pos", urls.absolute_url("url", "href").alias("link"), "text")
 
 
 def _segment_page():

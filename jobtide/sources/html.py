@@ -249,5 +249,16 @@ def listing_cards(
     pages: DataFrame, html: str, base: str, keep: Sequence[str] = (), layout=None
 ) -> DataFrame:
     """One row per card of each listing page, with its place on the page."""
-    cards = pages.select(*keep, F.posexplode(card_list(html, base, layout)).alias("card_no", "c"))
+    cards = pages.select(
+        *keep, F.posexplode_outer(card_list(html, base, layout)).alias("card_no", "c")
+    ).where(F.col("card_no").isNotNull())
     return cards.select(*keep, "card_no", *[F.col(f"c.{f}").alias(f) for f in CARD_FIELDS])
+
+
+def link_rows(
+    pages: DataFrame, html: str, selector: str = "a[href]", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per link that fits the selector: its place on the page, ``href`` and ``text``."""
+    found = pages.select(*keep, F.posexplode_outer(links(html, selector)).alias("pos", "l"))
+    found = found.where(F.col("pos").isNotNull())
+    return found.select(*keep, "pos", F.col("l.href").alias("href"), F.col("l.text").alias("text"))
