@@ -4,8 +4,8 @@ Spark's ``percentile`` keeps one counter per distinct value of a group in one ta
 is right for values from a small domain (tag counts, percentages) and is offered as
 ``small_domain=True``.  For open-ended values the work is spread: equal values are counted first,
 each group's value range is cut into slices, slice sizes give the slices that hold the wanted
-ranks, and only those slices are ordered.  The cut depends only on the minimum and maximum, so
-repeated evaluation (after a lost executor, say) always cuts the same way.
+ranks, those are cut once more, and only the slices left are ordered.  A cut depends only on minima
+and maxima, so repeated evaluation (after a lost executor, say) always cuts the same way.
 """
 
 from __future__ import annotations
@@ -61,46 +61,63 @@ def group_quantiles(
     span = counts.groupBy(*groups).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n")
     )
-    low, high = _stretch(F.col("_lo")), _stretch(F.col("_hi"))
-    part = F.floor((_stretch(F.col("_v")) - low) / F.nullif(high - low, F.lit(0.0)) * slices)
-    sliced = counts.join(span, list(groups)).select(
-        *groups, "_v", "_c", "n", F.coalesce(part, F.lit(0)).alias("_s")
-    )
-
-    # slice sizes: at most `slices` rows per group
-    sizes = sliced.groupBy(*groups, "_s").agg(F.sum("_c").alias("_m"), F.first("n").alias("n"))
-    running = W.partitionBy(*groups).orderBy("_s").rowsBetween(W.unboundedPreceding, 0)
-    sizes = sizes.withColumn("_before", F.sum("_m").over(running) - F.col("_m"))
     ranks = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
-
-    def inside(rank: Column, start: Column, length: Column) -> Column:
-        return (rank >= start) & (rank < start + length)
-
-    wanted = F.lit(False)
-    for r in ranks:
-        for edge in (F.floor(r), F.ceil(r)):
-            wanted = wanted | inside(edge, F.col("_before"), F.col("_m"))
-    chosen = sizes.where(wanted).select(*groups, "_s", "_before")
-
-    in_slice = W.partitionBy(*groups, "_s").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ordered = (
-        sliced.join(chosen, [*groups, "_s"])
-        .withColumn("_start", F.col("_before") + F.sum("_c").over(in_slice) - F.col("_c"))
-    )
+    rows = counts.join(span, list(groups)).withColumn("_before", F.lit(0).cast("long"))
+    path = list(groups)
+    for level, scale in enumerate((_stretch, lambda v: v)):
+        rows = _narrow(rows, path, f"_s{level}", scale, ranks, slices)
+        path.append(f"_s{level}")
+
+    in_slice = W.partitionBy(*path).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    start = F.col("_before") + F.sum("_c").over(in_slice) - F.col("_c")
+    ordered = rows.withColumn("_start", start)
     picks = []
     for i, r in enumerate(ranks):
         for name, edge in (("l", F.floor(r)), ("u", F.ceil(r))):
-            hit = F.when(inside(edge, F.col("_start"), F.col("_c")), F.col("_v"))
+            hit = F.when(_holds(F.col("_start"), F.col("_c"), edge), F.col("_v"))
             picks.append(F.max(hit).alias(f"_{name}{i}"))
     found = ordered.groupBy(*groups, "n").agg(*picks)
     out = []
     for i, r in enumerate(ranks):
-        share = r - F.floor(r)
         lower, upper = F.col(f"_l{i}"), F.col(f"_u{i}")
-        out.append((lower + (upper - lower) * share).alias(f"q{i}"))
+        out.append((lower + (upper - lower) * (r - F.floor(r))).alias(f"q{i}"))
     return found.select(*groups, "n", *out)
 
 
+def _holds(start: Column, length: Column, rank: Column) -> Column:
+    return (rank >= start) & (rank < start + length)
+
+
+def _narrow(
+    rows: DataFrame, path: list[str], name: str, scale, ranks: list[Column], slices: int
+) -> DataFrame:
+    """The rows of those slices that hold a wanted rank.
+
+    ``rows`` holds values with their counts, the bounds ``_lo`` and ``_hi`` of their part of the
+    group, and ``_before``, the number of values ahead of that part.  Slice sizes are at most
+    ``slices`` rows for each part.
+    """
+    low, high = scale(F.col("_lo")), scale(F.col("_hi"))
+    place = (scale(F.col("_v")) - low) / F.nullif(high - low, F.lit(0.0)) * slices
+    sliced = rows.withColumn(name, F.coalesce(F.floor(place), F.lit(0))).drop("_lo", "_hi")
+    sizes = sliced.groupBy(*path, name).agg(
+        F.sum("_c").alias("_m"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+        F.min("n").alias("n"),
+        F.min("_before").alias("_ahead"),
+    )
+    running = W.partitionBy(*path).orderBy(name).rowsBetween(W.unboundedPreceding, 0)
+    start = F.col("_ahead") + F.sum("_m").over(running) - F.col("_m")
+    sizes = sizes.withColumn("_from", start)
+    wanted = F.lit(False)
+    for r in ranks:
+        for edge in (F.floor(r), F.ceil(r)):
+            wanted = wanted | _holds(F.col("_from"), F.col("_m"), edge)
+    chosen = sizes.where(wanted).select(*path, name, F.col("_from").alias("_before"), "_lo", "_hi")
+    return sliced.drop("_before").join(chosen, [*path, name])
+
+
 def group_median(
     df: DataFrame, group: str, value: str, small_domain: bool = False
 ) -> DataFrame:
