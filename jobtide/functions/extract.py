@@ -126,9 +126,16 @@ def seniority(title: Column | str, description: Column | str) -> Column:
 def workload_bounds(c: Column | str) -> Column:
     """``struct<min int, max int>``: one figure gives both bounds, more give the first two."""
     runs = F.regexp_extract_all(as_col(c), F.lit("([0-9]+)"), F.lit(1))
-    first = F.get(runs, F.lit(0)).try_cast("int")
-    second = F.coalesce(F.get(runs, F.lit(1)).try_cast("int"), first)
-    return F.struct(first.alias("min"), second.alias("max"))
+    # folded over the first two, so the text is searched once
+    none = F.lit(None).cast("int")
+    return F.aggregate(
+        F.slice(F.coalesce(runs, F.array().cast("array<string>")), 1, 2),
+        F.struct(none.alias("min"), none.alias("max")),
+        lambda seen, run: F.struct(
+            F.coalesce(seen["min"], run.try_cast("int")).alias("min"),
+            run.try_cast("int").alias("max"),
+        ),
+    )
 
 
 def workload_category(low: Column | str, high: Column | str, variant: str = "analysis") -> Column:
