@@ -36,14 +36,14 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType | None) ->
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows hashed over all cores, where the scan keeps less than half of the cores busy.
+    """Rows hashed over all cores, where the scan has fewer splits than there are cores.
 
-    A file with one row group is read by one task, and everything up to the next shuffle stays in
-    it.  Worth a shuffle only before heavy per-row work on small inputs; a table of many row groups
+    A file with one row group is read by one task, however many splits it has, and everything up
+    to the next shuffle stays in it.  Worth a shuffle only before heavy per-row work on small inputs; a table of many row groups
     is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
 
