@@ -175,9 +175,10 @@ def packed(docs: DataFrame, weights: Callable, share: float = SHARE, most: float
     )
     starts = starts.join(table, F.col("_s").eqNullSafe(F.col("_name"))).drop("_name")
     placed = sized.join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
-    within = Window.partitionBy("_source", "_bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.col("_start") + F.coalesce(F.sum("size").over(within), F.lit(0))
-    placed = placed.withColumn("_offset", offset).drop("_s", "_b", "_start", "_bucket")
+    order = Window.partitionBy("_source", "_bucket").orderBy("doc_id", "size")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.col("_start") + F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    placed = placed.withColumns({"_offset": offset, "_row": F.row_number().over(order)}).drop("_s", "_b", "_start")
     return placed, [(i, s, t) for i, (s, t) in enumerate(zip(sizes, targets))]
 
 
@@ -199,13 +200,15 @@ def slots(spark, sources: list, block_words: int, shard_slots: int, seed: int) -
         turn = slot.to_numpy() // blocks.to_numpy()
         return pd.Series(permuted(slot.to_numpy() % blocks.to_numpy(), blocks.to_numpy(), pass_key(source.to_numpy(), turn, seed)))
 
-    spread = drawn.repartition(max(1, min(len(rows), 4096)), "shard", "_source")
+    total = sum(n for n, _ in needed)
+    spread = drawn.repartition(max(1, min(len(rows), -(-total // SHARD_SLOTS))), "shard", "_source")
     each = spread.withColumn("_slot", F.explode(F.sequence("_first", F.col("_first") + F.col("_count") - 1)))
-    return each.select(
+    # Written, so that the join is planned by the real size and not by that of the draws.
+    return written(each.select(
         "shard", F.xxhash64("_source", "_slot", F.lit(seed)).alias("place"), F.col("_source").alias("_slot_source"),
         block_of("_source", "_slot", "_blocks").alias("_slot_block"),
         F.when(F.col("_slot") == F.col("_last"), F.col("_words")).otherwise(F.lit(block_words).cast("long")).alias("_take"),
-    )
+    ), "mix-slots")
 
 
 def segments(placed: DataFrame, block_words: int) -> DataFrame:
@@ -258,10 +261,9 @@ def mix_counts(
 ) -> DataFrame:
     """Per document: doc_id, size, source_size, target, and the words the mix takes of it."""
     joined = _joined(docs, weights, share, most, block_words, shard_slots, seed, "left")
-    keys = ["_source", "_offset", "doc_id", "size", "source_size", "target"]
-    some, none = joined.where("size > 0"), joined.where("size = 0")
-    counted = some.groupBy(*keys).agg(F.sum("n_words").alias("taken"))
-    return counted.unionByName(none.select(*keys, F.lit(0).cast("long").alias("taken"))).drop("_source", "_offset")
+    keys = ["_source", "_bucket", "_row"]
+    same = [F.any_value(c).alias(c) for c in ("doc_id", "size", "source_size", "target")]
+    return joined.groupBy(*keys).agg(*same, F.sum("n_words").alias("taken")).drop(*keys)
 
 
 def mix(
