@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.components import components
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import Texts, large_batches, map_texts, mix, pieces, range_hash, small_batches
+from jobtide.llm.texts import (
+    Texts, in_blocks, large_batches, map_texts, mix, pieces, range_hash, small_batches, whole_groups,
+)
 
 DISTANCE = 2
 MIN_CHARS = 20
@@ -236,16 +238,6 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
 BLOCK = 1024
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Deals the entries and probes of each key into blocks, so that every two meet in one of them."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    dealt = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("line"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    entered = dealt.where("entry").select("key", F.col("own").alias("x"), every.alias("y"), "line", F.lit(True).alias("entry"), "label", "text")
-    probing = dealt.select("key", every.alias("x"), F.col("own").alias("y"), "line", F.lit(False).alias("entry"), "label", "text")
-    return entered.unionByName(probing)
-
-
 def _histogram(lines: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.bincount(x & 31, minlength=32) for x in lines]).astype(np.int32)
 
@@ -256,12 +248,10 @@ def verified(rows: DataFrame, distance: int) -> DataFrame:
     Lines that already have one label are not compared.  Nothing but links leaves a task.
     """
 
-    def links(table: pa.Table):
+    def links(table: pa.Table, edges: np.ndarray):
         text = Points(table.column("text").combine_chunks())
         lines = [text.data[text.offsets[k] : text.offsets[k + 1]] for k in range(text.n)]
-        ids, labels, entry = (table.column(c).to_numpy() for c in ("line", "label", "entry"))
-        groups = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
-        edges = np.flatnonzero(np.concatenate([[True], (groups[:, 1:] != groups[:, :-1]).any(axis=0), [True]]))
+        ids, labels, entry = (table.column(c).to_numpy() for c in ("line", "label", "left"))
         sizes, counts = np.array([len(x) for x in lines]), _histogram(lines)
         left, right = [], []
         for low, high in zip(edges[:-1], edges[1:]):
@@ -271,7 +261,8 @@ def verified(rows: DataFrame, distance: int) -> DataFrame:
                 near = near[np.abs(counts[near] - counts[i]).sum(axis=1) <= 2 * distance]
                 left.append(np.full(len(near), i))
                 right.append(near)
-        left, right = np.concatenate(left or [ids[:0]]), np.concatenate(right or [ids[:0]])
+        none = np.zeros(0, np.int64)
+        left, right = np.concatenate(left or [none]), np.concatenate(right or [none])
         swap = ids[left] > ids[right]
         left, right = np.where(swap, right, left), np.where(swap, left, right)
         _, once = np.unique(np.stack([ids[left], ids[right]]), axis=1, return_index=True)
@@ -280,22 +271,12 @@ def verified(rows: DataFrame, distance: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(ids[left[close]]), pa.array(ids[right[close]])], ["a", "b"])
 
     def run(batches):
-        carry = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if carry is not None:
-                table = pa.concat_tables([carry, table])
-            last = table.slice(table.num_rows - 1, 1)
-            here = [table.column(c).to_numpy() == last.column(c)[0].as_py() for c in ("key", "x", "y")]
-            cut_at = int(np.flatnonzero(~(here[0] & here[1] & here[2])).max(initial=-1)) + 1
-            if cut_at:
-                yield links(table.slice(0, cut_at))
-            carry = table.slice(cut_at)
-        if carry is not None and carry.num_rows:
-            yield links(carry)
+        for table, edges in whole_groups(batches, ["key", "x", "y"]):
+            yield links(table, edges)
 
     large_batches(rows.sparkSession)
-    dealt = _blocks(rows).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    sides = rows.drop("entry")
+    dealt = in_blocks(rows.where("entry").drop("entry"), sides, "key", "line", BLOCK)
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 

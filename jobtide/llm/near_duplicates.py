@@ -10,8 +10,11 @@ probability that its similarity reaches the threshold falls below the chosen mis
 Only enough pairs are compared to know the components.  First each class is paired with the first
 class of each of its bands.  After those links are joined, a band in which several components meet
 is compared again: every class outside the band's largest component with all classes of other
-components.  So no link between components goes untested, and a group of copies costs one pair per
-member instead of all pairs.
+components.  Before that, the shingles that only one of the classes left has are counted; as they
+are in no intersection, they bound every similarity of their class, and pairs below the threshold
+by that bound are not made.  So no link between components goes untested, a group of copies costs
+one pair per member instead of all pairs, and copies that each have changes of their own are told
+apart without meeting.
 
 The number of bands is the smallest at which a pair exactly at the threshold shares none with a
 probability of ``MISS``.  Nulls: a null text is empty; an empty set links with nothing; rows without
@@ -30,15 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.components import components
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import Texts, large_batches, map_texts, mix, pieces, sequence_hash, small_batches
+from jobtide.llm.texts import (
+    Texts, in_blocks, large_batches, map_texts, mix, pieces, sequence_hash, small_batches, whole_groups,
+)
 
 ROWS = 7
 MISS = 1e-5
 #: Signature values compared at a time, and the probability of giving up a pair at the threshold.
 BATCH, GIVE_UP = 16, 1e-6
 SHINGLE, PERCENT = 5, 80
+#: Signature values where groups meet, and classes on a side of one piece of work there.
+LONG, BLOCK = 1024, 512
 
 
 def band_count(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -186,20 +194,50 @@ def _exact(pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, total: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int, total: int) -> DataFrame:
     """Links among candidate pairs (a, b): by signature batches, then exactly."""
     signs = classes.select("node", "signature")
     with_a = pairs.join(signs.withColumnsRenamed({"node": "a", "signature": "sa"}), "a")
     with_b = with_a.join(signs.withColumnsRenamed({"node": "b", "signature": "sb"}), "b")
     likely = written(_likely(with_b.select("a", "b", "sa", "sb"), percent, total), "near-likely")
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    needed = written(nodes.join(classes.select("node", "rep"), "node"), "near-needed")
-    # Another text may carry the same doc_id, so the digest of its set decides.
-    found = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(needed, "rep")
-    texts = written(_with_digest(found, shingle), "near-texts")
-    right = likely.join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
-    both = right.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a")
-    return _exact(both.select("a", "b", "ta", "tb"), shingle, percent)
+    return _exact(_with_texts(likely, texts), shingle, percent)
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    right = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
+    return right.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a").select("a", "b", "ta", "tb")
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """One text (node, text) for each wanted (node, rep).
+
+    A bitmap of fixed size spares most other texts the shuffle; as another text may carry the same
+    doc_id, the digest of its set decides.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "rep"))
+
+    def held(rows, _):
+        return rows.filter(pa.array(may_hold(bits.value, rows.column(0).to_numpy(zero_copy_only=False))))
+
+    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("rep"), "text")
+    found = map_texts(own, held, "rep long, text string").join(wanted, "rep")
+    return _with_digest(found, shingle)
+
+
+def _own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, size, own): how many shingles a class has, and how many of them no other one here has."""
+
+    def run(rows, found):
+        hashes, first = found.words(fold=True).shingles(shingle)
+        sets = [set_of(hashes[first[k] : first[k + 1]]) for k in range(found.n)]
+        nodes = np.repeat(rows.column(0).to_numpy(zero_copy_only=False), [len(x) for x in sets])
+        members = np.concatenate(sets) if sets else hashes
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(members.view(np.int64))], ["node", "member"])
+
+    members = map_texts(texts.select("node", "text"), run, "node long, member long")
+    # Each shingle comes back once for the first class that has it, with how many have it.
+    counted = members.groupBy("member").agg(F.min("node").alias("node"), F.count("*").alias("n")).where("n = 1")
+    return counted.groupBy("node").agg(F.count("*").alias("own"))
 
 
 def _with_digest(found: DataFrame, shingle: int) -> DataFrame:
@@ -218,6 +256,65 @@ def _with_digest(found: DataFrame, shingle: int) -> DataFrame:
     return own.dropDuplicates(["node"])
 
 
+def _long_signatures(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, long): ``LONG`` signature values, a byte each, for groups in which many pairs are near."""
+
+    def run(rows, found):
+        hashes, first = found.words(fold=True).shingles(shingle)
+        values = signatures(hashes, first, LONG)
+        short = ((values * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array([x.tobytes() for x in short], pa.binary())], ["node", "long"])
+
+    return map_texts(texts.select("node", "text"), run, "node long, long binary")
+
+
+def _across(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different labels in one band that may be linked.
+
+    ``mixed`` has band, node, label, main, centre, size, rest, bands and long.  A pair is looked at
+    in the first band it has in common, against the bound by shingles of their own and then batch by
+    batch of the long signatures.  Only pairs that survive leave a task.
+    """
+    least = least_matches(LONG, percent)
+
+    def survivors(table: pa.Table, edges: np.ndarray):
+        get = lambda c: table.column(c).to_numpy()
+        node, label, main, centre, size, rest, band, left = map(get, ("node", "label", "main", "centre", "size", "rest", "band", "left"))
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        signs = np.frombuffer(b"".join(table.column("long").to_pylist()), np.uint8).reshape(-1, LONG)
+        found = []
+        for low, high in zip(edges[:-1], edges[1:]):
+            mine, others = low + np.flatnonzero(left[low:high]), low + np.flatnonzero(~left[low:high])
+            mine, others = mine[node[mine] != centre[mine]], others[node[others] != centre[others]]
+            step = max(1, 65536 // max(1, len(others)))
+            for at in range(0, len(mine), step):
+                x, y = np.repeat(mine[at : at + step], len(others)), np.tile(others, len(mine[at : at + step]))
+                shared = np.minimum(rest[x], rest[y])
+                good = (label[x] != label[y]) & ((label[y] == main[y]) | (node[x] < node[y]))
+                good &= 100 * shared >= percent * (size[x] + size[y] - shared)
+                x, y = x[good], y[good]
+                common = bands[x] == bands[y]
+                here = bands[x, common.argmax(axis=1)] == band[x]
+                x, y = x[here], y[here]
+                matches = np.zeros(len(x), np.int64)
+                for first in range(0, LONG, 4 * BATCH):
+                    last = first + 4 * BATCH
+                    matches += (signs[x, first:last] == signs[y, first:last]).sum(axis=1)
+                    alive = matches >= least[last]
+                    x, y, matches = x[alive], y[alive], matches[alive]
+                found.append((np.minimum(node[x], node[y]), np.maximum(node[x], node[y])))
+        a, b = (np.concatenate(v) for v in zip(*found)) if found else (node[:0], node[:0])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches):
+        for table, edges in whole_groups(batches, ["band", "x", "y"]):
+            yield survivors(table, edges)
+
+    small_batches(mixed.sparkSession)
+    dealt = in_blocks(mixed.where("label <> main"), mixed, "band", "node", BLOCK)
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id and kept.
 
@@ -230,7 +327,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     linkable = prints.where("node is not null and doc_id is not null")
     classes = written(
         linkable.groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")
+            F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")
         ),
         "near-classes",
     )
@@ -238,7 +335,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     centres = entries.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
     met = written(entries.join(centres.select("band", "centre"), "band"), "near-met")
     stars = met.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_confirmed(stars, classes, docs, shingle, percent, total), "near-links")
+    met_nodes = met.select("node").distinct().join(classes.select("node", "rep"), "node")
+    texts = written(_texts_of(docs, written(met_nodes, "near-needed"), shingle), "near-texts")
+    links = written(_confirmed(stars, classes, texts, shingle, percent, total), "near-links")
     labels = components(links, "a", "b")
 
     placed = met.join(labels, "node", "left").select("band", "node", "centre", F.coalesce("label", "node").alias("label"))
@@ -248,12 +347,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("parts")
     ).where("parts > 1")
     mixed = written(placed.join(largest.select("band", "main"), "band"), "near-mixed")
-    outside = mixed.where("label <> main").select("band", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("centre").alias("c"))
-    across = outside.join(mixed.select("band", F.col("node").alias("y"), F.col("label").alias("ly")), "band")
-    across = across.where("lx <> ly and x <> c and y <> c")
-    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = _confirmed(across, classes, docs, shingle, percent, total)
-    links = written(links.unionByName(more), "near-all-links")
+    left = mixed.select("node").distinct()
+    own = _own_shingles(texts.join(left, "node"), shingle)
+    sizes = left.join(classes.select("node", "size"), "node").join(own, "node", "left")
+    sizes = sizes.withColumn("rest", F.col("size") - F.coalesce("own", F.lit(0)))
+    sizes = written(sizes.where(100 * F.col("rest") >= percent * F.col("size")).drop("own"), "near-sizes")
+    kept = classes.select("node", "bands").join(_long_signatures(texts.join(sizes, "node"), shingle), "node")
+    mixed = mixed.join(sizes, "node").join(kept, "node")
+    across = written(_across(mixed, percent), "near-across")
+    links_across = _exact(_with_texts(across, texts), shingle, percent)
+    links = written(links.unionByName(links_across), "near-all-links")
     labels = components(links, "a", "b")
 
     own = classes.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -18,6 +18,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Texts are handled in pieces of about so many bytes; one longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
@@ -243,3 +244,41 @@ def with_columns(rows: pa.RecordBatch, names: list[str], **new) -> pa.RecordBatc
     kept = [rows.column(rows.schema.get_field_index(n)) for n in names]
     added = [v if isinstance(v, pa.Array) else pa.array(v) for v in new.values()]
     return pa.RecordBatch.from_arrays(kept + added, names=names + list(new))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches sorted by the keys, and where in each table groups begin and end."""
+
+    def edges(table: pa.Table) -> np.ndarray:
+        change = np.zeros(max(table.num_rows - 1, 0), bool)
+        for key in keys:
+            column = table.column(key).to_numpy()
+            change |= column[1:] != column[:-1]
+        return np.concatenate([[0], np.flatnonzero(change) + 1, [table.num_rows]])
+
+    carry = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if carry is not None:
+            table = pa.concat_tables([carry, table]).combine_chunks()
+        at = edges(table)
+        if len(at) > 2:
+            yield table.slice(0, int(at[-2])), at[:-1]
+        carry = table.slice(int(at[-2]))
+    if carry is not None and carry.num_rows:
+        yield carry, np.array([0, carry.num_rows])
+
+
+def in_blocks(left: DataFrame, right: DataFrame, key: str, member: str, size: int) -> DataFrame:
+    """Deals two tables with the same columns into blocks (key, x, y) of about ``size`` members a side.
+
+    Every two rows of one key meet in one block, in which ``left`` tells their sides; a hot key is
+    dealt over as many blocks as it needs.
+    """
+    counts = right.groupBy(key).agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64(member), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    names = [c for c in left.columns if c != key]
+    first = left.join(counts, key).select(key, own.alias("x"), every.alias("y"), F.lit(True).alias("left"), *names)
+    second = right.join(counts, key).select(key, every.alias("x"), own.alias("y"), F.lit(False).alias("left"), *names)
+    return first.unionByName(second).repartition(key, "x", "y").sortWithinPartitions(key, "x", "y")
