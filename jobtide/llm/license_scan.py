@@ -4,8 +4,10 @@ Method: the lines of a document and its paragraphs (between blank lines, if of s
 normalised to lower-case ASCII words and compared with license templates by the Dice coefficient of
 their bags of word bigrams: twice the shared bigrams over all bigrams of both.  A coefficient of t
 needs between t / (2 - t) and (2 - t) / t times as many bigrams as the template has, so passages are
-joined with templates on their number of bigrams, before any bigram is built.  Candidates that share
-no bigram are put aside next; the others are compared exactly, repeated bigrams numbered.
+joined with templates on their number of bigrams, before any bigram is built.  Before that, texts and
+passages without any anchor word are put aside: the anchors of a template are words of it without
+which too few of its bigrams are left to reach t.  The others are compared exactly, repeated bigrams
+numbered.
 
 Nulls: a null text has no passage; a null doc_id is reported as null.  Passages of fewer than two
 words match nothing.  Ties: a passage goes to the template with the highest coefficient, then the
@@ -16,6 +18,8 @@ clash.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +81,30 @@ def numbered(values: Column) -> Column:
     ))
 
 
+def anchors(templates: dict[str, str], threshold: float) -> list[str]:
+    """Words of which a passage has at least one if it reaches the threshold with any template.
+
+    A passage that shares s bigrams with a template of m has s bigrams or more, so its coefficient is
+    at most 2 s / (s + m).  Words are taken, long ones first, until the bigrams without them are too
+    few for the threshold.
+    """
+    found: set[str] = set()
+    for text in templates.values():
+        words = re.findall("[a-z0-9]+", text.translate({c: c + 32 for c in range(65, 91)}))
+        pairs = list(zip(words, words[1:]))
+        rest = sorted(set(words) - found, key=lambda w: (-len(w), w))
+        while True:
+            left = sum(a not in found and b not in found for a, b in pairs)
+            if not pairs or 2 * left < threshold * (left + len(pairs)) - 1e-9:
+                break
+            found.add(rest.pop(0))
+    return sorted(found)
+
+
+def has_anchor(text: Column, words: list[str]) -> Column:
+    return text.rlike(r"(?<![A-Za-z0-9])(?i:" + "|".join(words) + r")(?![A-Za-z0-9])") if words else F.lit(False)
+
+
 def template_table(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
     """(size, candidates): the templates that a passage of so many bigrams can match."""
     rows = spark.createDataFrame([(-k, n, templates[n]) for k, n in enumerate(sorted(templates))], "rank int, template string, text string")
@@ -112,7 +140,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     table = template_table(docs.sparkSession, templates, threshold)
     if sum(map(len, templates.values())) <= BROADCAST_CHARS:
         table = F.broadcast(table)
-    found = passages(docs.select("doc_id", "text")).withColumn("normal", normalised(F.col("passage"))).drop("passage")
+    words = anchors(templates, threshold)
+    found = passages(docs.select("doc_id", "text").where(has_anchor(F.col("text"), words)))
+    found = found.where(has_anchor(F.col("passage"), words)).withColumn("normal", normalised(F.col("passage"))).drop("passage")
     found = found.withColumn("size", n_bigrams(F.col("normal")).cast("int")).where("size > 0")
     met = found.join(table, "size").withColumn("plain", bigrams(F.col("normal"))).drop("normal")
     near = F.filter("candidates", lambda t: F.arrays_overlap(F.col("plain"), t["plain"]))
