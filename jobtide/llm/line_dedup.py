@@ -30,13 +30,13 @@ from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.components import components
 from jobtide.llm.scratch import written
 from jobtide.llm.texts import (
-    Texts, in_blocks, large_batches, map_texts, mix, pieces, range_hash, small_batches, whole_groups,
+    Texts, in_blocks, large_batches, map_texts, mix, pieces, range_hash, release, small_batches, whole_groups,
 )
 
 DISTANCE = 2
 MIN_CHARS = 20
 #: Line hashes a task remembers, so that it enters a frequent line once; then it starts anew.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 _MARK = np.uint64(0xA24BAED4963EE407)
 
 
@@ -212,6 +212,7 @@ def _entered(docs: DataFrame, distance: int, min_chars: int) -> DataFrame:
                     [pa.array(keys.view(np.int64)), pa.array(hashes[which].view(np.int64)), pa.array(entry)],
                     ["key", "line", "entry"],
                 )
+        release()
 
     small_batches(docs.sparkSession)
     return docs.where("text is not null").select("text").mapInArrow(run, "key long, line long, entry boolean")

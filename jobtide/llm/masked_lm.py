@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.texts import Texts, Words, map_texts, mix, pieces, small_batches, sums_by
+from jobtide.llm.texts import Texts, Words, map_texts, mix, pieces, release, small_batches, sums_by
 
 CLASSES, FREQUENT = 256, 160
 SIDE, WIDTH, HIDDEN = 2, 16, 32
@@ -52,6 +52,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
         if held:
             yield _rows(*_merged(held))
+        release()
 
     def _rows(words, n):
         return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])

@@ -9,6 +9,9 @@ different strings share a hash with a probability of about 2**-64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -62,6 +65,14 @@ def large_batches(spark: SparkSession) -> None:
     spark.conf.set(BATCH_CONF, "10000")
 
 
+def release() -> None:
+    """Gives freed memory back, as the worker waits for its next task beside the executor's JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(30))
@@ -234,6 +245,7 @@ def map_texts(
         for batch in batches:
             for rows in pieces(batch, column):
                 yield function(rows, Texts(rows.column(rows.schema.get_field_index(column))))
+        release()
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
