@@ -150,14 +150,14 @@ def draw_shards(quotas: list[int], shard_slots: int, seed: int) -> list[tuple[in
     return out
 
 
-def packed(docs: DataFrame, weights: Callable, share: float = SHARE, most: float = MOST, columns=()) -> tuple[DataFrame, list]:
+def packed(docs: DataFrame, weights: Callable, share: float = SHARE, most: float = MOST) -> tuple[DataFrame, list]:
     """Documents with their size, source figures and word offset in their source; and the sources.
 
     Offsets come from bucket totals (``BUCKETS`` rows per source) and a window within each bucket, so
     no task holds a whole source.
     """
     spark = docs.sparkSession
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *columns)
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("_print"))
     bucket = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(BUCKETS)).cast("int")
     sized = written(sized.withColumn("_bucket", bucket), "mix-sizes")
     totals = written(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_n")), "mix-totals")
@@ -175,7 +175,7 @@ def packed(docs: DataFrame, weights: Callable, share: float = SHARE, most: float
     )
     starts = starts.join(table, F.col("_s").eqNullSafe(F.col("_name"))).drop("_name")
     placed = sized.join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
-    order = Window.partitionBy("_source", "_bucket").orderBy("doc_id", "size")
+    order = Window.partitionBy("_source", "_bucket").orderBy("doc_id", "size", "_print")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     offset = F.col("_start") + F.coalesce(F.sum("size").over(earlier), F.lit(0))
     placed = placed.withColumns({"_offset": offset, "_row": F.row_number().over(order)}).drop("_s", "_b", "_start")
@@ -227,27 +227,9 @@ def segments(placed: DataFrame, block_words: int) -> DataFrame:
     })
 
 
-def _joined(docs, weights, share, most, block_words, shard_slots, seed, how, columns=()):
-    placed, sources = packed(docs, weights, share, most, columns)
+def _joined(docs, weights, share, most, block_words, shard_slots, seed, how):
+    placed, sources = packed(docs, weights, share, most)
     parts = segments(placed, block_words)
-    if columns:
-        with_space = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-        pieces = placed.withColumn("_all", with_space)
-        low = F.col("_offset") % block_words
-        cuts = F.transform(
-            F.sequence(F.lit(0), F.floor((low + F.col("size") - 1) / block_words)),
-            lambda k: F.array_join(F.slice(
-                F.col("_all"), (F.greatest(k * block_words - low, F.lit(0)) + 1).cast("int"),
-                (F.least((k + 1) * block_words - low, F.col("size")) - F.greatest(k * block_words - low, F.lit(0))).cast("int"),
-            ), ""),
-        )
-        pieces = pieces.withColumn("_texts", F.when(F.col("size") > 0, cuts)).drop("_all", "text")
-        block = F.floor(F.col("_offset") / block_words) + F.col("_part")
-        start = F.greatest(F.col("_offset"), block * block_words)
-        parts = pieces.select("*", F.posexplode_outer("_texts").alias("_part", "_text")).drop("_texts").withColumns({
-            "_block": block, "_from": start - block * block_words, "first_word": start - F.col("_offset"),
-            "_words": F.least(F.col("_offset") + F.col("size"), (block + 1) * block_words) - start,
-        })
     wanted = slots(docs.sparkSession, sources, block_words, shard_slots, seed)
     on = (F.col("_source") == F.col("_slot_source")) & (F.col("_block") == F.col("_slot_block"))
     taken = F.greatest(F.least(F.col("_words"), F.col("_take") - F.col("_from")), F.lit(0))
@@ -272,13 +254,31 @@ def mix(
 ) -> DataFrame:
     """The mixed corpus: shard, place in it, source, block, and the block's parts with their text.
 
-    Ordering by (shard, place, from_word) gives the output sequence.
+    Ordering by (shard, place, from_word) gives the output sequence.  The parts are worked out on
+    numbers alone and meet the texts at the end, by doc_id and a hash of the text, so texts are
+    shuffled once; equal rows, which these do not tell apart, are numbered on both sides.
     """
-    joined = _joined(docs, weights, share, most, block_words, shard_slots, seed, "inner", ["text"])
-    whole = F.col("n_words") == F.col("_words")
-    with_space = F.regexp_extract_all("_text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    text = F.when(whole, F.col("_text")).otherwise(F.array_join(F.slice(with_space, 1, F.col("n_words").cast("int")), ""))
-    return joined.where("n_words > 0").select(
-        "shard", "place", "source", F.col("_block").alias("block"), F.col("_from").alias("from_word"), "doc_id",
-        "first_word", "n_words", "source_size", "target", text.alias("text"),
+    joined = _joined(docs, weights, share, most, block_words, shard_slots, seed, "inner").where("n_words > 0")
+    copy = F.dense_rank().over(Window.partitionBy("doc_id", "_print").orderBy("_source", "_bucket", "_row"))
+    part = F.struct(
+        "_copy", "shard", "place", F.col("_block").alias("block"), F.col("_from").alias("from_word"), "first_word",
+        "n_words", "source_size", "target",
+    )
+    parts = joined.withColumn("_copy", copy).groupBy("doc_id", "_print").agg(F.collect_list(part).alias("_parts"))
+    parts = parts.withColumnsRenamed({"doc_id": "_doc_id", "_print": "_hash"})
+    same = Window.partitionBy("doc_id", "_print").orderBy(F.lit(0))
+    rows = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_print")).withColumn("_number", F.row_number().over(same))
+    met = rows.join(parts, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_print") == F.col("_hash")))
+    with_space = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    met = met.withColumn("_all", with_space)
+    cut = F.transform(
+        F.filter("_parts", lambda p: p["_copy"] == F.col("_number")),
+        lambda p: p.withField("text", F.array_join(
+            F.slice("_all", (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), ""
+        )),
+    )
+    found = met.select("doc_id", "source", F.explode(cut).alias("_p"))
+    return found.select(
+        "_p.shard", "_p.place", "source", "_p.block", "_p.from_word", "doc_id", "_p.first_word", "_p.n_words",
+        "_p.source_size", "_p.target", "_p.text",
     )
