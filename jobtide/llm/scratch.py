@@ -13,12 +13,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where that is unset (tests), a local one.
 
-    A session that runs on several machines must have the setting, or the write fails there.
+    A session that runs on several machines must have the setting, or reading back fails there.
     """
-    found = spark.conf.get(CHECKPOINT_CONF, None)
+    found = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not found:
-        found = tempfile.mkdtemp(prefix="jobtide-llm-")
-        spark.conf.set(CHECKPOINT_CONF, found)
+        found = getattr(spark.sparkContext, "_jobtide_llm_folder", None) or tempfile.mkdtemp(prefix="jobtide-llm-")
+        spark.sparkContext._jobtide_llm_folder = found
     return found.rstrip("/")
 
 

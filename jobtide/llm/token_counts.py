@@ -151,7 +151,7 @@ def tokens_by_section(docs: DataFrame, sections: DataFrame, vocabulary: str = VO
     A document without sections has at most its row with a null section.  Sections with a null bound
     are left out.
     """
-    bounds = F.struct(F.col("first_char").cast("long"), F.col("end_char").cast("long"), F.col("section").cast("string"))
+    bounds = F.struct(*[F.col(c).cast(k).alias(c) for c, k in (("first_char", "long"), ("end_char", "long"), ("section", "string"))])
     given = sections.where("first_char is not null and end_char is not null").groupBy(F.col("doc_id").alias("_doc_id"))
     given = given.agg(F.array_sort(F.collect_list(bounds)).alias("_sections"))
     joined = docs.select("doc_id", "text").join(given, F.col("doc_id") == F.col("_doc_id"), "left").drop("_doc_id")
