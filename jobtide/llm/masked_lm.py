@@ -28,7 +28,7 @@ from jobtide.llm.texts import Texts, Words, map_texts, mix, pieces, release, sma
 
 CLASSES, FREQUENT = 256, 160
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-ROUNDS, DRAW, BATCH, RATE = 2, 16, 256, 0.5
+ROUNDS, DRAW, BATCH, RATE = 2, 16, 128, 0.05
 STEP = 4096
 #: Different words a task counts before it hands its counts on and starts anew.
 REMEMBERED = 1 << 20
@@ -119,9 +119,10 @@ class Network:
             size = int(np.prod(shape))
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
+        self.squares = None
 
     def train(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One step of gradient descent on the mean log loss of a batch."""
+        """One step of Adagrad on the mean log loss of a batch."""
         n = len(target)
         x = self.E[around].reshape(n, -1)
         h = np.tanh(x @ self.W + self.b)
@@ -131,11 +132,15 @@ class Network:
         d /= n
         d_h = (d @ self.O.T) * (1 - h * h)
         d_x = (d_h @ self.W.T).reshape(n * 2 * SIDE, WIDTH)
-        self.O -= rate * (h.T @ d)
-        self.c -= rate * d.sum(axis=0)
-        self.W -= rate * (x.T @ d_h)
-        self.b -= rate * d_h.sum(axis=0)
-        np.subtract.at(self.E, around.ravel(), rate * d_x)
+        places = np.zeros((n * 2 * SIDE, CLASSES), np.float32)
+        places[np.arange(len(places)), around.ravel()] = 1
+        gradient = np.concatenate([
+            g.ravel() for g in (places.T @ d_x, x.T @ d_h, d_h.sum(axis=0), h.T @ d, d.sum(axis=0))
+        ])
+        if self.squares is None:
+            self.squares = np.full(self.SIZE, 1e-8, np.float32)
+        self.squares += gradient * gradient
+        self.flat -= rate * gradient / np.sqrt(self.squares)
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The log-probability of each target, given the classes around it."""
