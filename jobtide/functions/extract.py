@@ -18,7 +18,7 @@ def plain_apostrophes(c: Column | str) -> Column:
 
 def _amount(text: Column, marks: str, factor: int = 1) -> Column:
     digits = F.regexp_replace(text, f"[{marks}]", "") if marks else text
-    return digits.try_cast("long") * F.lit(factor).cast("long")
+    return F.try_multiply(digits.try_cast("long"), F.lit(factor).cast("long"))
 
 
 def salary_range(c: Column | str) -> Column:
@@ -45,10 +45,13 @@ def salary_range(c: Column | str) -> Column:
         return F.get(F.transform(amounts, lambda a: pair(a, a)), F.lit(0))
 
     span = rf"(?i){cur}{_WS}([0-9']+){_WS}(?:{fixed.SALARY_RANGE_WORDS}){_WS}([0-9']+)"
-    spans = F.zip_with(
-        F.regexp_extract_all(text, F.lit(span), F.lit(1)),
-        F.regexp_extract_all(text, F.lit(span), F.lit(2)),
-        lambda a, b: pair(_amount(a, "',"), _amount(b, "',")),
+    # the text is searched once; the two figures are taken from each short hit
+    spans = F.transform(
+        F.regexp_extract_all(text, F.lit(span), F.lit(0)),
+        lambda hit: pair(
+            _amount(F.regexp_extract(hit, span, 1), "',"),
+            _amount(F.regexp_extract(hit, span, 2), "',"),
+        ),
     )
     spans = F.filter(spans, lambda s: plausible(s["min"]) & plausible(s["max"]))
 
@@ -124,17 +127,22 @@ def seniority(title: Column | str, description: Column | str) -> Column:
 
 
 def workload_bounds(c: Column | str) -> Column:
-    """``struct<min int, max int>``: one figure gives both bounds, more give the first two."""
+    """``struct<min int, max int>``: one figure gives both bounds, more give the first two.
+
+    A figure beyond an int is an unknown bound; no later figure takes its place.
+    """
     runs = F.regexp_extract_all(as_col(c), F.lit("([0-9]+)"), F.lit(1))
     # folded over the first two, so the text is searched once
     none = F.lit(None).cast("int")
     return F.aggregate(
         F.slice(F.coalesce(runs, F.array().cast("array<string>")), 1, 2),
-        F.struct(none.alias("min"), none.alias("max")),
+        F.struct(F.lit(0).alias("n"), none.alias("min"), none.alias("max")),
         lambda seen, run: F.struct(
-            F.coalesce(seen["min"], run.try_cast("int")).alias("min"),
+            (seen["n"] + 1).alias("n"),
+            F.when(seen["n"] == 0, run.try_cast("int")).otherwise(seen["min"]).alias("min"),
             run.try_cast("int").alias("max"),
         ),
+        lambda seen: F.struct(seen["min"].alias("min"), seen["max"].alias("max")),
     )
 
 

@@ -101,10 +101,13 @@ class Lexicon:
             ]
             more = F.create_map(*pairs)
             none = F.array().cast("array<string>")
-            extra = F.flatten(
-                F.transform(hits, lambda t: F.coalesce(F.try_element_at(more, t), none))
-            )
-            hits = F.array_distinct(F.concat(hits, extra))
+
+            def with_shorter(met: Column) -> Column:
+                extra = F.transform(met, lambda t: F.coalesce(F.try_element_at(more, t), none))
+                return F.array_distinct(F.concat(met, F.flatten(extra)))
+
+            # bound as an element, so that the text is searched once
+            hits = F.transform(F.array(hits), with_shorter)[0]
         return F.array_sort(hits)
 
     def occurs(self, lowered: Column | str) -> Column:

@@ -89,10 +89,14 @@ class RuleSet:
         hits = F.array_sort(F.flatten(F.transform(found, lambda w: F.try_element_at(table, w))))
         if not first_per_rule:
             return hits
-        return F.filter(
-            hits,
-            lambda h, i: (i == 0) | (F.get(hits, i - 1)["rule_order"] != h["rule_order"]),
-        )
+        # bound as an element, so that the text is searched once and not for each hit
+        return F.transform(
+            F.array(hits),
+            lambda all_hits: F.filter(
+                all_hits,
+                lambda h, i: (i == 0) | (F.get(all_hits, i - 1)["rule_order"] != h["rule_order"]),
+            ),
+        )[0]
 
 
 def agency_flag(company: Column | str, names: Sequence[str] = fixed.AGENCY_NAMES) -> Column:

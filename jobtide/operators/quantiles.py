@@ -170,11 +170,18 @@ def _with_fences(
     return _counted(df, [group], value).join(box, group)
 
 
+#: Copies of a repeated outlier that are made from one row.
+RUN = 4096
+
+
 def outliers(
     df: DataFrame, group: str, value: str, reach: float = 1.5, small_domain: bool = False
 ) -> DataFrame:
     """The values beyond the whiskers, each as often as it occurs."""
     joined = _with_fences(df, group, value, reach, small_domain)
     beyond = joined.where(~F.col("_v").between(F.col("fence_low"), F.col("fence_high")))
-    each = F.explode(F.sequence(F.lit(1), F.col("_c")))
-    return beyond.select(group, F.col("_v").alias(value), each.alias("_i")).drop("_i")
+    # Repeated by runs, so that no row holds an array as long as a count.
+    runs = beyond.select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_c") / RUN) - 1)).alias("_run"))
+    size = F.least(F.lit(RUN), F.col("_c") - F.col("_run") * RUN)
+    each = F.explode(F.sequence(F.lit(1), size.cast("int")))
+    return runs.select(group, F.col("_v").alias(value), each.alias("_i")).drop("_i")

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from jobtide import fixed_values as fixed
 from jobtide.functions.extract import workload_category
@@ -246,8 +247,9 @@ def count_and_mean(
         .agg(F.count(counted).alias("postings"), F.avg(averaged).alias("macro_mean"))
         .where(F.col("postings") >= min_rows)
     )
-    known = out.agg((F.count("macro_mean") > 0).alias("known")).scalar()
-    return out.where(known).orderBy("postings", group)
+    known = F.max(F.col("macro_mean").isNotNull()).over(Window.partitionBy(F.lit(0)))
+    out = out.withColumn("_known", known).where("_known").drop("_known")
+    return out.orderBy("postings", group)
 
 
 def rate_by_group(df: DataFrame, group: str, flag: str, min_rows: int = 1) -> DataFrame:

@@ -26,7 +26,9 @@ def enrich_postings(
 
     One shuffle (the de-duplication); everything after it is a projection.
     """
-    df = keep_first(raw, ["job_id"], order)
+    # The digest of the whole row settles what the order leaves tied, whatever the partitioning.
+    tied = raw.withColumn("_digest", F.xxhash64(*sorted(raw.columns)))
+    df = keep_first(tied, ["job_id"], [*order, "_digest"]).drop("_digest")
     df = df.withColumnsRenamed({"search_term": "role", "description_clean": "description"})
     df = df.withColumns({"location_raw": nonempty("location_raw"), "role": strip(F.lower("role"))})
     df = df.withColumns(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.lexicon import Lexicon
 from jobtide.functions.tags import dictionary_tags
-from jobtide.sources.files import spread
 
 BASE_URL = "https://jobs.example.com"
 
@@ -27,8 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
-    """The columns of a table, on all cores where its files are too few for that."""
-    return spread(table(spark, sf_dir, name).select(key, *columns), key)
+    """The columns of a stored table, on all cores where its scan has fewer splits than that.
+
+    A file with one row group is read by one task, and everything up to the next shuffle stays in
+    it.  The split count of a bare scan is known without starting a job.
+    """
+    scan = table(spark, sf_dir, name).select(key, *columns)
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
 # Words of the test texts, in place of skills.  Some share their start, some overlap, one ends in

@@ -70,6 +70,15 @@ class Page:
         self.pieces: list[str] = []
 
 
+def _closes_itself(raw: str) -> bool:
+    """Whether a start tag ends in a slash that is not part of an unquoted attribute value."""
+    return raw.endswith("/") and not _UNQUOTED_SLASH.search(_QUOTED.sub('""', raw))
+
+
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_UNQUOTED_SLASH = re.compile(r"=\s*[^\s\"'=][^\s\"']*$")
+
+
 def parse_page(text: str) -> Node:
     """Root of a page; an end tag closes up to its nearest open start tag, stray ones are ignored."""
     page = Page()
@@ -109,7 +118,7 @@ def parse_page(text: str) -> Node:
             continue
         node = Node(page, tag, raw, here)
         page.nodes.append(node)
-        if tag in VOID or raw.endswith("/"):
+        if tag in VOID or _closes_itself(raw):
             close(node)
             continue
         if tag in NO_TEXT:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from jobtide.functions.rules import RULE_SCHEMA, RuleSet
+from jobtide.functions.rules import MAX_RULE_ROWS, RULE_SCHEMA, RuleSet
 from jobtide.functions.text import safe_timestamp
 
 MACRO_REGION_SCHEMA = "region string, quarter string, vacancies double, year int"
@@ -16,16 +16,19 @@ MACRO_INDUSTRY_SCHEMA = "industry string, quarter string, vacancies double, year
 MAX_ROWS_PER_FILE = 2_000_000
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType | None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: str | StructType | None, multi_line: bool = True
+) -> DataFrame:
     """Header, RFC 4180 quoting, line breaks inside quotes.
 
     A file with quoted line breaks cannot be split, so the writer below keeps files small and a
-    folder is read in parallel by file.  Without a schema every column is text (no extra pass to
+    folder is read in parallel by file.  Where no cell holds a line break, ``multi_line=False``
+    lets one file be read by many tasks.  Without a schema every column is text (no extra pass to
     guess types).
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -35,19 +38,6 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType | None) ->
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows hashed over all cores, where the scan has fewer splits than there are cores.
-
-    A file with one row group is read by one task, however many splits it has, and everything up
-    to the next shuffle stays in it.  Worth a shuffle only before heavy per-row work on small inputs; a table of many row groups
-    is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = MAX_ROWS_PER_FILE
 ) -> None:
@@ -102,8 +92,11 @@ def union_tagged(batches: dict[str, DataFrame], tag_column: str = "search_term")
     return out
 
 
-def read_rules(spark: SparkSession, path: str) -> RuleSet:
-    """Rule table from CSV, or from JSON lines where the path ends in ``.json``."""
+def read_rules(spark: SparkSession, path: str, max_rows: int = MAX_RULE_ROWS) -> RuleSet:
+    """Rule table from CSV, or from JSON lines where the path ends in ``.json``.
+
+    The driver holds the rules; a table of more than ``max_rows`` keywords is refused.
+    """
     if path.endswith(".json"):
-        return RuleSet.from_table(spark.read.schema(RULE_SCHEMA).json(path))
-    return RuleSet.from_table(read_csv(spark, path, RULE_SCHEMA))
+        return RuleSet.from_table(spark.read.schema(RULE_SCHEMA).json(path), max_rows)
+    return RuleSet.from_table(read_csv(spark, path, RULE_SCHEMA), max_rows)

@@ -96,7 +96,7 @@ def _labelled_value(node: Node, prefix: str, label: Selector, value: Selector) -
 
 
 def _card_links(card: Node, anchor: Selector) -> list[str]:
-    outer = [n for n in list(card.up())[:8] if n.tag == "a" and n.attrs.get("href")]
+    outer = [n for n in card.up() if n.tag == "a" and n.attrs.get("href")]
     return [n.attrs.get("href", "") for n in [*outer, *anchor.all(card)]]
 
 

@@ -141,3 +141,11 @@ def test_urls(values):
     assert values(ranked, ["http://a/bb http://a/detail/c http://a/b", "http://a/b http://a/c"]) == [
         "http://a/detail/c", "http://a/b",
     ]
+
+
+def test_long_figures_do_not_end_the_job(values):
+    texts = ["999999999999999999 CHF per month", "CHF 9999999999999999999999 - 120'000", "CHF 80'000 - 100'000"]
+    assert [x and tuple(x) for x in values(extract.salary_range("x"), texts)][::2] == [None, (80000, 100000)]
+    assert [tuple(x) for x in values(extract.workload_bounds("x"), ["99999999999 - 80%", "80 - 100%", "60%", "", None])] == [
+        (None, 80), (80, 100), (60, 60), (None, None), (None, None),
+    ]

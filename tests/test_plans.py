@@ -167,3 +167,12 @@ def test_panels(merged):
     top = results["top_skills"].collect()
     assert [(r.tag, r["count"]) for r in top] == [("python", 1), ("r", 1), ("sql", 1)]
     assert results["roles_by_region"].where(F.col("region") == "Zurich").first()["data engineer"] == 1
+
+
+def test_enrich_does_not_depend_on_partitioning(spark):
+    rows = [(f"id{i % 40}", "2026-01-01", f"term {i}", f"title {i}", f"CHF {i}0'000") for i in range(400)]
+    raw = spark.createDataFrame(rows, "job_id string, scraped_at string, search_term string, title string, description_clean string")
+    for c in ("url", "location_raw", "posted_date", "workload_raw", "company"):
+        raw = raw.withColumn(c, F.lit("2026-01-01"))
+    found = [sorted(map(str, enrich.enrich_postings(raw.repartition(n, "title")).collect())) for n in (1, 3, 7, 16)]
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 40

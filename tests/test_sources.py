@@ -115,11 +115,28 @@ def test_runs_are_kept_apart(spark, tmp_path):
     ]
 
 
-def test_spread_only_when_needed(spark):
-    small = spark.range(100, numPartitions=1)
-    assert files.spread(small, "id").rdd.getNumPartitions() == 8
-    wide = spark.range(100, numPartitions=20)
-    assert files.spread(wide, "id") is wide
+def test_csv_without_line_breaks_is_split(spark, tmp_path):
+    path = str(tmp_path / "one.csv")
+    with open(path, "w") as f:
+        f.write("a,b\n" + "".join(f"{i},text of row {i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        whole = files.read_csv(spark, path, "a int, b string")
+        split = files.read_csv(spark, path, "a int, b string", multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert whole.exceptAll(split).count() == split.exceptAll(whole).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_card_link_far_out_and_unquoted_slash(spark):
+    inner = "<div data-cy='vacancy-serp-item'><span>t</span></div>"
+    page = "<a href='/en/jobs/detail/x/'>" + "<div>" * 12 + inner + "</div>" * 12 + "</a>"
+    layout = html.PageLayout(cards=("div[data-cy='vacancy-serp-item']",))
+    df = spark.createDataFrame([(page,)], "page string").select(html.raw_cards("page", layout).alias("c"))
+    assert df.first().c[0]["links"] == ["/en/jobs/detail/x/"]
+    root = parse_page("<p><a href=/en/jobs/>first</a><br/><a href='b'/>x</p>")
+    assert Selector("a[href]").one_text(root) == "first"
 
 
 def test_key_is_sha1(values):
