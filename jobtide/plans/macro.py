@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from jobtide import fixed_values as fixed
 from jobtide.functions.periods import period_proxy, quarter_start
@@ -48,12 +49,46 @@ def industry_vacancies(cubes: DataFrame, text: str) -> DataFrame:
     return macro_table(cubes, text, dims, "industry", fixed.MACRO_INDUSTRY_LABELS)
 
 
+#: Places that rows with a null key are dealt over in a shuffled join.
+NULL_PARTS = 1000
+
+
 def attach_macro(
     postings: DataFrame, macro: DataFrame, label: str, quarter: str, out: str
 ) -> DataFrame:
-    return left_enrich(
-        postings, macro, {label: label, quarter: "quarter"}, {"vacancies": out}
-    )
+    """Postings with the statistics of their label and quarter.
+
+    Postings without a label or quarter find none.  Where the join shuffles, a third key deals them
+    over ``NULL_PARTS`` places, so that no task gathers them all; where the statistics are
+    broadcast, it costs nothing, and in neither case is the input read twice.
+    """
+    missing = F.col(label).isNull() | F.col(quarter).isNull()
+    plain = [f.name for f in postings.schema if f.dataType.typeName() not in ("map", "variant")]
+    place = F.when(missing, F.pmod(F.xxhash64(*plain), F.lit(NULL_PARTS)) + 1).otherwise(F.lit(0))
+    right = macro.select(label, "quarter", "vacancies", F.lit(0).cast("long").alias("_place"))
+    on = {label: label, quarter: "quarter", "_place": "_place"}
+    found = left_enrich(postings.withColumn("_place", place), right, on, {"vacancies": out})
+    return found.drop("_place")
+
+
+def label_figures(
+    postings: DataFrame, macro: DataFrame, label: str, quarter: str, counted: str, min_rows: int = 1
+) -> DataFrame:
+    """Counted postings and mean vacancies per label, smallest label first.
+
+    As ``count_and_mean`` over postings with their statistics attached, but postings are counted by
+    label and quarter first, so the join meets one row for each of these.  Empty where no label has
+    statistics.
+    """
+    rows = postings.where(F.col(label).isNotNull()).groupBy(label, quarter)
+    counts = rows.agg(F.count(counted).alias("postings"), F.count("*").alias("_rows"))
+    met = attach_macro(counts, macro, label, quarter, "_vacancies")
+    weight = F.when(F.col("_vacancies").isNotNull(), F.col("_rows"))
+    mean = F.try_divide(F.sum(F.col("_vacancies") * weight), F.sum(weight))
+    out = met.groupBy(label).agg(F.sum("postings").alias("postings"), mean.alias("macro_mean"))
+    out = out.where(F.col("postings") >= min_rows)
+    known = F.max(F.col("macro_mean").isNotNull()).over(Window.partitionBy(F.lit(0)))
+    return out.withColumn("_known", known).where("_known").drop("_known").orderBy("postings", label)
 
 
 def integrate(

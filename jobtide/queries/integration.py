@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobtide.functions import periods
-from jobtide.operators import joins, summary
-from jobtide.plans.macro import attach_macro
+from jobtide.operators import joins
+from jobtide.plans.macro import attach_macro, label_figures
 from jobtide.queries.common import Query, table
 
 
@@ -71,8 +71,7 @@ def join_match_report(spark, sf):
 
 def region_vs_macro(spark, sf):
     macro = _macro(spark, sf, "region", "2000Q2")
-    out = attach_macro(_postings(spark, sf), macro, "region", "merge_quarter", "vacancies_region")
-    found = summary.count_and_mean(out, "region", "o_orderkey", "vacancies_region", min_rows=3)
+    found = label_figures(_postings(spark, sf), macro, "region", "merge_quarter", "o_orderkey", min_rows=3)
     return found.withColumn("macro_mean", F.round("macro_mean", 2))
 
 

@@ -176,3 +176,19 @@ def test_enrich_does_not_depend_on_partitioning(spark):
         raw = raw.withColumn(c, F.lit("2026-01-01"))
     found = [sorted(map(str, enrich.enrich_postings(raw.repartition(n, "title")).collect())) for n in (1, 3, 7, 16)]
     assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 40
+
+
+def test_label_figures_match_figures_over_joined_postings(spark):
+    from jobtide.operators import summary
+
+    rows = [(i if i % 7 else None, ["a", "b", None][i % 3], ["2024Q1", "2024Q2", "2024Q3", None][i % 4]) for i in range(100)]
+    postings = spark.createDataFrame(rows, "id int, region string, quarter string")
+    stats = spark.createDataFrame([("a", "2024Q1", 10.0), ("a", "2024Q2", 20.0), ("b", "2024Q1", None), ("b", "2024Q3", 7.0)], "region string, quarter string, vacancies double")
+    joined = macro.attach_macro(postings, stats, "region", "quarter", "v")
+    assert joined.count() == 100 and joined.where("region is null and v is not null").count() == 0
+    plain = summary.count_and_mean(joined, "region", "id", "v").collect()
+    found = macro.label_figures(postings, stats, "region", "quarter", "id").collect()
+    assert [(r.region, r.postings, round(r.macro_mean, 9)) for r in found] == [
+        (r.region, r.postings, round(r.macro_mean, 9)) for r in plain
+    ]
+    assert macro.label_figures(postings, stats.where("false"), "region", "quarter", "id").collect() == []
