@@ -5,10 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from jobtide.llm import components, decontamination, line_dedup, near_duplicates
+from jobtide.llm.texts import Texts
 
 
 def words(text):
@@ -193,6 +195,27 @@ def near(a, b):
     return shared / total if total else 0
 
 
+def test_edited_items_at_the_threshold_are_found():
+    rng = random.Random(8)
+    items = [[f"w{rng.randrange(5000)}" for _ in range(rng.randint(12, 260))] for _ in range(60)]
+    index = decontamination.Index(list(range(60)), [" ".join(x) for x in items])
+    held = 0
+    for k, item in enumerate(items * 8):
+        w = list(item)
+        for _ in range(rng.randint(0, 1 + len(w) // 45)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randint(0, 1)] = ["changed"] * rng.randint(0, 1)
+        before = [f"b{i}" for i in range(rng.randint(0, 30))]
+        text = Texts(pa.array([" ".join([*before, *w, *(f"a{i}" for i in range(20))])], pa.large_string()))
+        own, seen = index.bags[k % 60], text.words(fold=True).hashes
+        n = len(item)
+        best = max(decontamination.similarity(own, decontamination.bag(seen[i : i + n])) for i in range(len(seen) - n + 1))
+        found = {hit[1]: hit[2] for hit in decontamination._search(text, index, 0.8, 3)}
+        assert (k % 60 in found) == (best >= 0.8)
+        held += 0.8 <= best < 1
+    assert held > 100
+
+
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(2)
     index = decontamination.Index([1], [" ".join(f"w{i}" for i in range(30))])
