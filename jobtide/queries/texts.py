@@ -6,17 +6,18 @@ from pyspark.sql import functions as F
 
 from jobtide.functions import text as tx
 from jobtide.functions import urls
+from jobtide.functions.markup import Tag
 from jobtide.queries.common import BASE_URL, SQL_SPACE, Query, spread_table, table
 from jobtide.sources import html
 
 PAGE = html.PageLayout(
-    title=("h1", "title"),
-    company=("footer",),
-    location=("div.ad",),
-    posted_date=("time", "head > title"),
-    workload=("nav ul > li a",),
-    contract=("li:not([data-cy]) a[href]",),
-    body=("div[data-cy='vacancy-description']", "article", "main"),
+    title=((Tag("h1"),), (Tag("title"),)),
+    company=((Tag("footer"),),),
+    location=((Tag("div", "class", "ad", "word"),),),
+    posted_date=((Tag("time"),), (Tag("head"), Tag("title"))),
+    workload=((Tag("nav"), Tag("ul"), Tag("li"), Tag("a")),),
+    contract=((Tag("li", "data-cy", how="lacks"), Tag("a", "href", how="has")),),
+    body=((Tag("div", "data-cy", "vacancy-description"),), (Tag("article"),), (Tag("main"),)),
 )
 
 
@@ -94,7 +95,7 @@ def html_text(spark, sf):
 
 def html_links(spark, sf):
     pages = spread_table(spark, sf, "pages", "page_id", "url", "html")
-    found = html.link_rows(pages, "html", "nav li > a[href]", ["page_id", "url"])
+    found = html.link_rows(pages, "html", Tag("nav"), ["page_id", "url"])
     return found.select("page_id", "pos", urls.absolute_url("url", "href").alias("link"), "text")
 
 

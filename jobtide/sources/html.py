@@ -1,9 +1,10 @@
-"""Facts out of HTML pages by CSS selectors.
+"""Facts out of HTML pages.
 
-Spark has no HTML type, and nested or unclosed elements are out of reach of regular expressions,
-so one Arrow-batched function per page returns plain structs.  Everything after that (exploding,
-URL handling, joining, de-duplication) is DataFrame work.  The helper keeps to the standard
-library (``dom``) and knows only the selector forms listed there.
+Detail facts, main text, labelled values and links are column expressions (``functions.markup``).
+Cards of a listing page need the elements around a card, too, so one Arrow-batched function per page
+finds them by CSS selectors and returns plain structs; URL choice, joining and de-duplication of cards
+are DataFrame work again.  That helper keeps to the standard library (``dom``) and knows only the
+selector forms listed there.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.functions import markup
+from jobtide.functions.markup import Path, Tag
 from jobtide.functions.text import as_col
 from jobtide.functions.urls import absolute_url, canonical_url, detail_pattern, ranked_urls
 from jobtide.sources import dom
@@ -34,9 +37,20 @@ CARD_TYPE = "array<struct<" + ",".join(f"{f}:string" for f in CARD_FIELDS) + ">>
 RAW_CARD_TYPE = CARD_TYPE.replace("url:string", "links:array<string>")
 FACT_TYPE = "struct<" + ",".join(f"{f}:string" for f in FACT_FIELDS) + ">"
 
+
+def _info(name: str) -> Tag:
+    return Tag("li", "data-cy", f"info-{name}")
+
+
+_NOWRAP = Tag("span", "class", "white-space_nowrap", "word")
+
+
 @dataclass(frozen=True)
 class PageLayout:
-    """Selectors of one site.  Lists are tried in order, the first non-empty result wins."""
+    """Where one site keeps its facts: CSS selectors of cards, paths of tags for everything else.
+
+    Lists are tried in order, the first non-empty result wins.  The defaults are fixed values.
+    """
 
     cards: tuple[str, ...] = (
         "div[data-cy='vacancy-serp-item']",
@@ -50,41 +64,34 @@ class PageLayout:
     card_contract_label: str = "Contract type"
     label: str = "span"
     labelled: str = "p"
-    title: tuple[str, ...] = ("h1[data-cy='vacancy-title']",)
-    company: tuple[str, ...] = ("a[data-cy='company-link'] span",)
-    posted_date: tuple[str, ...] = (
-        "li[data-cy='info-publication'] span.white-space_nowrap",
-        "li[data-cy='info-publication']",
-    )
-    workload: tuple[str, ...] = (
-        "li[data-cy='info-workload'] span.white-space_nowrap",
-        "li[data-cy='info-workload']",
+    title: tuple[Path, ...] = ((Tag("h1", "data-cy", "vacancy-title"),),)
+    company: tuple[Path, ...] = ((Tag("a", "data-cy", "company-link"), Tag("span")),)
+    posted_date: tuple[Path, ...] = ((_info("publication"), _NOWRAP), (_info("publication"),))
+    workload: tuple[Path, ...] = ((_info("workload"), _NOWRAP), (_info("workload"),))
+    contract: tuple[Path, ...] = ((_info("contract"), Tag("span")), (_info("contract"),))
+    location: tuple[Path, ...] = (
+        (
+            Tag("div", "class", "grid-area_vacancy-info", "word"), Tag("ul"),
+            Tag("li", "data-cy", how="lacks"), Tag("span"),
+        ),
+        (Tag("div", "data-cy", "vacancy-logo"), Tag("p")),
     )
-    contract: tuple[str, ...] = ("li[data-cy='info-contract'] span", "li[data-cy='info-contract']")
-    location: tuple[str, ...] = (
-        "div.grid-area_vacancy-info ul > li:not([data-cy]) span",
-        "div[data-cy='vacancy-logo'] p",
-    )
-    teaser: str = "section[aria-label='JobFit teaser']"
-    body: tuple[str, ...] = (
-        "div[data-cy='vacancy-description']",
-        "[data-cy*='vacancy-description' i]",
-        "[data-cy*='description' i]",
-        "[class*='description' i]",
-        "[class*='job-description' i]",
-        "article",
-        "main",
+    teaser: Tag = Tag("section", "aria-label", "JobFit teaser")
+    body: tuple[Path, ...] = (
+        (Tag("div", "data-cy", "vacancy-description"),),
+        (Tag("", "data-cy", "vacancy-description", "holds", True),),
+        (Tag("", "data-cy", "description", "holds", True),),
+        (Tag("", "class", "description", "holds", True),),
+        (Tag("", "class", "job-description", "holds", True),),
+        (Tag("article"),),
+        (Tag("main"),),
     )
     body_min_chars: int = 120
-    body_meta: str = "meta[property='og:description']"
+    body_meta: Tag = Tag("meta", "property", "og:description")
     section: tuple[str, ...] = ("en", "jobs")
     reserved: tuple[str, ...] = ("search", "results")
 
 
-def _first_text(node: Node, selectors: Sequence[Selector]) -> str:
-    return next((t for t in (s.one_text(node) for s in selectors) if t), "")
-
-
 def _labelled_value(node: Node, prefix: str, label: Selector, value: Selector) -> str:
     """Text of the value element beside the first label that starts with the prefix."""
     for hit in label.all(node):
@@ -159,90 +166,73 @@ def card_list(html: Column | str, base: str, layout: PageLayout | None = None) -
     return F.aggregate(F.transform(raw_cards(html, layout), with_choices), none, add)
 
 
-def labelled_value(
-    html: Column | str, prefix: str, layout: PageLayout | None = None
-) -> Column:
-    """Value beside the label that starts with ``prefix`` (any case), ``''`` where none does."""
-    layout = layout or PageLayout()
+def labelled_value(html: str, prefix: str, layout: PageLayout | None = None) -> Column:
+    """Value beside the label that starts with ``prefix`` (any case), ``''`` where none does.
 
-    @F.pandas_udf("string")
-    def value_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        label, value = Selector(layout.label), Selector(layout.labelled)
-        for batch in pages:
-            yield batch.map(lambda p: _labelled_value(parse_page(p or ""), prefix, label, value))
+    ``html`` here and below names the column with the page.
+    """
+    layout = layout or PageLayout()
+    label, value = Tag(layout.label), Tag(layout.labelled)
+    return F.expr(
+        markup.bound(
+            markup.visible(html), lambda page: markup.beside_label(page, prefix, label, value)
+        )
+    )
 
-    return value_of(as_col(html))
 
+def detail_facts(html: str, layout: PageLayout | None = None) -> Column:
+    """Struct of the facts on a detail page; ``''`` where a fact is not there.
 
-def detail_facts(html: Column | str, layout: PageLayout | None = None) -> Column:
-    """Struct of the facts on a detail page; ``''`` where a fact is not there."""
+    Pieces of text are joined by a blank, but follow each other directly in the first choice of date,
+    workload, contract and location.
+    """
     layout = layout or PageLayout()
+    paths = {
+        "title": layout.title,
+        "company": layout.company,
+        "location_raw": layout.location,
+        "posted_date": layout.posted_date,
+        "workload_raw": layout.workload,
+        "employment_type": layout.contract,
+    }
+    facts = {f: paths[f] for f in FACT_FIELDS}
+    joined = ("location_raw", "posted_date", "workload_raw", "employment_type")
+    return F.expr(
+        markup.bound(markup.visible(html), lambda page: markup.first_texts(page, facts, joined))
+    )
 
-    @F.pandas_udf(FACT_TYPE)
-    def facts_of(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        sources = {
-            "title": layout.title,
-            "company": layout.company,
-            "location_raw": layout.location,
-            "posted_date": layout.posted_date,
-            "workload_raw": layout.workload,
-            "employment_type": layout.contract,
-        }
-        ready = {name: [Selector(s) for s in sel] for name, sel in sources.items()}
-        for batch in pages:
-            trees = [parse_page(p or "") for p in batch]
-            yield pd.DataFrame(
-                {name: [_first_text(t, ready[name]) for t in trees] for name in FACT_FIELDS},
-                dtype=object,
-            )
-
-    return facts_of(as_col(html))
 
+def main_text(html: str, layout: PageLayout | None = None) -> Column:
+    """Main text: first candidate element that is long enough, else the meta description.
 
-def main_text(html: Column | str, layout: PageLayout | None = None) -> Column:
-    """Main text: first candidate element that is long enough, else the meta description."""
+    The teaser is left out where the first candidate holds it.
+    """
     layout = layout or PageLayout()
 
-    @F.pandas_udf("string")
-    def text_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        body = [Selector(s) for s in layout.body]
-        teaser, meta = Selector(layout.teaser), Selector(layout.body_meta)
+    def long_enough(page: str, path: Path) -> str:
+        text = markup.plain_text(markup.first_inner(page, path))
+        return markup.bound(text, lambda t: f"if(length({t}) >= {layout.body_min_chars}, {t}, NULL)")
 
-        def one(page: str | None) -> str:
-            root = parse_page(page or "")
-            first = body[0].one(root) if body else None
-            if first is not None:
-                cut = teaser.one(first)
-                if cut is not None:
-                    cut.remove()
-            for selector in body:
-                text = selector.one_text(root)
-                if len(text) >= layout.body_min_chars:
-                    return text
-            hit = meta.one(root)
-            return " ".join(hit.attrs.get("content", "").split()) if hit is not None else ""
+    def text_of(page: str) -> str:
+        meta = f"regexp_extract({page}, {markup.literal(layout.body_meta.pattern())}, 0)"
+        last = markup.plain_text(markup.attribute(meta, "content"))
+        return f"coalesce({', '.join([*(long_enough(page, path) for path in layout.body), last])})"
 
-        for batch in pages:
-            yield batch.map(one)
+    def choose(page: str) -> str:
+        if not layout.body:
+            return text_of(page)
+        first = markup.first_inner(page, layout.body[0])
+        teaser = markup.literal(layout.teaser.pattern())
+        bare = f"if(coalesce(rlike({first}, {teaser}), false), {markup.without_first(page, layout.teaser)}, {page})"
+        return markup.bound(bare, text_of)
 
-    return text_of(as_col(html))
+    return F.expr(markup.bound(markup.visible(html), choose))
 
 
-def links(html: Column | str, selector: str = "a[href]") -> Column:
-    """``array<struct<href, text>>`` of the links that fit the selector, in page order."""
-
-    @F.pandas_udf("array<struct<href:string,text:string>>")
-    def links_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        wanted = Selector(selector)
-        for batch in pages:
-            yield batch.map(
-                lambda p: [
-                    {"href": n.attrs.get("href", ""), "text": n.text()}
-                    for n in wanted.all(parse_page(p or ""))
-                ]
-            )
-
-    return links_of(as_col(html))
+def links(html: str, within: Tag | None = None) -> Column:
+    """``array<struct<href, text>>`` of the links, all or those inside some element, in page order."""
+    cut = markup.anchors if within is None else lambda page: markup.anchors_within(page, within)
+    return F.expr(markup.bound(markup.visible(html), cut))
 
 
 def listing_cards(
@@ -256,9 +246,9 @@ def listing_cards(
 
 
 def link_rows(
-    pages: DataFrame, html: str, selector: str = "a[href]", keep: Sequence[str] = ()
+    pages: DataFrame, html: str, within: Tag | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per link that fits the selector: its place on the page, ``href`` and ``text``."""
-    found = pages.select(*keep, F.posexplode_outer(links(html, selector)).alias("pos", "l"))
+    """One row per link, as :func:`links`: its place on the page, ``href`` and ``text``."""
+    found = pages.select(*keep, F.posexplode_outer(links(html, within)).alias("pos", "l"))
     found = found.where(F.col("pos").isNotNull())
     return found.select(*keep, "pos", F.col("l.href").alias("href"), F.col("l.text").alias("text"))

@@ -1,4 +1,6 @@
-from jobtide.functions import text
+from pyspark.sql import functions as F
+
+from jobtide.functions import markup, text
 from jobtide.sources import files, html, jsonstat
 from jobtide.sources.dom import Selector, parse_page
 
@@ -146,3 +148,41 @@ def test_key_is_sha1(values):
     from pyspark.sql import functions as F
 
     assert values(text.surrogate_key(F.lit("board"), "x"), ["https://x/é"]) == [want]
+
+
+def test_markup_without_python(spark):
+    page = """<!-- <h1>no</h1> --><script>"<h1>no</h1>"</script>
+      <div class='x a'><div>in <b>n</b>er</div> out&nbsp;&amp;&#233;&#xE9;&copy2 &unknown; 1<2</div>tail
+      <ul><li data-cy=info-workload><span class=white-space_nowrap>80<b>%</b></span></li>
+      <li data-cy="info-contract">a<i>b</i></li></ul>
+      <ul><li>none</li></ul><ul><li><a title="q" href=/en/jobs/>fi<b>rst</b></a></li></ul>
+      <nav><a href='/x?a=1&amp;b=2'>x</a><nav><a href="/y">y</nav></nav><a name="n">z</a>"""
+    df = spark.createDataFrame([(1, page), (2, None), (3, "")], "i int, html string")
+    tag = markup.Tag
+    paths = {"div": [(tag("div", "class", "a", "word"),)], "path": [(tag("ul"), tag("li"), tag("a", "href", how="has"))]}
+    both = F.expr(markup.bound(markup.visible("html"), lambda p: markup.first_texts(p, paths)))
+    facts = html.detail_facts("html")
+    found = df.select("i", both.alias("b"), facts.alias("f"), html.links("html").alias("all"), html.links("html", tag("nav")).alias("nav"))
+    got = {r.i: r for r in found.collect()}
+    assert got[1].b.div == "in n er out &éé©2 &unknown; 1<2"
+    assert got[1].b.path == "fi rst"
+    assert (got[1].f.workload_raw, got[1].f.employment_type) == ("80%", "a b")
+    assert [tuple(x) for x in got[1].all] == [("/en/jobs/", "fi rst"), ("/x?a=1&b=2", "x"), ("/y", "y z")]
+    assert [tuple(x) for x in got[1].nav] == [("/x?a=1&b=2", "x"), ("/y", "y")]
+    for i in (2, 3):
+        assert got[i].b.div == "" and got[i].b.path == "" and set(got[i].f) == {""} and got[i].all == got[i].nav == []
+
+
+def test_labelled_value_stays_in_its_element(spark):
+    page = """<div><span>Place of work:</span></div><div><p>not this</p></div>
+      <div><span>Con<b>tract</b> type</span><br><p>Per<i>manent</i></p></div>
+      <div><span>contract</span><p>later</p></div>"""
+    df = spark.createDataFrame([(page,), (None,)], "html string")
+    got = df.select(*[html.labelled_value("html", x) for x in ("place", "con tract", "contract", "salary")]).collect()
+    assert [tuple(r) for r in got] == [("", "Per manent", "later", ""), ("",) * 4]
+
+
+def test_markup_of_long_pages(spark):
+    page = "<article>" + ("<div class='" + "c" * 500 + "'><p>w</p><br>") * 2000 + "</article>"
+    row = spark.createDataFrame([(page,)], "html string").select(html.main_text("html", html.PageLayout(body_min_chars=3)).alias("t")).first()
+    assert row.t == " ".join(["w"] * 2000)
