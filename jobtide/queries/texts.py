@@ -99,7 +99,7 @@ def html_links(spark, sf):
     return found.select("page_id", "pos", urls.absolute_url("url", "href").alias("link"), "text")
 
 
-def _segment_page():
+def segment_page():
     """Result page with two cards for the same posting, one for another, one without a link."""
 
     def card(url, title, company, place):
@@ -127,7 +127,7 @@ def html_cards(spark, sf):
     people = spread_table(
         spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
     ).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    pages = people.select("c_custkey", _segment_page().alias("page"))
+    pages = people.select("c_custkey", segment_page().alias("page"))
     return html.listing_cards(pages, "page", BASE_URL, ["c_custkey"])
 
 
