@@ -22,7 +22,7 @@ HEADLINE = (
     "clean_text", "dictionary_tags", "skill_tags", "top_tags", "tag_share_by_group",
     "tag_presence_matrix", "salary_extract", "seniority_cascade", "experience_level",
     "workload_parse", "workload_share", "geo_resolve", "city_extract", "rule_classifier",
-    "rule_trace", "classification_audit", "dedup_first", "duplicate_rows", "coverage_log",
+    "rule_trace", "rule_trace_first", "classification_audit", "dedup_first", "duplicate_rows", "coverage_log",
     "macro_join_region", "macro_join_industry", "region_vs_macro", "latest_k_periods",
     "jsonstat_decode", "html_facts", "html_text", "html_links", "html_cards", "kpi_row",
     "missingness", "describe_numeric", "group_median", "boxplot_stats", "rate_by_group",
