@@ -58,6 +58,20 @@ def test_quality_rules_keep_prose_and_reject_odd_texts(documents):
     assert found[1003].surprisal is None
 
 
+def test_quality_rules_reject_mildly_odd_texts(documents):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 120)) for i in range(400)]
+    for i in range(1000, 1020):
+        text = list(prose(rng, 120))
+        for at in rng.sample(range(len(text)), 4):
+            text[at] = rng.choice("qxzjkvw")
+        rows.append((i, "".join(text)))
+    found = {r.doc_id: r for r in quality_rules.judge(documents(rows)).collect()}
+    assert sum(found[i].kept for i in range(400)) >= 392
+    assert not any(found[i].base_failed for i in range(1000, 1020))
+    assert sum(found[i].kept for i in range(1000, 1020)) <= 5
+
+
 def test_quality_rules_odd_rows(odd):
     found = quality_rules.judge(odd)
     assert found.count() == odd.count()
