@@ -7,9 +7,10 @@ surroundings.
 
 Tokens are words; their classes are the most frequent words of the whole corpus, counted in Spark, and
 hash buckets for all others.  Training covers the corpus: in each round every task trains, from the
-same parameters, on the words of its documents that a hash draws (one of ``DRAW``), and Spark averages
-the parameters by the number of words trained on.  So what is gathered grows with the input, while
-the model that is sent back has a fixed size.
+same parameters, on the places of its documents that fall to the round, and Spark averages the
+parameters by the number of words trained on.  A hash of document and place deals the places over
+``DRAW`` rounds, so after as many rounds every token has been a target once.  What is gathered grows
+with the input, while the model that is sent back has a fixed size.
 
 Nulls: a null text has no token, a sum of 0 and no mean; so does an empty text.  Repeated rows get
 equal scores.  Words equally frequent come in the order of their hashes.  An empty corpus leaves the
@@ -28,7 +29,7 @@ from jobtide.llm.texts import Texts, Words, map_texts, mix, pieces, release, sma
 
 CLASSES, FREQUENT = 256, 160
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-ROUNDS, DRAW, BATCH, RATE = 2, 16, 128, 0.05
+ROUNDS, DRAW, BATCH, RATE = 2, 2, 128, 0.05
 STEP = 4096
 #: Different words a task counts before it hands its counts on and starts anew.
 REMEMBERED = 1 << 20
@@ -132,11 +133,13 @@ class Network:
         d /= n
         d_h = (d @ self.O.T) * (1 - h * h)
         d_x = (d_h @ self.W.T).reshape(n * 2 * SIDE, WIDTH)
-        places = np.zeros((n * 2 * SIDE, CLASSES), np.float32)
-        places[np.arange(len(places)), around.ravel()] = 1
-        gradient = np.concatenate([
-            g.ravel() for g in (places.T @ d_x, x.T @ d_h, d_h.sum(axis=0), h.T @ d, d.sum(axis=0))
-        ])
+        met = around.ravel()
+        order = np.argsort(met, kind="stable")
+        met = met[order]
+        at = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
+        d_e = np.zeros_like(self.E)
+        d_e[met[at]] = np.add.reduceat(d_x[order], at, axis=0)
+        gradient = np.concatenate([g.ravel() for g in (d_e, x.T @ d_h, d_h.sum(axis=0), h.T @ d, d.sum(axis=0))])
         if self.squares is None:
             self.squares = np.full(self.SIZE, 1e-8, np.float32)
         self.squares += gradient * gradient
@@ -162,8 +165,20 @@ class Network:
         return out
 
 
+def rounds_of(words: Words, draw: int) -> np.ndarray:
+    """The round of 0 to ``draw`` - 1 in which each token is a target, by its document and place in it."""
+    total = np.zeros(len(words.hashes) + 1, np.uint64)
+    np.cumsum(words.hashes, out=total[1:])
+    document = mix(total[words.first[1:]] - total[words.first[:-1]])
+    place = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], words.counts())
+    return mix(np.repeat(document, words.counts()) + place.astype(np.uint64)) % np.uint64(draw)
+
+
 def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int = DRAW) -> np.ndarray:
-    """Parameters after the rounds; the same documents in the same partitions give the same ones."""
+    """Parameters after the rounds; the same documents in the same partitions give the same ones.
+
+    Every token is a target if there are as many rounds as ``draw`` or more.
+    """
     spark = docs.sparkSession
     flat = Network().flat
     for turn in range(rounds):
@@ -177,8 +192,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
                 for rows in pieces(batch):
                     words = Texts(rows.column(0)).words(fold=True)
                     classes = classes_of(words, known)
-                    near = mix(words.hashes + np.roll(words.hashes, 1)) % np.uint64(draw)
-                    drawn = np.flatnonzero(near == turn % draw)
+                    drawn = np.flatnonzero(rounds_of(words, draw) == turn % draw)
                     around.append(surroundings(classes, words.first)[drawn])
                     target.append(classes[drawn])
                     if sum(map(len, target)) >= BATCH:

@@ -5,10 +5,12 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from jobtide.llm import masked_lm, passage_quality, quality_rules, token_counts
+from jobtide.llm.texts import Texts
 
 
 def prose(rng, n):
@@ -113,6 +115,19 @@ def test_masked_lm_learns_both_sides_and_scores_odd_rows(documents, odd):
     assert masked_lm.pseudo_likelihood(odd.limit(0)).count() == 0
 
 
+def test_every_token_is_a_target_and_word_pairs_fall_to_all_rounds(documents):
+    assert masked_lm.ROUNDS >= masked_lm.DRAW
+    words = Texts(pa.array([" ".join(["one", "two"] * 200)] * 2 + ["", "x"])).words(fold=True)
+    dealt = masked_lm.rounds_of(words, masked_lm.DRAW)
+    assert len(dealt) == 801 and set(dealt.tolist()) == set(range(masked_lm.DRAW))
+    assert all(0.3 < (dealt[k:800:2] == 0).mean() < 0.7 for k in (0, 1))
+    rng = random.Random(5)
+    rows = [(i, " ".join(x for _ in range(60) for x in rng.choice(["a mid b", "c mid d"]).split())) for i in range(150)]
+    docs = documents(rows)
+    found = masked_lm.pseudo_likelihood(docs).collect()
+    assert np.mean([r.mean_log_likelihood for r in found]) > -2
+
+
 def test_surroundings_stay_within_texts():
     got = masked_lm.surroundings(np.array([1, 2, 3, 4]), np.array([0, 3, 3, 4]))
     assert got.tolist() == [[0, 0, 2, 3], [0, 1, 3, 0], [1, 2, 0, 0], [0, 0, 0, 0]]
