@@ -3,17 +3,20 @@
 Method: a bidirectional window network, trained in numpy, predicts every token from the tokens on
 both sides of it: embeddings of ``SIDE`` tokens on each side, a tanh layer, and a softmax over all
 classes.  A document's score is the sum of the log-probabilities of its tokens, each given its
-surroundings.
+surroundings: that of its class, and that of the word within its class.
 
 Tokens are words; their classes are the most frequent words of the whole corpus, counted in Spark, and
-hash buckets for all others.  Training covers the corpus: in each round every task trains, from the
+hash buckets for all others.  There are ``FREQUENT`` classes of one word, and ``MORE`` more for every
+doubling of the corpus beyond ``FROM`` words.  A word has in its bucket its share of the bucket's
+tokens in the whole corpus.  The ``COMMON`` words that are the most frequent in buckets are sent to the
+tasks with their shares; all others are joined in Spark.  Training covers the corpus: in each round every task trains, from the
 same parameters, on the places of its documents that fall to the round, and Spark averages the
 parameters by the number of words trained on.  A hash of document and place deals the places over
 ``DRAW`` rounds, so after as many rounds every token has been a target once.  What is gathered grows
 with the input, while the model that is sent back has a fixed size.
 
 Nulls: a null text has no token, a sum of 0 and no mean; so does an empty text.  Repeated rows get
-equal scores.  Words equally frequent come in the order of their hashes.  An empty corpus leaves the
+equal scores, but for rounding.  Words equally frequent come in the order of their hashes.  An empty corpus leaves the
 model untrained.  Very long texts are scored whole.  Only doc_id and text are read, so other columns
 cannot clash.
 """
@@ -25,9 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.llm.scratch import written
 from jobtide.llm.texts import Texts, Words, map_texts, mix, pieces, release, small_batches, sums_by
 
 CLASSES, FREQUENT = 256, 160
+BUCKETS = CLASSES - 1 - FREQUENT
+MORE, FROM = 16, 1 << 20
+COMMON = 1 << 17
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 ROUNDS, DRAW, BATCH, RATE = 2, 2, 128, 0.05
 STEP = 4096
@@ -71,16 +78,27 @@ def _merged(parts):
     return words[at], np.add.reduceat(n[order], at) if len(at) else n
 
 
-def frequent_words(docs: DataFrame) -> np.ndarray:
-    """Hashes of the ``FREQUENT`` most frequent words, ascending."""
-    rows = word_counts(docs).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+def frequent_count(tokens: int) -> int:
+    """How many words have a class of their own in a corpus of so many tokens."""
+    return FREQUENT + int(MORE * max(0.0, np.log2(max(tokens, 1) / FROM)))
+
+
+def frequent_words(docs: DataFrame, counts: DataFrame | None = None) -> np.ndarray:
+    """Hashes of the most frequent words, ``frequent_count`` of them, ascending."""
+    counts = written(word_counts(docs), "lm-words") if counts is None else counts
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.orderBy(F.desc("n"), "word").limit(frequent_count(tokens)).collect()
     return np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
 
 
+def class_count(frequent: np.ndarray) -> int:
+    """Classes with the one outside texts; places of missing frequent words stay empty."""
+    return 1 + max(FREQUENT, len(frequent)) + BUCKETS
+
+
 def classes_of(words: Words, frequent: np.ndarray) -> np.ndarray:
     """Class of each word: 0 is outside a text, then frequent words, then hash buckets."""
-    buckets = CLASSES - 1 - FREQUENT
-    out = (words.hashes % np.uint64(buckets)).astype(np.int64) + 1 + FREQUENT
+    out = (words.hashes % np.uint64(BUCKETS)).astype(np.int64) + class_count(frequent) - BUCKETS
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, words.hashes), len(frequent) - 1)
         known = frequent[at] == words.hashes
@@ -88,6 +106,34 @@ def classes_of(words: Words, frequent: np.ndarray) -> np.ndarray:
     return out
 
 
+class Shares:
+    """The words in buckets: their shares there, those of the most common ones and counts of the others."""
+
+    def __init__(self, counts: DataFrame, frequent: np.ndarray, common: int = COMMON):
+        own = counts.where(~F.col("word").isin(frequent.view(np.int64).tolist())) if len(frequent) else counts
+        # Hashes are unsigned in numpy and signed in Spark.
+        self.bucket = (F.shiftrightunsigned("word", 1) % BUCKETS * 2 + F.col("word").bitwiseAND(F.lit(1))) % BUCKETS
+        totals = dict(own.groupBy(self.bucket.alias("bucket")).agg(F.sum("n")).collect())
+        self.totals = F.array(*[F.lit(float(totals.get(k, 1))) for k in range(BUCKETS)])
+        steps = own.groupBy(F.floor(4 * F.log2("n")).alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n"))
+        least, held = None, 0
+        for r in sorted(steps.collect(), key=lambda r: -r["step"]):
+            held += r["words"]
+            if held > common:
+                break
+            least = r["n"]
+        top = own.where(F.lit(False) if least is None else F.col("n") >= least)
+        top = top.select("word", self.logarithm().alias("v")).toArrow()
+        words = top.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(words)
+        self.words, self.values = words[order], top.column("v").to_numpy()[order]
+        self.others = own if least is None else own.where(F.col("n") < least)
+
+    def logarithm(self):
+        """The logarithm of a word's share, from columns word and n; a word without a count counts once."""
+        return F.log(F.coalesce("n", F.lit(1)) / F.get(self.totals, self.bucket.cast("int")))
+
+
 def surroundings(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For each token the classes of the ``SIDE`` tokens on each side (tokens by places)."""
     n = len(classes)
@@ -105,18 +151,20 @@ def surroundings(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Network:
     """Parameters in one float32 vector: embedding, hidden layer, output layer."""
 
-    SHAPES = {
-        "E": (CLASSES, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,),
-        "O": (HIDDEN, CLASSES), "c": (CLASSES,),
-    }
-    SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+    @staticmethod
+    def shapes(classes: int) -> dict[str, tuple]:
+        return {
+            "E": (classes, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,),
+            "O": (HIDDEN, classes), "c": (classes,),
+        }
 
-    def __init__(self, flat: np.ndarray | None = None):
+    def __init__(self, flat: np.ndarray | None = None, classes: int = CLASSES):
         if flat is None:
-            rng = np.random.default_rng(5)
-            flat = (rng.standard_normal(self.SIZE) * 0.1).astype(np.float32)
+            size = sum(int(np.prod(s)) for s in self.shapes(classes).values())
+            flat = (np.random.default_rng(5).standard_normal(size) * 0.1).astype(np.float32)
         self.flat, at = np.array(flat, np.float32), 0
-        for name, shape in self.SHAPES.items():
+        classes = (len(self.flat) - HIDDEN * (2 * SIDE * WIDTH + 1)) // (WIDTH + HIDDEN + 1)
+        for name, shape in self.shapes(classes).items():
             size = int(np.prod(shape))
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
@@ -141,7 +189,7 @@ class Network:
         d_e[met[at]] = np.add.reduceat(d_x[order], at, axis=0)
         gradient = np.concatenate([g.ravel() for g in (d_e, x.T @ d_h, d_h.sum(axis=0), h.T @ d, d.sum(axis=0))])
         if self.squares is None:
-            self.squares = np.full(self.SIZE, 1e-8, np.float32)
+            self.squares = np.full(len(self.flat), 1e-8, np.float32)
         self.squares += gradient * gradient
         self.flat -= rate * gradient / np.sqrt(self.squares)
 
@@ -180,7 +228,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
     Every token is a target if there are as many rounds as ``draw`` or more.
     """
     spark = docs.sparkSession
-    flat = Network().flat
+    flat = Network(classes=class_count(frequent)).flat
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast((flat, frequent))
 
@@ -209,8 +257,8 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
                 seen += len(y)
             if seen:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(Network.SIZE, dtype=np.int32)), pa.array(network.flat.astype(np.float64) * seen),
-                     pa.array(np.full(Network.SIZE, seen))], ["i", "v", "n"],
+                    [pa.array(np.arange(len(start), dtype=np.int32)), pa.array(network.flat.astype(np.float64) * seen),
+                     pa.array(np.full(len(start), seen))], ["i", "v", "n"],
                 )
 
         small_batches(spark)
@@ -222,29 +270,50 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
     return flat
 
 
-def score(docs: DataFrame, flat: np.ndarray, frequent: np.ndarray) -> DataFrame:
-    """Per document row: doc_id, n_tokens, log_likelihood (nats) and mean_log_likelihood."""
-    sent = docs.sparkSession.sparkContext.broadcast((flat, frequent))
+def score(
+    docs: DataFrame, flat: np.ndarray, frequent: np.ndarray, counts: DataFrame | None = None, common: int = COMMON
+) -> DataFrame:
+    """Per document row: doc_id, n_tokens, log_likelihood (nats) and mean_log_likelihood.
+
+    ``counts`` are the words of the corpus, by default those of the documents.
+    """
+    shares = Shares(written(word_counts(docs), "lm-words") if counts is None else counts, frequent, common)
+    sent = docs.sparkSession.sparkContext.broadcast((flat, frequent, shares.words, shares.values))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(rows, texts):
-        values, known = sent.value
+        values, known, held, logarithms = sent.value
         words = texts.words(fold=True)
         classes = classes_of(words, known)
-        found = Network(values).log_probabilities(surroundings(classes, words.first), classes)
-        n, total = words.counts().astype(np.int64), sums_by(found.astype(np.float64), words.first)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mean = total / n
+        found = Network(values).log_probabilities(surroundings(classes, words.first), classes).astype(np.float64)
+        other = np.flatnonzero(classes >= class_count(known) - BUCKETS)
+        if len(held):
+            own = words.hashes[other]
+            at = np.minimum(np.searchsorted(held, own), len(held) - 1)
+            met = held[at] == own
+            found[other[met]] += logarithms[at[met]]
+            other = other[~met]
+        first = pa.array(np.searchsorted(other, words.first).astype(np.int32))
         return pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array(n), pa.array(total), pa.array(mean, mask=n == 0)],
-            ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+            [rows.column(0), rows.column(2), pa.array(words.counts().astype(np.int64)), pa.array(sums_by(found, words.first)),
+             pa.ListArray.from_arrays(first, pa.array(words.hashes[other].view(np.int64)))],
+            ["doc_id", "row", "n_tokens", "total", "words"],
         )
 
-    schema = f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double"
-    return map_texts(docs.select("doc_id", "text"), run, schema)
+    schema = f"doc_id {kind}, row long, n_tokens long, total double, words array<long>"
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    parts = written(map_texts(numbered, run, schema), "lm-scores")
+    joined = parts.select("row", F.explode("words").alias("word")).join(shares.others, "word", "left")
+    rest = joined.select(F.lit(None).cast(kind).alias("doc_id"), "row", F.lit(None).cast("long").alias("n_tokens"), shares.logarithm().alias("total"))
+    found = parts.drop("words").unionByName(rest).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("total").alias("log_likelihood")
+    )
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return found.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Scores of all documents by a model trained on them."""
-    frequent = frequent_words(docs)
-    return score(docs, train(docs, frequent), frequent)
+    counts = written(word_counts(docs), "lm-words")
+    frequent = frequent_words(docs, counts)
+    return score(docs, train(docs, frequent), frequent, counts)

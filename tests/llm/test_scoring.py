@@ -128,6 +128,25 @@ def test_every_token_is_a_target_and_word_pairs_fall_to_all_rounds(documents):
     assert np.mean([r.mean_log_likelihood for r in found]) > -2
 
 
+def test_masked_lm_scores_the_word_within_its_bucket(documents):
+    assert masked_lm.frequent_count(100_000) == 160 < masked_lm.frequent_count(1 << 24) < masked_lm.frequent_count(1 << 30)
+    names = [f"rare{i}" for i in range(200)]
+    hashes = Texts(pa.array([" ".join(names)])).words(fold=True).hashes % np.uint64(masked_lm.BUCKETS)
+    by = defaultdict(list)
+    for name, bucket in zip(names, hashes.tolist()):
+        by[bucket].append(name)
+    often, once = next(v for v in by.values() if len(v) > 1)[:2]
+    fillers = [f"filler{i}" for i in range(160)]
+    rows = [(i, " ".join(fillers)) for i in range(20)]
+    rows += [(100 + i, f"filler1 filler2 {often if i else once} filler3 filler4") for i in range(11)]
+    docs = documents(rows)
+    frequent = masked_lm.frequent_words(docs)
+    for common in (masked_lm.COMMON, 1, 0):
+        found = {r.doc_id: r for r in masked_lm.score(docs, masked_lm.Network().flat, frequent, common=common).collect()}
+        assert len(found) == len(rows) and found[0].n_tokens == 160
+        assert found[101].log_likelihood - found[100].log_likelihood == pytest.approx(math.log(10), abs=1e-3)
+
+
 def test_surroundings_stay_within_texts():
     got = masked_lm.surroundings(np.array([1, 2, 3, 4]), np.array([0, 3, 3, 4]))
     assert got.tolist() == [[0, 0, 2, 3], [0, 1, 3, 0], [1, 2, 0, 0], [0, 0, 0, 0]]
