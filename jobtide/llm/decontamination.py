@@ -9,8 +9,9 @@ words every fifth word, need to meet.  Windows of the whole item's size would di
 can be searched.  Each window is condensed to a 64-bit SimHash of its shingles.  Fingerprints are found within Hamming radius ``radius`` by four
 16-bit blocks: two fingerprints that differ in at most 7 bits have a block in which they differ in
 at most one bit, so probing every item block with all values one bit away misses none.  Each
-candidate is then verified on its whole item-sized window, at every start within ``slack`` words: the
-weighted Jaccard similarity of the two bags of five-word shingles, weighted by how often they occur,
+candidate is then verified on its whole item-sized window, at every start within ``slack`` words, moved
+into the document where an item cut at its start or end reaches beyond it; a document with fewer words
+than the item is one window.  The weighted Jaccard similarity of the two bags of five-word shingles, weighted by how often they occur,
 must reach 0.8.  Words are compared with A-Z lower-cased.
 
 The benchmark is the stated query set.  It is cut into blocks of at most ``BLOCK_WORDS`` words, each
@@ -178,16 +179,17 @@ def _search(texts: Texts, index: Index, threshold: float, slack: int) -> list[tu
             n = len(index.items[item])
             document = int(np.searchsorted(words.first, w, "right")) - 1
             low, high = int(words.first[document]), int(words.first[document + 1])
+            n = min(n, high - low)
             for shift in sorted(range(-slack, slack + 1), key=abs):
-                at = w - int(offsets[e]) + shift
-                if at < low or at + n > high or (item, at) in tried:
+                at = min(max(w - int(offsets[e]) + shift, low), high - n)
+                if (item, at) in tried:
                     continue
                 tried.add((item, at))
                 found = similarity(index.bags[item], bag(words.hashes[at : at + n]))
                 if found >= threshold:
-                    key, value = (document, item), (-found, at - low)
+                    key, value = (document, item), (-found, at - low, n)
                     best[key] = min(best.get(key, value), value)
-    return [(d, i, -s, at, len(index.items[i])) for (d, i), (s, at) in best.items()]
+    return [(d, i, -s, at, n) for (d, i), (s, at, n) in best.items()]
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list, list[str]]]:

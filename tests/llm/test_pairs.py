@@ -216,6 +216,22 @@ def test_edited_items_at_the_threshold_are_found():
     assert held > 100
 
 
+def test_items_cut_by_the_edge_of_a_document_are_found():
+    rng = random.Random(10)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    item, other = text(60), text(40)
+    index = decontamination.Index([1], [" ".join(item)])
+    cases = [
+        (item[5:] + other, 0, 60), (other + item[:-5], 35, 60), (item[:30] + item[31:], 0, 59),
+        (item[:-6], 0, 54), (item[6:], 0, 54),
+    ]
+    for w, first, n in cases:
+        hits = decontamination._search(Texts(pa.array([" ".join(text(50)), " ".join(w)], pa.large_string())), index, 0.8, 3)
+        best = near(Counter(zip(*(item[k:] for k in range(5)))), Counter(zip(*(w[first : first + n][k:] for k in range(5)))))
+        assert best >= 0.8 and hits == [(1, 0, pytest.approx(best), first, n)]
+    assert not decontamination._search(Texts(pa.array([" ".join(item[:-14])], pa.large_string())), index, 0.8, 3)
+
+
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(2)
     index = decontamination.Index([1], [" ".join(f"w{i}" for i in range(30))])
