@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.components import components
@@ -83,7 +84,7 @@ def signatures(hashes: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
 
 
 def _fingerprinted(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, and for texts with words: node, signature (a byte a value), band keys."""
+    """doc_id, copy (a hash of the text), n_shingles, and for texts with words: node, signature (a byte a value), band keys."""
     n = bands * rows
 
     def run(batch_rows, texts):
@@ -111,14 +112,15 @@ def _fingerprinted(docs: DataFrame, shingle: int, bands: int, rows: int) -> Data
                 signs[k], keys[k] = short[i].tobytes(), band[i]
         return pa.RecordBatch.from_arrays(
             [
-                batch_rows.column(batch_rows.schema.get_field_index("doc_id")), pa.array(counts),
+                batch_rows.column(batch_rows.schema.get_field_index("doc_id")),
+                batch_rows.column(batch_rows.schema.get_field_index("copy")), pa.array(counts),
                 pa.array(nodes, mask=counts == 0), pa.array(signs, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
             ],
-            ["doc_id", "n_shingles", "node", "signature", "bands"],
+            ["doc_id", "copy", "n_shingles", "node", "signature", "bands"],
         )
 
-    schema = "doc_id long, n_shingles long, node long, signature binary, bands array<long>"
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
+    schema = "doc_id long, copy long, n_shingles long, node long, signature binary, bands array<long>"
+    return map_texts(docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("copy")), run, schema)
 
 
 def least_matches(total: int, percent: int, give_up: float = GIVE_UP) -> np.ndarray:
@@ -321,13 +323,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     Documents whose sets have 100 * intersection >= percent * union are linked; ``component_id`` is
     the smallest doc_id reachable, and the document that has it is kept.
     """
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id"))
+    return _with_first(docs, shingle, percent, rows).select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
+
+
+def _with_first(docs: DataFrame, shingle: int, percent: int, rows: int = ROWS) -> DataFrame:
+    """Per document row doc_id, copy, n_shingles and ``first``, the smallest (doc_id, copy) reachable."""
     bands = band_count(percent, rows)
     total = bands * rows
     prints = written(_fingerprinted(docs, shingle, bands, rows), "near-prints")
     linkable = prints.where("node is not null and doc_id is not null")
     classes = written(
         linkable.groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")
+            F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "copy")).alias("first"), F.any_value("n_shingles").alias("size"), F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")
         ),
         "near-classes",
     )
@@ -359,21 +369,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = written(links.unionByName(links_across), "near-all-links")
     labels = components(links, "a", "b")
 
-    own = classes.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = own.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_node = own.join(least, "label").select("node", "component_id")
-    found = prints.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return found.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    own = classes.select("node", "first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = own.groupBy("label").agg(F.min("first").alias("first"))
+    of_node = own.drop("first").join(least, "label").select("node", "first")
+    return prints.select("doc_id", "copy", "n_shingles", "node").join(of_node, "node", "left")
 
 
 def without_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """All columns of one document of each group of near-duplicates, the one with the smallest doc_id.
+    """All columns of one row of each group of near-duplicates, the one with the smallest doc_id.
 
-    Rows that share a doc_id are one document; of those that are equal throughout, one stays.
+    Rows are known by doc_id and a hash of the text; of rows that are equal in both, one stays.
     """
-    dropped = near_duplicates(docs, shingle, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
-    dropped = written(dropped.distinct(), "near-dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    found = _with_first(docs, shingle, percent).where("doc_id is not null")
+    stays = F.col("first").isNull() | (F.col("first") == F.struct("doc_id", "copy"))
+    keys = found.groupBy(F.col("doc_id").alias("_doc_id"), F.col("copy").alias("_copy")).agg(
+        F.bool_and(stays).alias("_stays"), F.count("*").alias("_rows")
+    )
+    marked = written(keys.where("not _stays or _rows > 1"), "near-dropped")
+    same = (docs["doc_id"] == marked["_doc_id"]) & (F.xxhash64(docs["text"]) == marked["_copy"])
+    once = docs.join(marked, same, "left_anti")
+    repeated = marked.where("_stays")
+    if repeated.isEmpty():
+        return once
+    whole = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    simple = [docs[f.name] for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
+    again = docs.join(repeated, same).select("_doc_id", "_copy", whole.alias("_whole"), F.struct(*simple).alias("_order"))
+    again = again.groupBy("_doc_id", "_copy").agg(F.min_by("_whole", "_order").alias("_whole"))
+    return once.unionByName(again.select(*[F.col(f"_whole.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -73,6 +73,17 @@ def test_near_duplicates_odd_rows(spark, odd):
     assert Counter(r.doc_id for r in kept.collect())[6] == 0
 
 
+def test_without_copies_tells_rows_by_doc_id_and_text(documents):
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (1, a), (1, a), (2, b), (3, b), (3, c), (4, d), (4, d.upper()), (5, e), (5, a), (6, ""), (6, "")]
+    found = Counter((r.doc_id, r.text) for r in near_duplicates.without_copies(documents(rows)).collect())
+    fours = [k for k in found if k[0] == 4]
+    assert len(fours) == 1 and fours[0][1].lower() == d
+    assert found == Counter([(1, a), (2, b), (3, c), (5, e), (6, ""), *fours])
+
+
 def test_bayes_keeps_pairs_at_the_threshold():
     least = near_duplicates.least_matches(256, 80)
     rng = np.random.default_rng(1)
