@@ -74,6 +74,30 @@ def test_quality_rules_reject_mildly_odd_texts(documents):
     assert sum(found[i].kept for i in range(1000, 1020)) <= 5
 
 
+def test_quality_rules_know_every_language_and_script(documents):
+    rng = random.Random(13)
+
+    def said(k, n, shuffled=False):
+        # Language 0 is written in Cyrillic letters; each other one has syllables of its own.
+        letters = "абвгдежзийклмнопрст" if k == 0 else "abcdefghijklmnopqrst"
+        own = random.Random(k)
+        syllables = [own.choice(letters) + own.choice(letters) for _ in range(6)]
+        made = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+        if shuffled:
+            made = ["".join(rng.choice(letters) for _ in w) for w in made]
+        return " ".join(made)
+
+    rows = [(1000 * k + i, said(k, 90), f"l{k:02}", "a") for k in range(20) for i in range(40 if k else 30)]
+    rows += [(1000 * k + 900 + i, said(k, 90, True), f"l{k:02}", "a") for k in (0, 18, 19) for i in range(2)]
+    docs = documents(rows)
+    found = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert len(found) == len(rows) and not any(r.base_failed for r in found.values())
+    assert [i for i, r in found.items() if r.kept and i % 1000 >= 900] == []
+    assert sum(r.kept for i, r in found.items() if i % 1000 < 900) >= 0.97 * (len(rows) - 6)
+    sent = {r.doc_id: r for r in quality_rules.judge(docs, max_languages=50).collect()}
+    assert all(sent[i].kept == r.kept and sent[i].surprisal == pytest.approx(r.surprisal) for i, r in found.items())
+
+
 def test_quality_rules_odd_rows(odd):
     found = quality_rules.judge(odd)
     assert found.count() == odd.count()
