@@ -19,6 +19,7 @@ from jobtide.llm import (
     passage_quality,
     quality_rules,
     token_counts,
+    whitening,
 )
 
 
@@ -91,6 +92,14 @@ def op10_chat_format(spark, sf_dir):
     )
 
 
+def op13_whiten_embeddings(spark, sf_dir):
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained",
+        "identity_error",
+    )
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -99,7 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_near_duplicates, op4_masked_lm, op5_line_dedup, op6_license_scan,
-        op7_quality_rules, op8_passage_quality, op9_token_counts, op10_chat_format, pipeline,
+        op7_quality_rules, op8_passage_quality, op9_token_counts, op10_chat_format, op13_whiten_embeddings, pipeline,
     )
 }
 
