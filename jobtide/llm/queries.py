@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm import (
     chat_format,
+    collocations,
     decontamination,
     license_scan,
     line_dedup,
@@ -92,6 +93,10 @@ def op10_chat_format(spark, sf_dir):
     )
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_whiten_embeddings(spark, sf_dir):
     found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
     return found.select(
@@ -108,7 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_near_duplicates, op4_masked_lm, op5_line_dedup, op6_license_scan,
-        op7_quality_rules, op8_passage_quality, op9_token_counts, op10_chat_format, op13_whiten_embeddings, pipeline,
+        op7_quality_rules, op8_passage_quality, op9_token_counts, op10_chat_format, op12_collocations, op13_whiten_embeddings, pipeline,
     )
 }
 
@@ -166,5 +171,47 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """,
 }
+SQL["op12_collocations"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[.,;:!?\x0A-\x0D]') AS parts
+  FROM documents),
+pieces AS (SELECT lang, unnest(parts) AS part FROM texts),
+split AS (
+  SELECT lang, [x FOR x IN regexp_split_to_array(part, '[ \t]+') IF x <> ''] AS w FROM pieces),
+sized AS (SELECT lang, w, len(w) AS size FROM split WHERE len(w) > 0),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, k, unnest(range(1, size - k + 2)) AS i
+        FROM sized, (SELECT unnest(range(1, 6)) AS k) WHERE size >= k)
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM grams WHERE k >= 2 AND f >= 100),
+worded AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM candidates),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT lang, w, k, f, m, unnest(range(1, k - m + 2)) AS i
+        FROM worded, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)
+  GROUP BY ALL),
+alone AS (
+  SELECT c.* FROM worded c LEFT JOIN inside o ON c.lang = o.lang AND c.phrase = o.phrase
+  WHERE o.f IS NULL OR 100 * o.f < 100 * c.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, w, k, unnest(range(1, k)) AS cut FROM alone),
+rated AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n,
+         (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score, cut
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+lowest AS (
+  SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
