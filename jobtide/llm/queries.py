@@ -20,6 +20,7 @@ from jobtide.llm import (
     passage_quality,
     quality_rules,
     token_counts,
+    toxicity,
     whitening,
 )
 
@@ -93,6 +94,11 @@ def op10_chat_format(spark, sf_dir):
     )
 
 
+def op11_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op12_collocations(spark, sf_dir):
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -113,7 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_near_duplicates, op4_masked_lm, op5_line_dedup, op6_license_scan,
-        op7_quality_rules, op8_passage_quality, op9_token_counts, op10_chat_format, op12_collocations, op13_whiten_embeddings, pipeline,
+        op7_quality_rules, op8_passage_quality, op9_token_counts, op10_chat_format, op11_toxicity, op12_collocations, op13_whiten_embeddings, pipeline,
     )
 }
 
