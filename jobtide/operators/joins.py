@@ -6,7 +6,7 @@ measured size and falls back to a shuffled join, with skewed partitions split, b
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,3 +48,45 @@ def match_report(df: DataFrame, value: str, before: DataFrame | None = None) ->
         return after
     rows = before.agg(F.count("*").alias("n")).scalar()
     return after.select(rows.alias("rows_before"), "rows_after", "matched", "unmatched")
+
+
+#: A key with more than one in so many left rows is hot, so at most so many keys are.
+HOT_SHARE = 1000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys with more than one in ``share`` rows, and ``_parts``, the places each is dealt over.
+
+    At most ``share`` rows, whatever the table; keys with a null are not counted.
+    """
+    known = df.select(*keys).dropna()
+    counts = known.groupBy(*keys).agg(F.count("*").alias("_n"))
+    least = known.agg(F.count("*") / share).scalar()
+    return counts.where(F.col("_n") > least).select(*keys, F.ceil(F.col("_n") / least).cast("int").alias("_parts"))
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "inner", share: int = HOT_SHARE
+) -> DataFrame:
+    """Equi-join (``inner`` or ``left``) in which no task gathers a hot key or the rows without a key.
+
+    Left rows of a hot key are dealt over places by a hash of their ``spread`` columns, and the right
+    rows of that key are copied to each of its places; left rows with a null key are dealt over
+    ``share`` places.  The hot keys are counted first, by an aggregate over the keys only; there are at
+    most ``share`` of them, so they may be broadcast.  Left rows that agree in all ``spread`` columns
+    stay together.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    hot = F.broadcast(hot_keys(left, on, share))
+    if how == "inner":
+        left = left.dropna(subset=list(on))
+    missing = F.lit(False)
+    for key in on:
+        missing = missing | F.col(key).isNull()
+    hashed = F.xxhash64(*[F.col(c) for c in spread])
+    parts = F.when(missing, F.lit(share)).otherwise(F.coalesce("_parts", F.lit(1)))
+    dealt = left.join(hot, list(on), "left").withColumn("_place", F.pmod(hashed, parts).cast("int")).drop("_parts")
+    places = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    copied = right.join(hot, list(on), "left").withColumn("_place", places).drop("_parts")
+    return dealt.join(copied, [*on, "_place"], how).drop("_place")

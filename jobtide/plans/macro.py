@@ -12,7 +12,7 @@ from jobtide import fixed_values as fixed
 from jobtide.functions.periods import period_proxy, quarter_start
 from jobtide.functions.rules import RuleSet, classify
 from jobtide.functions.text import map_value
-from jobtide.operators.joins import left_enrich
+from jobtide.operators.joins import left_enrich, spread_join
 from jobtide.operators.rows import latest_periods
 from jobtide.sources.jsonstat import decode_cubes
 
@@ -54,18 +54,27 @@ NULL_PARTS = 1000
 
 
 def attach_macro(
-    postings: DataFrame, macro: DataFrame, label: str, quarter: str, out: str
+    postings: DataFrame, macro: DataFrame, label: str, quarter: str, out: str, spread_hot: bool = False
 ) -> DataFrame:
     """Postings with the statistics of their label and quarter.
 
     Postings without a label or quarter find none.  Where the join shuffles, a third key deals them
     over ``NULL_PARTS`` places, so that no task gathers them all; where the statistics are
-    broadcast, it costs nothing, and in neither case is the input read twice.
+    broadcast, it costs nothing, and in neither case is the input read twice.  Statistics too large
+    to be broadcast may meet labels with a large part of the postings: ``spread_hot`` counts the
+    labels first and deals hot ones over many tasks, too (``joins.spread_join``).
     """
-    missing = F.col(label).isNull() | F.col(quarter).isNull()
     plain = [f.name for f in postings.schema if f.dataType.typeName() not in ("map", "variant")]
+    if spread_hot:
+        right = macro.select(F.col(label).alias("_label"), F.col("quarter").alias("_quarter"), F.col("vacancies").alias(out))
+        left = postings.withColumns({"_label": F.col(label), "_quarter": F.col(quarter)})
+        return spread_join(left, right, ["_label", "_quarter"], plain, "left").drop("_label", "_quarter")
+    missing = F.col(label).isNull() | F.col(quarter).isNull()
     place = F.when(missing, F.pmod(F.xxhash64(*plain), F.lit(NULL_PARTS)) + 1).otherwise(F.lit(0))
-    right = macro.select(label, "quarter", "vacancies", F.lit(0).cast("long").alias("_place"))
+    # Always 0.  As a literal it would turn into a condition on the left, and the join would no longer
+    # be dealt by place.
+    nowhere = F.pmod(F.xxhash64(label, "quarter"), F.lit(1))
+    right = macro.select(label, "quarter", "vacancies", nowhere.alias("_place"))
     on = {label: label, quarter: "quarter", "_place": "_place"}
     found = left_enrich(postings.withColumn("_place", place), right, on, {"vacancies": out})
     return found.drop("_place")

@@ -53,6 +53,15 @@ def macro_join_industry(spark, sf):
     return out.select("o_orderkey", "industry", "merge_quarter", "vacancies_industry")
 
 
+def macro_join_spread(spark, sf):
+    """As macro_join_region, with labels that hold many orders dealt over many tasks."""
+    macro = _macro(spark, sf, "region", "2000Q2")
+    out = attach_macro(
+        _postings(spark, sf), macro, "region", "merge_quarter", "vacancies_region", spread_hot=True
+    )
+    return out.select("o_orderkey", "region", "merge_quarter", "vacancies_region")
+
+
 def macro_join_null_safe(spark, sf):
     """Null regions meet the statistics row without a region."""
     rows = _postings(spark, sf)
@@ -95,6 +104,10 @@ QUERIES: dict[str, Query] = {
         macro_join_region,
         f"WITH {_SQL} SELECT o_orderkey, region, merge_quarter, vacancies_region FROM j",
     ),
+    "macro_join_spread": Query(
+        macro_join_spread,
+        f"WITH {_SQL} SELECT o_orderkey, region, merge_quarter, vacancies_region FROM j",
+    ),
     "macro_join_industry": Query(
         macro_join_industry,
         f"""WITH {_SQL} SELECT o_orderkey, p.industry, p.merge_quarter,

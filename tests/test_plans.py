@@ -192,3 +192,22 @@ def test_label_figures_match_figures_over_joined_postings(spark):
         (r.region, r.postings, round(r.macro_mean, 9)) for r in plain
     ]
     assert macro.label_figures(postings, stats.where("false"), "region", "quarter", "id").collect() == []
+
+
+@pytest.mark.parametrize("spread_hot", [False, True])
+def test_macro_join_deals_postings_without_region(spark, spread_hot):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        region = F.when(F.col("id") % 10 == 0, F.concat(F.lit("r"), F.col("id") % 3)) if not spread_hot else F.when(F.col("id") % 10 < 6, "hot")
+        postings = spark.range(20_000).select("id", region.alias("region"), F.lit("2024Q1").alias("quarter"))
+        stats = spark.createDataFrame([("r0", "2024Q1", 1.0), ("r1", "2024Q1", 2.0), ("hot", "2024Q1", 3.0)], "region string, quarter string, vacancies double")
+        found = macro.attach_macro(postings, stats, "region", "quarter", "v", spread_hot)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 2_000
+        assert found.where("v is not null").count() == (12_000 if spread_hot else 1_334)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
