@@ -1,14 +1,16 @@
 """Phrases whose words meet more often than chance, mined by SON partitioning.
 
 Method: words of every language are counted, then phrases of two words, then those of three to
-``LONGEST`` words.  For the phrases each task mines its shards completely: what has in a shard at least
-the shard's part of ``support`` (in proportion to its words of the language, rounded up) is a local
-find.  A phrase that reaches ``support`` over all documents is found in at least one shard.  The union of the
-finds is pruned by a bound: a shard that did not report a phrase holds at most its local support less
-one of it, so a phrase whose reported counts and the rest of these bounds stay below ``support`` goes.
-The other finds are then counted exactly over all documents.  Longer phrases are mined only where all
-their two-word parts are frequent.  A shard is at most ``SHARD_WORDS`` words of one task, so memory is
-bounded; with many shards the local support falls to one, and a shard's counts are then complete.
+``LONGEST`` words.  The texts, as hashes of their frequent words, are written once in shards of at most
+about ``SHARD_WORDS`` words, so that all passes see the same shards.  A task mines a shard completely:
+what has in it at least the shard's part of a ``LOWERED``-th of ``support`` (in proportion to its words of
+the language, rounded up) is a local find and goes out with its count.  A phrase that reaches ``support``
+over all documents is found in at least one shard.  The union of the finds is pruned by a bound: a shard
+that did not report a phrase holds at most its local support less one of it, so a phrase whose reported
+counts and the rest of these bounds stay below ``support`` goes.  For the others the shards count what they
+have not reported, and the sum is exact.  The lower the local support, the more finds and the fewer
+false candidates; with many shards it falls to one, and the reported counts are complete.  Longer phrases
+are mined only where all their two-word parts are frequent.
 
 What tasks need to know about all documents reaches them as bitmaps of fixed size, which may let too
 much pass but never too little; only exact counts decide.  Words are compared by 64-bit hashes (with
@@ -36,7 +38,7 @@ from jobtide.llm.scratch import written
 from jobtide.llm.texts import LOWER, Texts, mix, pieces, prefix, range_hash, release, sequence_hash, small_batches
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
-SHARD_WORDS = 1 << 22
+SHARD_WORDS, LOWERED = 1 << 22, 2
 #: Parts of a language that are ranked by themselves before all are ranked.
 SALTS = 64
 UNKNOWN = "und"
@@ -80,21 +82,66 @@ class Piece:
         self.w = _with_language(range_hash(prefix(self.data), self.start, self.end), _whole(languages)[owner])
 
 
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
+    for batch in batches:
+        for rows in pieces(batch):
+            yield Piece(rows)
+
+
+SHARD = "names array<string>, sizes array<long>, w binary, joined binary, code binary"
+
+
+def cut(texts: DataFrame, known: np.ndarray) -> DataFrame:
+    """A row of ``SHARD`` for each shard; words that are surely not frequent have the hash 0."""
+    sent = texts.sparkSession.sparkContext.broadcast(known)
+
+    def row(parts) -> pa.RecordBatch:
+        names = sorted({name for held, _, _, _ in parts for name in held})
+        number = {name: i for i, name in enumerate(names)}
+        code = np.concatenate([np.array([number[n] for n in held], np.int32)[c] for held, c, _, _ in parts])
+        w, joined = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+        sizes = np.bincount(code, minlength=len(names))
+        return pa.RecordBatch.from_pydict({
+            "names": pa.array([names]), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())),
+            "w": pa.array([w.tobytes()]), "joined": pa.array([np.packbits(joined).tobytes()]),
+            "code": pa.array([code.tobytes()]),
+        })
+
+    def run(batches):
+        held, size = [], 0
+        for p in pieces_of(batches):
+            if not len(p.w):
+                continue
+            held.append((p.names.tolist(), p.code, np.where(may_hold(sent.value, p.w), p.w, np.uint64(0)), p.joined))
+            size += len(p.w)
+            if size >= SHARD_WORDS:
+                yield row(held)
+                held, size = [], 0
+        if held:
+            yield row(held)
+        release()
+
+    return texts.mapInArrow(run, SHARD)
+
+
 class Shard:
-    """Words of at most about ``SHARD_WORDS`` words of one task, with the number of words by language."""
+    """Words of a part of the texts, with the number of words by language."""
 
-    def __init__(self, parts: list[Piece]):
-        self.names = sorted({name for p in parts for name in p.names})
-        number = {name: i for i, name in enumerate(self.names)}
-        self.w = np.concatenate([p.w for p in parts])
-        self.joined = np.concatenate([p.joined for p in parts])
-        self.code = np.concatenate([np.array([number[n] for n in p.names], np.int32)[p.code] for p in parts])
-        self.sizes = np.bincount(self.code, minlength=len(self.names))
+    def __init__(self, row: dict):
+        self.names, self.sizes = row["names"], row["sizes"]
+        self.w, self.code = np.frombuffer(row["w"], np.uint64), np.frombuffer(row["code"], np.int32)
+        self.joined = np.unpackbits(np.frombuffer(row["joined"], np.uint8), count=len(self.w)).astype(bool)
+
+    @staticmethod
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator["Shard"]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield Shard(batch.slice(k, 1).to_pylist()[0])
 
     def local_support(self, totals: dict[str, int], support: int) -> np.ndarray:
-        """For each language the shard's part of the support, rounded up, at least 1."""
-        sizes = zip(self.names, self.sizes.tolist())
-        return np.array([max(1, -(-support * n // totals[name])) if n else 1 for name, n in sizes], np.int64)
+        """For each language the shard's part of the lowered support, rounded up, at least 1."""
+        sizes = zip(self.names, self.sizes)
+        return np.array([max(1, -(-support * n // (LOWERED * totals[name]))) if n else 1 for name, n in sizes], np.int64)
 
     def phrases(self, alive: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Where phrases of k words start whose parts of k - 1 words are alive, and their hashes."""
@@ -104,19 +151,26 @@ class Shard:
         at = np.flatnonzero(alive[:n] & alive[1 : n + 1] & (self.joined[:n] if k == 2 else True))
         return at, sequence_hash([self.w[at + i] for i in range(k)])
 
+    def alive(self, bits: list[np.ndarray]) -> np.ndarray:
+        """Where phrases start that pass the filters for two words and more; frequent words without any."""
+        alive = self.w != 0
+        for k, held in enumerate(bits, 2):
+            at, keys = self.phrases(alive, k)
+            alive = np.zeros(len(alive), bool)
+            alive[at[may_hold(held, keys)]] = True
+        return alive
+
+    def rows(self, at: np.ndarray, k: int, n: np.ndarray, slack: np.ndarray) -> pa.RecordBatch:
+        words = [self.w[at + i].view(np.int64) if i < k else np.zeros(len(at), np.int64) for i in range(LONGEST)]
+        lang = pa.array(self.names, pa.string()).take(pa.array(self.code[at]))
+        columns = [np.full(len(at), k, np.int32), *words]
+        return pa.RecordBatch.from_arrays(
+            [*map(pa.array, columns), lang, pa.array(n.astype(np.int64)), pa.array(slack.astype(np.int64))],
+            ["k", *_WORDS, "lang", "n", "slack"],
+        )
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Piece]]:
-    """The pieces of each shard of a task."""
-    held, size = [], 0
-    for batch in batches:
-        for rows in pieces(batch):
-            held.append(Piece(rows))
-            size += len(held[-1].w)
-            if size >= SHARD_WORDS:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+
+FINDS = f"k int, {', '.join(f'{w} long' for w in _WORDS)}, lang string, n long, slack long"
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -138,10 +192,20 @@ def word_counts(texts: DataFrame) -> DataFrame:
             "n": np.concatenate([n, own]),
         })
 
+    def merged(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        found = pa.concat_tables(tables).group_by(["lang", "text"]).aggregate([("n", "sum")])
+        yield from found.select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"]).to_batches()
+
     def run(batches):
-        for parts in shards(batches):
-            found = pa.concat_tables([of_piece(p) for p in parts]).group_by(["lang", "text"]).aggregate([("n", "sum")])
-            yield from found.select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"]).to_batches()
+        held, size = [], 0
+        for p in pieces_of(batches):
+            held.append(of_piece(p))
+            size += len(p.w)
+            if size >= SHARD_WORDS:
+                yield from merged(held)
+                held, size = [], 0
+        if held:
+            yield from merged(held)
         release()
 
     small_batches(texts.sparkSession)
@@ -159,67 +223,70 @@ def hashed(words: DataFrame) -> DataFrame:
     return words.select("lang", "text", "n").mapInArrow(run, "lang string, text string, n long, w long")
 
 
-def mined(texts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int) -> DataFrame:
-    """Local finds: (key, lang, n, slack) for phrases of the sizes; rows without key have a shard's slack.
+def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int) -> DataFrame:
+    """Local finds of the sizes, as ``FINDS``; the rows of size 0 have a shard's slack by language.
 
-    ``filters`` tell of words, and then of phrases of two words and more, which may be frequent.
+    ``filters`` tell of phrases of two words and more which may be frequent.
     """
-    sent = texts.sparkSession.sparkContext.broadcast((totals, filters))
+    sent = cuts.sparkSession.sparkContext.broadcast((totals, filters))
 
     def run(batches):
         known, bits = sent.value
-        for parts in shards(batches):
-            shard = Shard(parts)
+        for shard in Shard.each(batches):
             least = shard.local_support(known, support)
-            alive = _alive(shard, bits)
+            alive = shard.alive(bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
                 _, one, of, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                code = shard.code[at[one]]
-                enough = n >= least[code]
+                slack = least[shard.code[at[one]]] - 1
+                enough = n > slack
                 alive = np.zeros(len(alive), bool)
                 alive[at[enough[of]]] = True
-                yield _finds(keys[one[enough]].view(np.int64), shard, code[enough], n[enough], least)
-            every = np.arange(len(shard.names))
-            yield _finds(pa.nulls(len(every), pa.int64()), shard, every, np.zeros(len(every), np.int64), least)
+                yield shard.rows(at[one[enough]], k, n[enough], slack[enough])
+            for code, name in enumerate(shard.names):
+                at = np.flatnonzero(shard.code == code)[:1]
+                yield shard.rows(at, 0, np.zeros(len(at)), np.full(len(at), least[code] - 1))
         release()
 
-    def _finds(keys, shard, code, n, least):
-        lang = pa.array(shard.names, pa.string()).take(pa.array(code))
-        return pa.RecordBatch.from_arrays(
-            [keys if isinstance(keys, pa.Array) else pa.array(keys), lang, pa.array(n), pa.array(least[code] - 1)],
-            ["key", "lang", "n", "slack"],
-        )
+    return cuts.mapInArrow(run, FINDS)
 
-    return texts.mapInArrow(run, "key long, lang string, n long, slack long")
 
+def candidates(finds: DataFrame, support: int) -> DataFrame:
+    """(k, w0 to w4, n) of finds that may reach the support, by what shards reported and what others can hold."""
+    whole = finds.where("k = 0").groupBy("lang").agg(F.sum("slack").alias("all_slack"))
+    found = finds.where("k > 0").groupBy("k", *_WORDS, "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
+    found = found.join(whole, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support)
+    return found.select("k", *_WORDS, "n")
 
-def _alive(shard: Shard, bits: list[np.ndarray]) -> np.ndarray:
-    """Where phrases start that pass all filters, of as many words as there are filters."""
-    alive = may_hold(bits[0], shard.w)
-    for k, held in enumerate(bits[1:], 2):
-        at, keys = shard.phrases(alive, k)
-        alive = np.zeros(len(alive), bool)
-        alive[at[may_hold(held, keys)]] = True
-    return alive
 
+def keyed(phrases: DataFrame) -> DataFrame:
+    """The phrases with the hash that shards know them by."""
 
-def candidates(finds: DataFrame, support: int) -> DataFrame:
-    """Keys of finds that may reach the support, by what shards reported and what the others can hold."""
-    whole = finds.where("key is null").groupBy("lang").agg(F.sum("slack").alias("all_slack"))
-    found = finds.where("key is not null").groupBy("key", "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    return found.join(whole, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support).select("key")
+    def run(batches):
+        for batch in batches:
+            k = batch.column(0).to_numpy()
+            words = [batch.column(1 + i).to_numpy().view(np.uint64) for i in range(LONGEST)]
+            keys = np.zeros(len(k), np.uint64)
+            for size in np.unique(k):
+                own = np.flatnonzero(k == size)
+                keys[own] = sequence_hash([w[own] for w in words[:size]])
+            yield batch.append_column("key", pa.array(keys.view(np.int64)))
 
+    schema = f"k int, {', '.join(f'{w} long' for w in _WORDS)}, n long, key long"
+    return phrases.select("k", *_WORDS, "n").mapInArrow(run, schema)
 
-def counted(texts: DataFrame, filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int) -> DataFrame:
-    """(key, k, w0 to w4, n): exact counts of phrases that the filter ``wanted`` lets pass, ``support`` or more."""
-    sent = texts.sparkSession.sparkContext.broadcast((filters, wanted))
+
+def unreported(
+    cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int
+) -> DataFrame:
+    """Counts in shards that did not report them, of phrases that the filter ``wanted`` lets pass, as ``FINDS``."""
+    sent = cuts.sparkSession.sparkContext.broadcast((totals, filters, wanted))
 
     def run(batches):
-        bits, held = sent.value
-        for parts in shards(batches):
-            shard = Shard(parts)
-            alive = _alive(shard, bits)
+        known, bits, held = sent.value
+        for shard in Shard.each(batches):
+            least = shard.local_support(known, support)
+            alive = shard.alive(bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
                 passes = may_hold(held, keys)
@@ -227,14 +294,12 @@ def counted(texts: DataFrame, filters: list[np.ndarray], wanted: np.ndarray, siz
                 alive = np.zeros(len(alive), bool)
                 alive[at] = True
                 _, one, n = np.unique(keys, return_index=True, return_counts=True)
-                words = [shard.w[at[one] + i].view(np.int64) if i < k else np.zeros(len(one), np.int64) for i in range(LONGEST)]
-                columns = [keys[one].view(np.int64), np.full(len(one), k, np.int32), *words, n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "k", *_WORDS, "n"])
+                slack = least[shard.code[at[one]]] - 1
+                few = n <= slack
+                yield shard.rows(at[one[few]], k, n[few], slack[few])
         release()
 
-    schema = f"key long, k int, {', '.join(f'{w} long' for w in _WORDS)}, n long"
-    rows = texts.mapInArrow(run, schema).groupBy("key", "k", *_WORDS).agg(F.sum("n").alias("n"))
-    return rows.where(F.col("n") >= support)
+    return cuts.mapInArrow(run, FINDS)
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, dict[str, int]]:
@@ -243,12 +308,15 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     counts = written(word_counts(texts).where((F.col("n") >= support) | F.col("text").isNull()), "phrase-words")
     totals = {r["lang"]: r["n"] for r in counts.where("text is null").collect()}
     words = written(hashed(counts.where("text is not null")), "phrase-hashes")
-    known = [bitmap(words, "w")]
-    found = None
+    cuts = written(cut(texts, bitmap(words, "w")), "phrase-shards")
+    found, known = None, []
     for sizes in (range(2, 3), range(3, LONGEST + 1)):
-        finds = written(mined(texts, totals, known, sizes, support), "phrase-finds")
-        wanted = bitmap(candidates(finds, support), "key")
-        exact = written(counted(texts, known, wanted, sizes, support), "phrase-counts")
+        finds = written(mined(cuts, totals, known, sizes, support), "phrase-finds")
+        reported = written(keyed(candidates(finds, support)), "phrase-candidates")
+        rest = unreported(cuts, totals, known, bitmap(reported, "key"), sizes, support)
+        both = reported.select("k", *_WORDS, "n").unionByName(rest.select("k", *_WORDS, "n"))
+        exact = both.groupBy("k", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+        exact = written(keyed(exact), "phrase-counts")
         found = exact if found is None else found.unionByName(exact)
         known = [*known, bitmap(exact, "key")]
     return found.select(F.slice(F.array(*_WORDS), 1, F.col("k")).alias("words"), F.col("n").alias("a")), words, totals
