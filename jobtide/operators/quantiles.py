@@ -2,10 +2,13 @@
 
 Spark's ``percentile`` keeps one counter per distinct value of a group in one task's memory.  That
 is right for values from a small domain (tag counts, percentages) and is offered as
-``small_domain=True``.  For open-ended values the work is spread: equal values are counted first,
-each group's value range is cut into slices, slice sizes give the slices that hold the wanted
-ranks, those are cut once more, and only the slices left are ordered.  A cut depends only on minima
-and maxima, so repeated evaluation (after a lost executor, say) always cuts the same way.
+``small_domain=True``.  For open-ended values a mergeable sketch gives, for each wanted rank, two
+values that surely lie below and above it.  A second pass counts what lies outside these brackets
+and the distinct values inside, and only those are ordered.
+
+The second pass is exact whatever the brackets are, as long as they hold the wanted ranks: every row
+below a wanted value is counted once, as lying below a bracket or as a value inside one.  So it does
+not matter if a sketch comes out differently when it is computed again after a lost executor.
 """
 
 from __future__ import annotations
@@ -16,20 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Accuracy of the sketch: a bracket holds some eight rows in so many.
 SLICES = 4096
 
 
-def _stretch(v: Column) -> Column:
-    """Monotone scale on which long tails do not squeeze the bulk into one slice."""
-    return F.signum(v) * F.log1p(F.abs(v))
-
-
-def _counted(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Distinct values of each group and how often they occur; spread by group and value."""
+def _values(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """Groups and values as doubles; rows without either are left out."""
     for name in (*groups, value):
         df = df.where(F.col(name).isNotNull())
-    rows = df.select(*groups, F.col(value).cast("double").alias("_v"))
-    return rows.groupBy(*groups, "_v").agg(F.count("*").alias("_c"))
+    return df.select(*groups, F.col(value).cast("double").alias("_v"))
 
 
 def group_quantiles(
@@ -42,12 +40,14 @@ def group_quantiles(
 ) -> DataFrame:
     """Groups, ``n`` (non-null values) and ``q0, q1, …``, linearly interpolated.
 
-    Groups without a name (null in any group column) are left out.
+    Groups without a name (null in any group column) are left out.  ``slices`` is the accuracy of the
+    sketch.
     """
     if not groups:
         raise ValueError("at least one group column is needed")
-    counts = _counted(df, groups, value)
+    values = _values(df, groups, value)
     if small_domain:
+        counts = values.groupBy(*groups, "_v").agg(F.count("*").alias("_c"))
         found = counts.groupBy(*groups).agg(
             F.sum("_c").alias("n"),
             F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]), F.col("_c")).alias(
@@ -58,23 +58,29 @@ def group_quantiles(
             *groups, "n", *[F.get("_q", F.lit(i)).alias(f"q{i}") for i in range(len(probs))]
         )
 
-    span = counts.groupBy(*groups).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n")
+    rows = values.join(_brackets(values, groups, probs, slices), list(groups))
+    low, high = [F.col(f"_low{i}") for i in range(len(probs))], [F.col(f"_high{i}") for i in range(len(probs))]
+    held = F.lit(False)
+    for lo, hi in zip(low, high):
+        held = held | F.col("_v").between(lo, hi)
+    counts = rows.groupBy(*groups, F.when(held, F.col("_v")).alias("_at")).agg(
+        F.min("n").alias("n"),
+        F.count("*").alias("_c"),
+        *[F.count_if(~held & (F.col("_v") < lo)).alias(f"_below{i}") for i, lo in enumerate(low)],
     )
+    # The row of what lies outside all brackets comes first, where there is one.
+    in_order = W.partitionBy(*groups).orderBy(F.asc_nulls_first("_at")).rowsBetween(W.unboundedPreceding, 0)
+    inside = F.when(F.col("_at").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    ordered = counts.withColumns({
+        "_until": F.sum(inside).over(in_order),
+        **{f"_below{i}": F.first(f"_below{i}").over(in_order) for i in range(len(probs))},
+    }).where(F.col("_at").isNotNull())
     ranks = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
-    rows = counts.join(span, list(groups)).withColumn("_before", F.lit(0).cast("long"))
-    path = list(groups)
-    for level, scale in enumerate((_stretch, lambda v: v)):
-        rows = _narrow(rows, path, f"_s{level}", scale, ranks, slices)
-        path.append(f"_s{level}")
-
-    in_slice = W.partitionBy(*path).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    start = F.col("_before") + F.sum("_c").over(in_slice) - F.col("_c")
-    ordered = rows.withColumn("_start", start)
     picks = []
     for i, r in enumerate(ranks):
+        end = F.col(f"_below{i}") + F.col("_until")
         for name, edge in (("l", F.floor(r)), ("u", F.ceil(r))):
-            hit = F.when(_holds(F.col("_start"), F.col("_c"), edge), F.col("_v"))
+            hit = F.when((edge >= end - F.col("_c")) & (edge < end), F.col("_at"))
             picks.append(F.max(hit).alias(f"_{name}{i}"))
     found = ordered.groupBy(*groups, "n").agg(*picks)
     out = []
@@ -84,38 +90,25 @@ def group_quantiles(
     return found.select(*groups, "n", *out)
 
 
-def _holds(start: Column, length: Column, rank: Column) -> Column:
-    return (rank >= start) & (rank < start + length)
-
-
-def _narrow(
-    rows: DataFrame, path: list[str], name: str, scale, ranks: list[Column], slices: int
-) -> DataFrame:
-    """The rows of those slices that hold a wanted rank.
+def _brackets(values: DataFrame, groups: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """Per group ``n`` and, for each wanted rank, values surely not above and not below it.
 
-    ``rows`` holds values with their counts, the bounds ``_lo`` and ``_hi`` of their part of the
-    group, and ``_before``, the number of values ahead of that part.  Slice sizes are at most
-    ``slices`` rows for each part.
+    The sketch's ranks are off by at most one in ``accuracy`` rows; a bracket reaches four times as
+    far.  Groups too small for that to be a whole row are taken from end to end.
     """
-    low, high = scale(F.col("_lo")), scale(F.col("_hi"))
-    place = (scale(F.col("_v")) - low) / F.nullif(high - low, F.lit(0.0)) * slices
-    sliced = rows.withColumn(name, F.coalesce(F.floor(place), F.lit(0))).drop("_lo", "_hi")
-    sizes = sliced.groupBy(*path, name).agg(
-        F.sum("_c").alias("_m"),
-        F.min("_v").alias("_lo"),
-        F.max("_v").alias("_hi"),
-        F.min("n").alias("n"),
-        F.min("_before").alias("_ahead"),
+    reach = 4.0 / accuracy
+    edges = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
+    sketch = F.percentile_approx("_v", edges, accuracy)
+    found = values.groupBy(*groups).agg(
+        F.count("*").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), sketch.alias("_edges")
     )
-    running = W.partitionBy(*path).orderBy(name).rowsBetween(W.unboundedPreceding, 0)
-    start = F.col("_ahead") + F.sum("_m").over(running) - F.col("_m")
-    sizes = sizes.withColumn("_from", start)
-    wanted = F.lit(False)
-    for r in ranks:
-        for edge in (F.floor(r), F.ceil(r)):
-            wanted = wanted | _holds(F.col("_from"), F.col("_m"), edge)
-    chosen = sizes.where(wanted).select(*path, name, F.col("_from").alias("_before"), "_lo", "_hi")
-    return sliced.drop("_before").join(chosen, [*path, name])
+    out = []
+    for i, (p_low, p_high) in enumerate(zip(edges[::2], edges[1::2])):
+        small = F.col("n") <= accuracy
+        low = F.when(small | F.lit(p_low <= 0.0), F.col("_min")).otherwise(F.get("_edges", F.lit(2 * i)))
+        high = F.when(small | F.lit(p_high >= 1.0), F.col("_max")).otherwise(F.get("_edges", F.lit(2 * i + 1)))
+        out += [low.alias(f"_low{i}"), high.alias(f"_high{i}")]
+    return found.select(*groups, "n", *out)
 
 
 def group_median(
@@ -130,16 +123,13 @@ def group_median(
 def boxplot_stats(
     df: DataFrame, group: str, value: str, reach: float = 1.5, small_domain: bool = False
 ) -> DataFrame:
-    """Quartiles, whiskers (furthest values within ``reach`` box lengths) and outlier counts.
-
-    Fences are compared with the counted values, so the rows are read once.
-    """
+    """Quartiles, whiskers (furthest values within ``reach`` box lengths) and outlier counts."""
     joined = _with_fences(df, group, value, reach, small_domain)
     v, inside = F.col("_v"), F.col("_v").between(F.col("fence_low"), F.col("fence_high"))
     out = joined.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("_low"),
         F.max(F.when(inside, v)).alias("_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
     return out.select(
         group,
@@ -156,8 +146,9 @@ def boxplot_stats(
 def _with_fences(
     df: DataFrame, group: str, value: str, reach: float, small_domain: bool
 ) -> DataFrame:
+    """The values with the box of their group."""
     found = group_quantiles(df, [group], value, [0.25, 0.5, 0.75], small_domain)
-    step = (F.col("q2") - F.col("q0")) * reach
+    step: Column = (F.col("q2") - F.col("q0")) * reach
     box = found.select(
         group,
         "n",
@@ -167,11 +158,7 @@ def _with_fences(
         (F.col("q0") - step).alias("fence_low"),
         (F.col("q2") + step).alias("fence_high"),
     )
-    return _counted(df, [group], value).join(box, group)
-
-
-#: Copies of a repeated outlier that are made from one row.
-RUN = 4096
+    return _values(df, [group], value).join(box, group)
 
 
 def outliers(
@@ -180,8 +167,4 @@ def outliers(
     """The values beyond the whiskers, each as often as it occurs."""
     joined = _with_fences(df, group, value, reach, small_domain)
     beyond = joined.where(~F.col("_v").between(F.col("fence_low"), F.col("fence_high")))
-    # Repeated by runs, so that no row holds an array as long as a count.
-    runs = beyond.select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_c") / RUN) - 1)).alias("_run"))
-    size = F.least(F.lit(RUN), F.col("_c") - F.col("_run") * RUN)
-    each = F.explode(F.sequence(F.lit(1), size.cast("int")))
-    return runs.select(group, F.col("_v").alias(value), each.alias("_i")).drop("_i")
+    return beyond.select(group, F.col("_v").alias(value))

@@ -59,6 +59,31 @@ def test_quantiles_few_values(spark, slices):
     assert got == {"a": (1.0, 2.0), "b": (4.0, 4.0), "c": (1.5, 1.9)}
 
 
+@pytest.mark.parametrize("slices", [50, 400])
+def test_quantiles_order_only_values_near_the_ranks(spark, slices):
+    """Groups larger than the sketch, with heavy repeats, against numpy."""
+    rng = np.random.default_rng(slices)
+    values = {
+        "hot": np.concatenate([rng.lognormal(0, 3, 30_000), np.full(9_000, 1.5), -rng.random(4_000)]),
+        "steps": rng.integers(0, 7, 5_000).astype(float), "same": np.full(3_000, 2.0), "few": np.array([3.0, 1.0]),
+    }
+    data = [(g, float(v)) for g, vs in values.items() for v in vs]
+    rng.shuffle(data)
+    df = spark.createDataFrame([(g, float(v)) for g, v in data], "g string, v double").repartition(8)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    for r in quantiles.group_quantiles(df, ["g"], "v", probs, slices=slices).collect():
+        assert r.n == len(values[r.g])
+        assert np.allclose([r[f"q{i}"] for i in range(7)], np.quantile(values[r.g], probs), rtol=1e-12)
+
+
+def test_quantiles_exchange_values_at_most_three_times(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    found = quantiles.group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The sketches of groups, the join, the values inside brackets, and the values in order.
+    assert plan.count("Exchange hashpartitioning") <= 5 and "Range" in plan
+
+
 def test_boxplot(spark):
     values = [1, 2, 3, 4, 100, -50, 2, 3]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 7)], "g string, v int")
