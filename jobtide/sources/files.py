@@ -77,8 +77,12 @@ def stamp_run(df: DataFrame, run_ts: str) -> DataFrame:
 
 
 def write_run(df: DataFrame, path: str, run_ts: str) -> None:
-    """Adds one run to a table partitioned by run; earlier runs stay as they are."""
-    stamp_run(df, run_ts).write.mode("append").partitionBy("run_ts").parquet(path)
+    """Writes one run to a table partitioned by run.
+
+    Earlier runs stay as they are, and a run that is written again replaces itself.
+    """
+    writer = stamp_run(df, run_ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_ts").parquet(path)
 
 
 def union_tagged(batches: dict[str, DataFrame], tag_column: str = "search_term") -> DataFrame:
