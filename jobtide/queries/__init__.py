@@ -5,10 +5,10 @@ query reads whole tables; ``modulo`` only chooses which form of text a row gets.
 """
 
 from jobtide.queries.common import Query
-from jobtide.queries import analysis, extraction, integration, postings, runs, tables, textjoins, texts
+from jobtide.queries import analysis, extraction, integration, placetables, postings, runs, tables, textjoins, texts
 
 ALL: dict[str, Query] = {}
-for _part in (texts, tables, extraction, integration, postings, analysis, textjoins, runs):
+for _part in (texts, tables, extraction, integration, postings, analysis, textjoins, runs, placetables):
     for _name, _query in _part.QUERIES.items():
         if _name in ALL:
             raise ValueError(f"query registered twice: {_name}")
