@@ -91,34 +91,47 @@ def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
 SHARD = "names array<string>, sizes array<long>, w binary, joined binary, code binary"
 
 
+def _code_type(names: list[str]) -> type:
+    return np.uint8 if len(names) < 256 else np.int32
+
+
+def _frequent(p: Piece, known: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Names, codes, hashes and joins of the words that may be frequent; those of others part phrases."""
+    kept = np.flatnonzero(may_hold(known, p.w))
+    follows = np.zeros(len(kept), bool)
+    follows[:-1] = kept[1:] == kept[:-1] + 1
+    return p.names.tolist(), p.code[kept], p.w[kept], p.joined[kept] & follows
+
+
 def cut(texts: DataFrame, known: np.ndarray) -> DataFrame:
-    """A row of ``SHARD`` for each shard; words that are surely not frequent have the hash 0."""
+    """A row of ``SHARD`` for each shard, without the words that are surely not frequent."""
     sent = texts.sparkSession.sparkContext.broadcast(known)
 
-    def row(parts) -> pa.RecordBatch:
-        names = sorted({name for held, _, _, _ in parts for name in held})
+    def row(parts, counts) -> pa.RecordBatch:
+        names = sorted(counts)
         number = {name: i for i, name in enumerate(names)}
-        code = np.concatenate([np.array([number[n] for n in held], np.int32)[c] for held, c, _, _ in parts])
+        kind = _code_type(names)
+        code = np.concatenate([np.array([number[n] for n in held], kind)[c] for held, c, _, _ in parts])
         w, joined = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
-        sizes = np.bincount(code, minlength=len(names))
         return pa.RecordBatch.from_pydict({
-            "names": pa.array([names]), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())),
+            "names": pa.array([names]), "sizes": pa.array([[counts[n] for n in names]], pa.list_(pa.int64())),
             "w": pa.array([w.tobytes()]), "joined": pa.array([np.packbits(joined).tobytes()]),
             "code": pa.array([code.tobytes()]),
         })
 
     def run(batches):
-        held, size = [], 0
+        held, counts = [], {}
         for p in pieces_of(batches):
             if not len(p.w):
                 continue
-            held.append((p.names.tolist(), p.code, np.where(may_hold(sent.value, p.w), p.w, np.uint64(0)), p.joined))
-            size += len(p.w)
-            if size >= SHARD_WORDS:
-                yield row(held)
-                held, size = [], 0
+            held.append(_frequent(p, sent.value))
+            for name, n in zip(p.names.tolist(), np.bincount(p.code, minlength=len(p.names)).tolist()):
+                counts[name] = counts.get(name, 0) + n
+            if sum(counts.values()) >= SHARD_WORDS:
+                yield row(held, counts)
+                held, counts = [], {}
         if held:
-            yield row(held)
+            yield row(held, counts)
         release()
 
     return texts.mapInArrow(run, SHARD)
@@ -129,7 +142,7 @@ class Shard:
 
     def __init__(self, row: dict):
         self.names, self.sizes = row["names"], row["sizes"]
-        self.w, self.code = np.frombuffer(row["w"], np.uint64), np.frombuffer(row["code"], np.int32)
+        self.w, self.code = np.frombuffer(row["w"], np.uint64), np.frombuffer(row["code"], _code_type(self.names))
         self.joined = np.unpackbits(np.frombuffer(row["joined"], np.uint8), count=len(self.w)).astype(bool)
 
     @staticmethod
@@ -153,13 +166,19 @@ class Shard:
 
     def alive(self, bits: list[np.ndarray]) -> np.ndarray:
         """Where phrases start that pass the filters for two words and more; frequent words without any."""
-        alive = self.w != 0
+        alive = np.ones(len(self.w), bool)
         for k, held in enumerate(bits, 2):
             at, keys = self.phrases(alive, k)
             alive = np.zeros(len(alive), bool)
             alive[at[may_hold(held, keys)]] = True
         return alive
 
+    def slack(self, least: np.ndarray) -> pa.RecordBatch:
+        """A row of size 0 for each language."""
+        zero = np.zeros(len(least), np.int64)
+        columns = [zero.astype(np.int32), *[zero] * LONGEST, pa.array(self.names, pa.string()), zero, least - 1]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["k", *_WORDS, "lang", "n", "slack"])
+
     def rows(self, at: np.ndarray, k: int, n: np.ndarray, slack: np.ndarray) -> pa.RecordBatch:
         words = [self.w[at + i].view(np.int64) if i < k else np.zeros(len(at), np.int64) for i in range(LONGEST)]
         lang = pa.array(self.names, pa.string()).take(pa.array(self.code[at]))
@@ -237,15 +256,17 @@ def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], si
             alive = shard.alive(bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
-                _, one, of, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+                if k == sizes[-1]:
+                    _, one, n = np.unique(keys, return_index=True, return_counts=True)
+                else:
+                    _, one, of, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
                 slack = least[shard.code[at[one]]] - 1
                 enough = n > slack
-                alive = np.zeros(len(alive), bool)
-                alive[at[enough[of]]] = True
+                if k < sizes[-1]:
+                    alive = np.zeros(len(alive), bool)
+                    alive[at[enough[of]]] = True
                 yield shard.rows(at[one[enough]], k, n[enough], slack[enough])
-            for code, name in enumerate(shard.names):
-                at = np.flatnonzero(shard.code == code)[:1]
-                yield shard.rows(at, 0, np.zeros(len(at)), np.full(len(at), least[code] - 1))
+            yield shard.slack(least)
         release()
 
     return cuts.mapInArrow(run, FINDS)
