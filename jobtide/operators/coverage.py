@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from jobtide.operators.running import running_total
+
 
 def coverage_log(
     df: DataFrame, term: str, page: str, key: str, order: str, term_order: str | None = None
@@ -14,7 +16,8 @@ def coverage_log(
 
     A key counts as new on the page where it is first met.  First meetings are found by an
     aggregate (a hot key sends one row per task), and windows run only over the page table: the
-    running total is summed inside each term and then shifted by the totals of earlier terms.
+    running total is summed inside each term and then shifted by the totals of earlier terms, which
+    come from a prefix sum over blocks of terms.
     """
     rank = F.col(term_order) if term_order else F.col(term)
     rows = df.select(
@@ -39,11 +42,8 @@ def coverage_log(
         W.unboundedPreceding, W.currentRow
     )
     terms = log.groupBy("_rank", "_term").agg(F.sum("new").alias("_sum"))
-    # one row per search term, a list written down by a person
-    earlier = W.orderBy("_rank", "_term").rowsBetween(W.unboundedPreceding, -1)
-    shift = terms.select(
-        F.col("_term").alias("_t"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift")
-    )
+    totals = running_total(terms, ["_rank", "_term"], "_sum", "_until")
+    shift = totals.select(F.col("_term").alias("_t"), (F.col("_until") - F.col("_sum")).alias("_shift"))
     log = log.withColumn("_within", F.sum("new").over(by_page)).withColumn(
         "_island", F.sum(F.when(F.col("new") > 0, 1).otherwise(0)).over(by_page)
     )

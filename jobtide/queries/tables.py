@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions import periods
 from jobtide.functions import text as tx
-from jobtide.operators import conform, coverage, facets, rows, summary
+from jobtide.operators import conform, coverage, facets, rows, running, summary
 from jobtide.queries.common import BASE_URL, Query, table
 from jobtide.session import scratch_dir
 from jobtide.sources import files, jsonstat
@@ -88,6 +88,21 @@ def coverage_log(spark, sf):
     return coverage.coverage_log(events, "event_type", "day", "user_id", "event_id")
 
 
+def coverage_log_users(spark, sf):
+    """Each user as a search term: values first met on each of the user's days."""
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    return coverage.coverage_log(events, "user_id", "day", "value", "event_id")
+
+
+def running_revenue(spark, sf):
+    """Quantity of all order lines up to each, by date and line."""
+    lines = table(spark, sf, "lineitem").groupBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("long")).alias("quantity")
+    )
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return running.running_total(lines, order, "quantity")
+
+
 def hash_sample(spark, sf):
     return rows.hash_sample(table(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey", 10)
 
@@ -310,6 +325,29 @@ QUERIES: dict[str, Query] = {
                AS no_new_streak
            FROM g""",
     ),
+    "coverage_log_users": Query(
+        coverage_log_users,
+        """WITH e AS (
+             SELECT user_id, CAST(ts AS DATE) AS day, row_number() OVER (
+               PARTITION BY value ORDER BY user_id, CAST(ts AS DATE), event_id) AS rn
+             FROM events),
+           p AS (SELECT user_id, day, count(*) AS cards, count(*) FILTER (rn = 1) AS new
+                 FROM e GROUP BY user_id, day),
+           g AS (SELECT *, sum(new) OVER (ORDER BY user_id, day) AS total,
+                   count(*) FILTER (new > 0) OVER (PARTITION BY user_id ORDER BY day) AS island
+                 FROM p)
+           SELECT user_id, day, cards, new, CAST(total AS BIGINT) AS total,
+             count(*) FILTER (new = 0) OVER (PARTITION BY user_id, island ORDER BY day)
+               AS no_new_streak
+           FROM g""",
+    ),
+    "running_revenue": Query(
+        running_revenue,
+        """WITH l AS (SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY ALL)
+           SELECT *, CAST(sum(quantity) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey
+                                              ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM l""",
+    ),
     "hash_sample": Query(
         hash_sample,
         """SELECT c_custkey, c_name FROM customer
