@@ -39,6 +39,8 @@ from jobtide.llm.texts import LOWER, Texts, mix, pieces, prefix, range_hash, rel
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
 SHARD_WORDS, LOWERED = 1 << 22, 2
+#: Phrases hashed at a time, and parts that a shard's phrases are counted in.
+CHUNK, PORTIONS = 1 << 18, 8
 #: Parts of a language that are ranked by themselves before all are ranked.
 SALTS = 64
 UNKNOWN = "und"
@@ -88,6 +90,13 @@ def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
             yield Piece(rows)
 
 
+def portions(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the keys in ``PORTIONS`` parts, equal keys in one, so that sorting them takes little memory."""
+    part = (keys >> np.uint64(32)).astype(np.uint8) % PORTIONS
+    for k in range(PORTIONS):
+        yield np.flatnonzero(part == k)
+
+
 SHARD = "names array<string>, sizes array<long>, w binary, joined binary, code binary"
 
 
@@ -140,16 +149,17 @@ def cut(texts: DataFrame, known: np.ndarray) -> DataFrame:
 class Shard:
     """Words of a part of the texts, with the number of words by language."""
 
-    def __init__(self, row: dict):
-        self.names, self.sizes = row["names"], row["sizes"]
-        self.w, self.code = np.frombuffer(row["w"], np.uint64), np.frombuffer(row["code"], _code_type(self.names))
-        self.joined = np.unpackbits(np.frombuffer(row["joined"], np.uint8), count=len(self.w)).astype(bool)
+    def __init__(self, names, sizes, w, joined, code):
+        self.names, self.sizes = names.as_py(), sizes.as_py()
+        self.w = np.frombuffer(w.as_buffer(), np.uint64)
+        self.code = np.frombuffer(code.as_buffer(), _code_type(self.names))
+        self.joined = np.unpackbits(np.frombuffer(joined.as_buffer(), np.uint8), count=len(self.w)).astype(bool)
 
     @staticmethod
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator["Shard"]:
         for batch in batches:
             for k in range(batch.num_rows):
-                yield Shard(batch.slice(k, 1).to_pylist()[0])
+                yield Shard(*(column[k] for column in batch.columns))
 
     def local_support(self, totals: dict[str, int], support: int) -> np.ndarray:
         """For each language the shard's part of the lowered support, rounded up, at least 1."""
@@ -162,7 +172,11 @@ class Shard:
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at = np.flatnonzero(alive[:n] & alive[1 : n + 1] & (self.joined[:n] if k == 2 else True))
-        return at, sequence_hash([self.w[at + i] for i in range(k)])
+        keys = np.empty(len(at), np.uint64)
+        for low in range(0, len(at), CHUNK):
+            part = at[low : low + CHUNK]
+            keys[low : low + CHUNK] = sequence_hash([self.w[part + i] for i in range(k)])
+        return at, keys
 
     def alive(self, bits: list[np.ndarray]) -> np.ndarray:
         """Where phrases start that pass the filters for two words and more; frequent words without any."""
@@ -256,16 +270,14 @@ def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], si
             alive = shard.alive(bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
-                if k == sizes[-1]:
-                    _, one, n = np.unique(keys, return_index=True, return_counts=True)
-                else:
-                    _, one, of, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                slack = least[shard.code[at[one]]] - 1
-                enough = n > slack
-                if k < sizes[-1]:
-                    alive = np.zeros(len(alive), bool)
-                    alive[at[enough[of]]] = True
-                yield shard.rows(at[one[enough]], k, n[enough], slack[enough])
+                alive = np.zeros(len(alive), bool)
+                for own in portions(keys):
+                    _, one, of, n = np.unique(keys[own], return_index=True, return_inverse=True, return_counts=True)
+                    first = at[own[one]]
+                    slack = least[shard.code[first]] - 1
+                    enough = n > slack
+                    alive[at[own[enough[of]]]] = True
+                    yield shard.rows(first[enough], k, n[enough], slack[enough])
             yield shard.slack(least)
         release()
 
@@ -314,10 +326,12 @@ def unreported(
                 at, keys = at[passes], keys[passes]
                 alive = np.zeros(len(alive), bool)
                 alive[at] = True
-                _, one, n = np.unique(keys, return_index=True, return_counts=True)
-                slack = least[shard.code[at[one]]] - 1
-                few = n <= slack
-                yield shard.rows(at[one[few]], k, n[few], slack[few])
+                for own in portions(keys):
+                    _, one, n = np.unique(keys[own], return_index=True, return_counts=True)
+                    first = at[own[one]]
+                    slack = least[shard.code[first]] - 1
+                    few = n <= slack
+                    yield shard.rows(first[few], k, n[few], slack[few])
         release()
 
     return cuts.mapInArrow(run, FINDS)
