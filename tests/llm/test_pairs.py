@@ -221,7 +221,7 @@ def test_edited_items_at_the_threshold_are_found():
         own, seen = index.bags[k % 60], text.words(fold=True).hashes
         n = len(item)
         best = max(decontamination.similarity(own, decontamination.bag(seen[i : i + n])) for i in range(len(seen) - n + 1))
-        found = {hit[1]: hit[2] for hit in decontamination._search(text, index, 0.8, 3)}
+        found = {hit[1]: hit[2] for hit in decontamination._search(text, index, 0.8)}
         assert (k % 60 in found) == (best >= 0.8)
         held += 0.8 <= best < 1
     assert held > 100
@@ -237,24 +237,70 @@ def test_items_cut_by_the_edge_of_a_document_are_found():
         (item[:-6], 0, 54), (item[6:], 0, 54),
     ]
     for w, first, n in cases:
-        hits = decontamination._search(Texts(pa.array([" ".join(text(50)), " ".join(w)], pa.large_string())), index, 0.8, 3)
+        hits = decontamination._search(Texts(pa.array([" ".join(text(50)), " ".join(w)], pa.large_string())), index, 0.8)
         best = near(Counter(zip(*(item[k:] for k in range(5)))), Counter(zip(*(w[first : first + n][k:] for k in range(5)))))
         assert best >= 0.8 and hits == [(1, 0, pytest.approx(best), first, n)]
-    assert not decontamination._search(Texts(pa.array([" ".join(item[:-14])], pa.large_string())), index, 0.8, 3)
+    assert not decontamination._search(Texts(pa.array([" ".join(item[:-14])], pa.large_string())), index, 0.8)
 
 
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(2)
-    index = decontamination.Index([1], [" ".join(f"w{i}" for i in range(30))])
-    size = next(iter(index.sizes))
-    own = index.sizes[size][0]
-    prints = np.concatenate([own, own, rng.integers(0, 2**63, 500).astype(np.uint64)])
-    for k in range(len(own)):
-        for bit in rng.choice(64, rng.integers(0, 10), replace=False):
-            prints[k] ^= np.uint64(1) << np.uint64(bit)
-    got = set(zip(*(x.tolist() for x in index.candidates(prints, size))))
-    every = {(i, j) for i, p in enumerate(prints) for j, q in enumerate(own) if int(p ^ q).bit_count() <= 7}
-    assert got == every
+    texts = [" ".join(f"w{rng.integers(1000)}" for _ in range(30)) for _ in range(20)]
+    group = decontamination.Index(list(range(20)), texts).sizes[30]
+    own = group.prints
+    prints = np.concatenate([own, own, own, rng.integers(0, 2**63, (500, 4)).astype(np.uint64)])
+    for k in range(3 * len(own)):
+        for bit in rng.choice(256, rng.integers(40, 75), replace=False):
+            prints[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    for radius in (63, 50):
+        got = set(zip(*(x.tolist() for x in group.candidates(prints, radius))))
+        apart = np.bitwise_count(prints[:, None] ^ own[None]).sum(axis=2)
+        assert got == set(zip(*(x.tolist() for x in np.nonzero(apart <= radius)))) and len(got) > 5
+
+
+def test_fingerprints_of_windows_are_those_of_their_bags():
+    rng = np.random.default_rng(7)
+    shingles = rng.integers(0, 12, 300).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    shingles[100:180] = rng.integers(0, 2**62, 80).astype(np.uint64)
+    starts = np.array([0, 1, 2, 50, 101, 102, 140, 150, 250])
+    found = decontamination.fingerprints(shingles, starts, 40)
+    for row, at in zip(found, starts):
+        assert (row == decontamination.fingerprint(shingles[at : at + 40])[0]).all()
+
+
+@pytest.mark.parametrize("form", ["halves", "thirds", "insert", "replace", "repeated", "cut"])
+def test_moved_and_edited_items_are_found_whenever_similar(form):
+    """Every item-sized window at 0.8 or more, by brute force over all starts."""
+    rng = random.Random(form)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(rng.randint(30, 150))] for _ in range(50)]
+    index = decontamination.Index(list(range(50)), [" ".join(x) for x in items])
+    held = 0
+    for k, item in enumerate(items):
+        n = len(item)
+        if form == "halves":
+            w = item[n // 2 :] + item[: n // 2]
+        elif form == "thirds":
+            w = item[n // 3 : 2 * n // 3] + item[: n // 3] + item[2 * n // 3 :]
+        elif form == "insert":
+            at = rng.randrange(n)
+            w = item[:at] + [f"x{i}" for i in range(rng.randint(1, n // 12))] + item[at:]
+        elif form == "replace":
+            w = list(item)
+            w[rng.randrange(n)] = "changed"
+        elif form == "repeated":
+            size = max(1, n // 30)
+            at = rng.randrange(n - size)
+            w = item[:at] + ["the"] * size + item[at + size :]
+        else:
+            w = item[rng.randint(0, n // 10) :]
+        whole = [f"b{i}" for i in range(rng.randint(0, 40))] + w + [f"a{i}" for i in range(rng.randint(n // 8, 60))]
+        text = Texts(pa.array([" ".join(whole)], pa.large_string()))
+        seen, own = text.words(fold=True).hashes, index.bags[k]
+        best = max(decontamination.similarity(own, decontamination.bag(seen[i : i + n])) for i in range(len(seen) - n + 1))
+        found = {hit[1]: hit[2] for hit in decontamination._search(text, index, 0.8)}
+        assert found.get(k) == (pytest.approx(best) if best >= 0.8 else None)
+        held += best >= 0.8
+    assert held >= 20
 
 
 def test_decontamination_odd_rows(spark, odd):
