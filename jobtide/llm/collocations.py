@@ -9,8 +9,9 @@ over all documents is found in at least one shard.  The union of the finds is pr
 that did not report a phrase holds at most its local support less one of it, so a phrase whose reported
 counts and the rest of these bounds stay below ``support`` goes.  For the others the shards count what they
 have not reported, and the sum is exact.  The lower the local support, the more finds and the fewer
-false candidates; with many shards it falls to one, and the reported counts are complete.  Longer phrases
-are mined only where all their two-word parts are frequent.
+false candidates.  With many shards it is one, and the reported counts are complete: the work then grows
+in proportion to the words, whereas shards with a higher local support find the less the fewer they are.
+Longer phrases are mined only where all their two-word parts are frequent.
 
 What tasks need to know about all documents reaches them as bitmaps of fixed size, which may let too
 much pass but never too little; only exact counts decide.  Words are compared by 64-bit hashes (with
@@ -38,7 +39,7 @@ from jobtide.llm.scratch import written
 from jobtide.llm.texts import LOWER, Texts, mix, pieces, prefix, range_hash, release, sequence_hash, small_batches
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
-SHARD_WORDS, LOWERED = 1 << 22, 2
+SHARD_WORDS, LOWERED = 1 << 20, 8
 #: Phrases hashed at a time, and parts that a shard's phrases are counted in.
 CHUNK, PORTIONS = 1 << 18, 8
 #: Parts of a language that are ranked by themselves before all are ranked.
@@ -187,12 +188,6 @@ class Shard:
             alive[at[may_hold(held, keys)]] = True
         return alive
 
-    def slack(self, least: np.ndarray) -> pa.RecordBatch:
-        """A row of size 0 for each language."""
-        zero = np.zeros(len(least), np.int64)
-        columns = [zero.astype(np.int32), *[zero] * LONGEST, pa.array(self.names, pa.string()), zero, least - 1]
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["k", *_WORDS, "lang", "n", "slack"])
-
     def rows(self, at: np.ndarray, k: int, n: np.ndarray, slack: np.ndarray) -> pa.RecordBatch:
         words = [self.w[at + i].view(np.int64) if i < k else np.zeros(len(at), np.int64) for i in range(LONGEST)]
         lang = pa.array(self.names, pa.string()).take(pa.array(self.code[at]))
@@ -257,7 +252,7 @@ def hashed(words: DataFrame) -> DataFrame:
 
 
 def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int) -> DataFrame:
-    """Local finds of the sizes, as ``FINDS``; the rows of size 0 have a shard's slack by language.
+    """Local finds of the sizes, as ``FINDS``.
 
     ``filters`` tell of phrases of two words and more which may be frequent.
     """
@@ -278,17 +273,23 @@ def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], si
                     enough = n > slack
                     alive[at[own[enough[of]]]] = True
                     yield shard.rows(first[enough], k, n[enough], slack[enough])
-            yield shard.slack(least)
         release()
 
     return cuts.mapInArrow(run, FINDS)
 
 
-def candidates(finds: DataFrame, support: int) -> DataFrame:
+def slack_of(cuts: DataFrame, totals: DataFrame, support: int) -> DataFrame:
+    """(lang, all_slack): how often a phrase may occur in all shards together without being reported."""
+    each = cuts.select(F.explode(F.arrays_zip("names", "sizes")).alias("s")).select(F.col("s.names").alias("lang"), "s.sizes")
+    least = F.expr(f"(sizes * {support} + n * {LOWERED} - 1) div (n * {LOWERED})")
+    held = F.when(F.col("sizes") > 0, F.greatest(least, F.lit(1)) - 1).otherwise(F.lit(0))
+    return each.join(totals, "lang").groupBy("lang").agg(F.sum(held).cast("long").alias("all_slack"))
+
+
+def candidates(finds: DataFrame, slack: DataFrame, support: int) -> DataFrame:
     """(k, w0 to w4, n) of finds that may reach the support, by what shards reported and what others can hold."""
-    whole = finds.where("k = 0").groupBy("lang").agg(F.sum("slack").alias("all_slack"))
-    found = finds.where("k > 0").groupBy("k", *_WORDS, "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    found = found.join(whole, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support)
+    found = finds.groupBy("k", *_WORDS, "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
+    found = found.join(slack, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support)
     return found.select("k", *_WORDS, "n")
 
 
@@ -339,19 +340,25 @@ def unreported(
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """Frequent phrases (words, a) as arrays of word hashes, frequent words (lang, text, n, w), words by language."""
+    spark = docs.sparkSession
     texts = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     counts = written(word_counts(texts).where((F.col("n") >= support) | F.col("text").isNull()), "phrase-words")
     totals = {r["lang"]: r["n"] for r in counts.where("text is null").collect()}
     words = written(hashed(counts.where("text is not null")), "phrase-hashes")
     cuts = written(cut(texts, bitmap(words, "w")), "phrase-shards")
+    sizes_by_language = spark.createDataFrame(list(totals.items()), "lang string, n long")
+    # One row for each language.
+    held_back = slack_of(cuts, sizes_by_language, support).collect()
+    slack = spark.createDataFrame(held_back, "lang string, all_slack long")
     found, known = None, []
     for sizes in (range(2, 3), range(3, LONGEST + 1)):
-        finds = written(mined(cuts, totals, known, sizes, support), "phrase-finds")
-        reported = written(keyed(candidates(finds, support)), "phrase-candidates")
-        rest = unreported(cuts, totals, known, bitmap(reported, "key"), sizes, support)
-        both = reported.select("k", *_WORDS, "n").unionByName(rest.select("k", *_WORDS, "n"))
-        exact = both.groupBy("k", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-        exact = written(keyed(exact), "phrase-counts")
+        finds = mined(cuts, totals, known, sizes, support)
+        exact = written(keyed(candidates(finds, slack, support)), "phrase-candidates")
+        if any(r["all_slack"] for r in held_back):
+            rest = unreported(cuts, totals, known, bitmap(exact, "key"), sizes, support)
+            both = exact.select("k", *_WORDS, "n").unionByName(rest.select("k", *_WORDS, "n"))
+            whole = both.groupBy("k", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+            exact = written(keyed(whole), "phrase-counts")
         found = exact if found is None else found.unionByName(exact)
         known = [*known, bitmap(exact, "key")]
     return found.select(F.slice(F.array(*_WORDS), 1, F.col("k")).alias("words"), F.col("n").alias("a")), words, totals

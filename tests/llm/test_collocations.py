@@ -49,9 +49,10 @@ def mined(docs, support, top):
     return {tuple(r) for r in collocations.collocations(docs, support, top).collect()}
 
 
-@pytest.mark.parametrize("shard_words", [1 << 22, 300, 40])
-def test_matches_a_plain_count(spark, documents, monkeypatch, shard_words):
+@pytest.mark.parametrize(("shard_words", "lowered"), [(1 << 22, 1), (300, 1), (40, 2), (300, 8)])
+def test_matches_a_plain_count(spark, documents, monkeypatch, shard_words, lowered):
     monkeypatch.setattr(collocations, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(collocations, "LOWERED", lowered)
     rng = random.Random(shard_words)
     words = ["a", "b", "The", "the", "of", "Éa", "x-y", "q", "zz", "new", "york", "city"]
     rows = []
