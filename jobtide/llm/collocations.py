@@ -162,10 +162,10 @@ class Shard:
             for k in range(batch.num_rows):
                 yield Shard(*(column[k] for column in batch.columns))
 
-    def local_support(self, totals: dict[str, int], support: int) -> np.ndarray:
+    def local_support(self, totals: dict[str, int], support: int, lowered: int) -> np.ndarray:
         """For each language the shard's part of the lowered support, rounded up, at least 1."""
         sizes = zip(self.names, self.sizes)
-        return np.array([max(1, -(-support * n // (LOWERED * totals[name]))) if n else 1 for name, n in sizes], np.int64)
+        return np.array([max(1, -(-support * n // (lowered * totals[name]))) if n else 1 for name, n in sizes], np.int64)
 
     def phrases(self, alive: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Where phrases of k words start whose parts of k - 1 words are alive, and their hashes."""
@@ -256,12 +256,12 @@ def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], si
 
     ``filters`` tell of phrases of two words and more which may be frequent.
     """
-    sent = cuts.sparkSession.sparkContext.broadcast((totals, filters))
+    sent, lowered = cuts.sparkSession.sparkContext.broadcast((totals, filters)), LOWERED
 
     def run(batches):
         known, bits = sent.value
         for shard in Shard.each(batches):
-            least = shard.local_support(known, support)
+            least = shard.local_support(known, support, lowered)
             alive = shard.alive(bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
@@ -314,12 +314,12 @@ def unreported(
     cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int
 ) -> DataFrame:
     """Counts in shards that did not report them, of phrases that the filter ``wanted`` lets pass, as ``FINDS``."""
-    sent = cuts.sparkSession.sparkContext.broadcast((totals, filters, wanted))
+    sent, lowered = cuts.sparkSession.sparkContext.broadcast((totals, filters, wanted)), LOWERED
 
     def run(batches):
         known, bits, held = sent.value
         for shard in Shard.each(batches):
-            least = shard.local_support(known, support)
+            least = shard.local_support(known, support, lowered)
             alive = shard.alive(bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)

@@ -87,5 +87,5 @@ def test_local_support_adds_up():
         least = 0
         for n in sizes:
             part.names, part.sizes = ["en"], [n]
-            least += int(part.local_support({"en": sum(sizes)}, 100)[0]) - 1
+            least += int(part.local_support({"en": sum(sizes)}, 100, 1)[0]) - 1
         assert least < 100
