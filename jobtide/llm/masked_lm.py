@@ -1,12 +1,12 @@
 """Language-model scoring by masked pseudo-likelihood.
 
 Method: a bidirectional window network, trained in numpy, predicts every token from the tokens on
-both sides of it: embeddings of ``SIDE`` tokens on each side, a tanh layer, and a softmax over all
-classes.  A document's score is the sum of the log-probabilities of its tokens, each given its
+both sides of it: embeddings of ``SIDE`` tokens on each side, a tanh layer, and a softmax in two levels,
+over groups of ``GROUP`` classes and over the classes of the token's group.  A document's score is the sum of the log-probabilities of its tokens, each given its
 surroundings: that of its class, and that of the word within its class.
 
 Tokens are words; their classes are the most frequent words of the whole corpus, counted in Spark, and
-hash buckets for all others.  There are ``FREQUENT`` classes of one word, and ``MORE`` more for every
+buckets by their last ``ENDING`` bytes for all others, so that a bucket tells of language and form.  There are ``FREQUENT`` classes of one word, and ``MORE`` more for every
 doubling of the corpus beyond ``FROM`` words.  A word has in its bucket its share of the bucket's
 tokens in the whole corpus.  The ``COMMON`` words that are the most frequent in buckets are sent to the
 tasks with their shares; all others are joined in Spark.  Training covers the corpus: in each round every task trains, from the
@@ -29,28 +29,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import Texts, Words, map_texts, mix, pieces, release, small_batches, sums_by
+from jobtide.llm.texts import LOWER, Texts, Words, map_texts, mix, pieces, release, small_batches, sums_by
 
-CLASSES, FREQUENT = 256, 160
+CLASSES, FREQUENT = 512, 160
+GROUP = 32
+ENDING = 3
 BUCKETS = CLASSES - 1 - FREQUENT
 MORE, FROM = 16, 1 << 20
 COMMON = 1 << 17
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-ROUNDS, DRAW, BATCH, RATE = 2, 2, 128, 0.05
+ROUNDS, DRAW, BATCH, RATE = 2, 2, 1024, 0.1
 STEP = 4096
 #: Different words a task counts before it hands its counts on and starts anew.
 REMEMBERED = 1 << 20
 
 
+def buckets_of(texts: Texts, words: Words) -> np.ndarray:
+    """The bucket of each word, by its last bytes with A-Z as a-z; a frequent word does not use its own."""
+    data = np.concatenate([np.zeros(ENDING, np.uint8), LOWER[texts.data]])
+    ending = np.zeros(len(words.hashes), np.uint64)
+    for k in range(ENDING):
+        held = words.end - words.start > k
+        ending |= np.where(held, data[words.end + ENDING - 1 - k], 0).astype(np.uint64) << np.uint64(8 * k)
+    return (mix(ending) % np.uint64(BUCKETS)).astype(np.int32)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): how often each word, by its hash, occurs in all documents."""
+    """(word, bucket, n): how often each word, by its hash, occurs in all documents."""
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
             for rows in pieces(batch):
-                found, n = np.unique(Texts(rows.column(0)).words(fold=True).hashes, return_counts=True)
-                held.append((found, n))
+                texts = Texts(rows.column(0))
+                words = texts.words(fold=True)
+                found, one, n = np.unique(words.hashes, return_index=True, return_counts=True)
+                held.append((found, buckets_of(texts, words)[one], n))
                 size += len(found)
                 if size > REMEMBERED:
                     held = [_merged(held)]
@@ -62,20 +76,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield _rows(*_merged(held))
         release()
 
-    def _rows(words, n):
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+    def _rows(words, buckets, n):
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(buckets), pa.array(n)], ["word", "bucket", "n"])
 
     small_batches(docs.sparkSession)
-    counted = docs.select("text").mapInArrow(run, "word long, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "word long, bucket int, n long")
+    return counted.groupBy("word", "bucket").agg(F.sum("n").alias("n"))
 
 
 def _merged(parts):
-    words, n = (np.concatenate(x) for x in zip(*parts))
+    words, buckets, n = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(words, kind="stable")
     words = words[order]
     at = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])) if len(words) else np.zeros(0, np.int64)
-    return words[at], np.add.reduceat(n[order], at) if len(at) else n
+    return words[at], buckets[order][at], np.add.reduceat(n[order], at) if len(at) else n
 
 
 def frequent_count(tokens: int) -> int:
@@ -96,9 +110,9 @@ def class_count(frequent: np.ndarray) -> int:
     return 1 + max(FREQUENT, len(frequent)) + BUCKETS
 
 
-def classes_of(words: Words, frequent: np.ndarray) -> np.ndarray:
-    """Class of each word: 0 is outside a text, then frequent words, then hash buckets."""
-    out = (words.hashes % np.uint64(BUCKETS)).astype(np.int64) + class_count(frequent) - BUCKETS
+def classes_of(texts: Texts, words: Words, frequent: np.ndarray) -> np.ndarray:
+    """Class of each word: 0 is outside a text, then frequent words, then buckets."""
+    out = buckets_of(texts, words).astype(np.int64) + class_count(frequent) - BUCKETS
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, words.hashes), len(frequent) - 1)
         known = frequent[at] == words.hashes
@@ -111,9 +125,7 @@ class Shares:
 
     def __init__(self, counts: DataFrame, frequent: np.ndarray, common: int = COMMON):
         own = counts.where(~F.col("word").isin(frequent.view(np.int64).tolist())) if len(frequent) else counts
-        # Hashes are unsigned in numpy and signed in Spark.
-        self.bucket = (F.shiftrightunsigned("word", 1) % BUCKETS * 2 + F.col("word").bitwiseAND(F.lit(1))) % BUCKETS
-        totals = dict(own.groupBy(self.bucket.alias("bucket")).agg(F.sum("n")).collect())
+        totals = dict(own.groupBy("bucket").agg(F.sum("n")).collect())
         self.totals = F.array(*[F.lit(float(totals.get(k, 1))) for k in range(BUCKETS)])
         steps = own.groupBy(F.floor(4 * F.log2("n")).alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n"))
         least, held = None, 0
@@ -130,8 +142,8 @@ class Shares:
         self.others = own if least is None else own.where(F.col("n") < least)
 
     def logarithm(self):
-        """The logarithm of a word's share, from columns word and n; a word without a count counts once."""
-        return F.log(F.coalesce("n", F.lit(1)) / F.get(self.totals, self.bucket.cast("int")))
+        """The logarithm of a word's share, from columns bucket and n; a word without a count counts once."""
+        return F.log(F.coalesce("n", F.lit(1)) / F.get(self.totals, F.col("bucket")))
 
 
 def surroundings(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -149,45 +161,72 @@ def surroundings(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Network:
-    """Parameters in one float32 vector: embedding, hidden layer, output layer."""
+    """Parameters in one float32 vector: embedding, hidden layer, and output layers of groups and classes."""
 
     @staticmethod
     def shapes(classes: int) -> dict[str, tuple]:
+        groups = -(-classes // GROUP)
         return {
             "E": (classes, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,),
-            "O": (HIDDEN, classes), "c": (classes,),
+            "G": (HIDDEN, groups), "g": (groups,), "O": (groups, HIDDEN, GROUP), "c": (groups, GROUP),
         }
 
     def __init__(self, flat: np.ndarray | None = None, classes: int = CLASSES):
-        if flat is None:
-            size = sum(int(np.prod(s)) for s in self.shapes(classes).values())
+        shapes = self.shapes(classes)
+        fresh = flat is None
+        if fresh:
+            size = sum(int(np.prod(s)) for s in shapes.values())
             flat = (np.random.default_rng(5).standard_normal(size) * 0.1).astype(np.float32)
-        self.flat, at = np.array(flat, np.float32), 0
-        classes = (len(self.flat) - HIDDEN * (2 * SIDE * WIDTH + 1)) // (WIDTH + HIDDEN + 1)
-        for name, shape in self.shapes(classes).items():
+        self.flat = np.array(flat, np.float32)
+        for name, part in self.parts(self.flat, classes).items():
+            setattr(self, name, part)
+        if fresh and classes % GROUP:
+            # Places of the last group that no class has.
+            self.c[-1, classes % GROUP :] = -30
+        self.classes, self.squares = classes, None
+
+    @classmethod
+    def parts(cls, flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
+        out, at = {}, 0
+        for name, shape in cls.shapes(classes).items():
             size = int(np.prod(shape))
-            setattr(self, name, self.flat[at : at + size].reshape(shape))
+            out[name] = flat[at : at + size].reshape(shape)
             at += size
-        self.squares = None
+        return out
 
-    def train(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One step of Adagrad on the mean log loss of a batch."""
+    def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The gradient of the mean log loss of a batch."""
         n = len(target)
+        flat = np.zeros_like(self.flat)
+        d = self.parts(flat, self.classes)
         x = self.E[around].reshape(n, -1)
         h = np.tanh(x @ self.W + self.b)
-        d = np.exp(np.clip(h @ self.O + self.c, -60, 60))
-        d /= d.sum(axis=1, keepdims=True)
-        d[np.arange(n), target] -= 1
-        d /= n
-        d_h = (d @ self.O.T) * (1 - h * h)
+        group, member = np.divmod(target, GROUP)
+        p = _softmax(h @ self.G + self.g)
+        p[np.arange(n), group] -= 1
+        p /= n
+        d["G"][:], d["g"][:] = h.T @ p, p.sum(axis=0)
+        d_h = p @ self.G.T
+        for k, rows in _by_group(group):
+            own = h[rows]
+            p = _softmax(own @ self.O[k] + self.c[k])
+            p[np.arange(len(rows)), member[rows]] -= 1
+            p /= n
+            d["O"][k], d["c"][k] = own.T @ p, p.sum(axis=0)
+            d_h[rows] += p @ self.O[k].T
+        d_h *= 1 - h * h
+        d["W"][:], d["b"][:] = x.T @ d_h, d_h.sum(axis=0)
         d_x = (d_h @ self.W.T).reshape(n * 2 * SIDE, WIDTH)
         met = around.ravel()
         order = np.argsort(met, kind="stable")
         met = met[order]
         at = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
-        d_e = np.zeros_like(self.E)
-        d_e[met[at]] = np.add.reduceat(d_x[order], at, axis=0)
-        gradient = np.concatenate([g.ravel() for g in (d_e, x.T @ d_h, d_h.sum(axis=0), h.T @ d, d.sum(axis=0))])
+        d["E"][met[at]] = np.add.reduceat(d_x[order], at, axis=0)
+        return flat
+
+    def train(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
+        """One step of Adagrad on the mean log loss of a batch."""
+        gradient = self.gradient(around, target)
         if self.squares is None:
             self.squares = np.full(len(self.flat), 1e-8, np.float32)
         self.squares += gradient * gradient
@@ -204,15 +243,35 @@ class Network:
             for k in range(1, 2 * SIDE):
                 h += tables[k][part[:, k]]
             np.tanh(h, out=h)
-            z = h @ self.O
-            z += self.c
-            np.clip(z, -60, 60, out=z)
-            own = z[np.arange(len(goal)), goal]
-            np.exp(z, out=z)
-            out[low : low + STEP] = own - np.log(z.sum(axis=1))
+            group, member = np.divmod(goal, GROUP)
+            found = _log_softmax_at(h @ self.G + self.g, group)
+            for k, rows in _by_group(group):
+                found[rows] += _log_softmax_at(h[rows] @ self.O[k] + self.c[k], member[rows])
+            out[low : low + STEP] = found
         return out
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    np.exp(np.clip(z, -60, 60, out=z), out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
+
+
+def _log_softmax_at(z: np.ndarray, column: np.ndarray) -> np.ndarray:
+    np.clip(z, -60, 60, out=z)
+    own = z[np.arange(len(z)), column]
+    return own - np.log(np.exp(z, out=z).sum(axis=1))
+
+
+def _by_group(group: np.ndarray):
+    """Each group that occurs, with its rows."""
+    order = np.argsort(group, kind="stable")
+    ordered = group[order]
+    edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(group) else [0]
+    for low, high in zip(edges[:-1], edges[1:]):
+        yield int(ordered[low]), order[low:high]
+
+
 def rounds_of(words: Words, draw: int) -> np.ndarray:
     """The round of 0 to ``draw`` - 1 in which each token is a target, by its document and place in it."""
     total = np.zeros(len(words.hashes) + 1, np.uint64)
@@ -234,12 +293,13 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
 
         def run(batches, sent=sent, turn=turn):
             start, known = sent.value
-            network, seen = Network(start), 0
+            network, seen = Network(start, class_count(known)), 0
             around, target = [], []
             for batch in batches:
                 for rows in pieces(batch):
-                    words = Texts(rows.column(0)).words(fold=True)
-                    classes = classes_of(words, known)
+                    texts = Texts(rows.column(0))
+                    words = texts.words(fold=True)
+                    classes = classes_of(texts, words, known)
                     drawn = np.flatnonzero(rounds_of(words, draw) == turn % draw)
                     around.append(surroundings(classes, words.first)[drawn])
                     target.append(classes[drawn])
@@ -284,8 +344,8 @@ def score(
     def run(rows, texts):
         values, known, held, logarithms = sent.value
         words = texts.words(fold=True)
-        classes = classes_of(words, known)
-        found = Network(values).log_probabilities(surroundings(classes, words.first), classes).astype(np.float64)
+        classes = classes_of(texts, words, known)
+        found = Network(values, class_count(known)).log_probabilities(surroundings(classes, words.first), classes).astype(np.float64)
         other = np.flatnonzero(classes >= class_count(known) - BUCKETS)
         if len(held):
             own = words.hashes[other]
@@ -294,16 +354,18 @@ def score(
             found[other[met]] += logarithms[at[met]]
             other = other[~met]
         first = pa.array(np.searchsorted(other, words.first).astype(np.int32))
+        bucket = pa.array((classes[other] - class_count(known) + BUCKETS).astype(np.int32))
+        rest = pa.StructArray.from_arrays([pa.array(words.hashes[other].view(np.int64)), bucket], ["word", "bucket"])
         return pa.RecordBatch.from_arrays(
             [rows.column(0), rows.column(2), pa.array(words.counts().astype(np.int64)), pa.array(sums_by(found, words.first)),
-             pa.ListArray.from_arrays(first, pa.array(words.hashes[other].view(np.int64)))],
+             pa.ListArray.from_arrays(first, rest)],
             ["doc_id", "row", "n_tokens", "total", "words"],
         )
 
-    schema = f"doc_id {kind}, row long, n_tokens long, total double, words array<long>"
+    schema = f"doc_id {kind}, row long, n_tokens long, total double, words array<struct<word: long, bucket: int>>"
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     parts = written(map_texts(numbered, run, schema), "lm-scores")
-    joined = parts.select("row", F.explode("words").alias("word")).join(shares.others, "word", "left")
+    joined = parts.select("row", F.explode("words").alias("w")).select("row", "w.*").join(shares.others.drop("bucket"), "word", "left")
     rest = joined.select(F.lit(None).cast(kind).alias("doc_id"), "row", F.lit(None).cast("long").alias("n_tokens"), shares.logarithm().alias("total"))
     found = parts.drop("words").unionByName(rest).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("total").alias("log_likelihood")

@@ -105,20 +105,71 @@ def test_quality_rules_odd_rows(odd):
     assert quality_rules.judge(odd.limit(0)).count() == 0
 
 
+def log_probability(network, around, target):
+    """One token by a plain loop over the two levels."""
+    x = np.concatenate([network.E[c] for c in around]).astype(float)
+    h = np.tanh(x @ network.W + network.b)
+    k, member = divmod(int(target), masked_lm.GROUP)
+    groups = h @ network.G + network.g
+    own = h @ network.O[k] + network.c[k]
+    return groups[k] - np.log(np.exp(groups).sum()) + own[member] - np.log(np.exp(own).sum())
+
+
 def test_masked_network_gradient_and_scores():
     rng = np.random.default_rng(0)
-    around = rng.integers(0, 256, (64, 2 * masked_lm.SIDE))
-    target = rng.integers(0, 256, 64)
-    network = masked_lm.Network()
+    classes = 100
+    around = rng.integers(0, classes, (64, 2 * masked_lm.SIDE))
+    target = rng.integers(0, classes, 64)
+    network = masked_lm.Network(classes=classes)
     before = network.log_probabilities(around, target)
-    x = np.tanh(network.E[around].reshape(64, -1) @ network.W + network.b) @ network.O + network.c
-    plain = x[np.arange(64), target] - np.log(np.exp(x).sum(axis=1))
-    assert np.allclose(before, plain, atol=1e-4)
+    assert np.allclose(before, [log_probability(network, a, t) for a, t in zip(around, target)], atol=1e-4)
+    # A probability over all classes.
+    every = network.log_probabilities(np.repeat(around[:1], classes, axis=0), np.arange(classes))
+    assert np.exp(every).sum() == pytest.approx(1, abs=1e-4)
+    gradient = network.gradient(around, target)
+    loss = lambda flat: -np.mean([log_probability(masked_lm.Network(flat, classes), a, t) for a, t in zip(around, target)])
+    for i in rng.choice(len(network.flat), 25, replace=False):
+        step = np.zeros(len(network.flat), np.float32)
+        step[i] = 1e-2
+        assert gradient[i] == pytest.approx((loss(network.flat + step) - loss(network.flat - step)) / 2e-2, abs=2e-4)
     for _ in range(60):
-        network.train(around, target, 1.0)
+        network.train(around, target, 0.2)
     assert network.log_probabilities(around, target).mean() > before.mean() + 0.5
 
 
+def test_buckets_go_by_the_ending_of_a_word():
+    texts = Texts(pa.array(["a ba cba dcba DCBA xcba a", "xba ba é"]))
+    found = masked_lm.buckets_of(texts, texts.words(fold=True)).tolist()
+    assert found[2] == found[3] == found[4] == found[5] and found[0] == found[6] and found[1] == found[8]
+    assert len({found[0], found[1], found[2], found[7], found[9]}) == 5
+
+
+def test_scores_of_a_table_match_a_plain_loop(documents):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randint(0, 40))) for i in range(60)]
+    docs = documents(rows)
+    frequent = masked_lm.frequent_words(docs)
+    network = masked_lm.Network()
+    counts = Counter(w for _, t in rows for w in t.split())
+    texts = Texts(pa.array([" ".join(counts)]))
+    words = texts.words(fold=True)
+    classes = {}
+    for w, x, bucket in zip(counts, words.hashes, masked_lm.buckets_of(texts, words)):
+        at = np.flatnonzero(frequent == x)
+        classes[w] = int(at[0]) + 1 if len(at) else int(bucket) + masked_lm.class_count(frequent) - masked_lm.BUCKETS
+    in_bucket = Counter()
+    for w, n in counts.items():
+        in_bucket[classes[w]] += n
+    found = {r.doc_id: r for r in masked_lm.score(docs, network.flat, frequent).collect()}
+    for i, t in rows:
+        c = [0] * masked_lm.SIDE + [classes[w] for w in t.split()] + [0] * masked_lm.SIDE
+        want = 0.0
+        for k, w in enumerate(t.split()):
+            around = c[k : k + masked_lm.SIDE] + c[k + masked_lm.SIDE + 1 : k + 2 * masked_lm.SIDE + 1]
+            want += log_probability(network, around, classes[w]) + math.log(counts[w] / in_bucket[classes[w]])
+        assert found[i].log_likelihood == pytest.approx(want, abs=1e-2) if t else found[i].n_tokens == 0
+
+
 def test_masked_lm_learns_both_sides_and_scores_odd_rows(documents, odd):
     rng = random.Random(4)
     rows = []
@@ -155,9 +206,9 @@ def test_every_token_is_a_target_and_word_pairs_fall_to_all_rounds(documents):
 def test_masked_lm_scores_the_word_within_its_bucket(documents):
     assert masked_lm.frequent_count(100_000) == 160 < masked_lm.frequent_count(1 << 24) < masked_lm.frequent_count(1 << 30)
     names = [f"rare{i}" for i in range(200)]
-    hashes = Texts(pa.array([" ".join(names)])).words(fold=True).hashes % np.uint64(masked_lm.BUCKETS)
+    texts = Texts(pa.array([" ".join(names)]))
     by = defaultdict(list)
-    for name, bucket in zip(names, hashes.tolist()):
+    for name, bucket in zip(names, masked_lm.buckets_of(texts, texts.words(fold=True)).tolist()):
         by[bucket].append(name)
     often, once = next(v for v in by.values() if len(v) > 1)[:2]
     fillers = [f"filler{i}" for i in range(160)]
