@@ -36,9 +36,21 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import LOWER, Texts, mix, pieces, prefix, range_hash, release, sequence_hash, small_batches
+from jobtide.llm.texts import (
+    LOWER,
+    Texts,
+    batch_rows,
+    mix,
+    pieces,
+    prefix,
+    range_hash,
+    release,
+    sequence_hash,
+    small_batches,
+)
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
+#: A shard is a row; rows are sent to the workers one at a time.
 SHARD_WORDS, LOWERED = 1 << 20, 8
 #: Phrases hashed at a time, and parts that a shard's phrases are counted in.
 CHUNK, PORTIONS = 1 << 18, 8
@@ -352,15 +364,16 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     slack = spark.createDataFrame(held_back, "lang string, all_slack long")
     found, known = None, []
     for sizes in (range(2, 3), range(3, LONGEST + 1)):
-        finds = mined(cuts, totals, known, sizes, support)
-        exact = written(keyed(candidates(finds, slack, support)), "phrase-candidates")
+        with batch_rows(spark, 1):
+            exact = written(candidates(mined(cuts, totals, known, sizes, support), slack, support), "phrase-candidates")
         if any(r["all_slack"] for r in held_back):
-            rest = unreported(cuts, totals, known, bitmap(exact, "key"), sizes, support)
-            both = exact.select("k", *_WORDS, "n").unionByName(rest.select("k", *_WORDS, "n"))
-            whole = both.groupBy("k", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-            exact = written(keyed(whole), "phrase-counts")
+            wanted = bitmap(keyed(exact), "key")
+            with batch_rows(spark, 1):
+                rest = unreported(cuts, totals, known, wanted, sizes, support)
+                both = exact.unionByName(rest.select("k", *_WORDS, "n")).groupBy("k", *_WORDS).agg(F.sum("n").alias("n"))
+                exact = written(both.where(F.col("n") >= support), "phrase-counts")
         found = exact if found is None else found.unionByName(exact)
-        known = [*known, bitmap(exact, "key")]
+        known = [*known, bitmap(keyed(exact), "key")]
     return found.select(F.slice(F.array(*_WORDS), 1, F.col("k")).alias("words"), F.col("n").alias("a")), words, totals
 
 
