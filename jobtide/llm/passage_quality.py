@@ -10,7 +10,7 @@ by a hash of their id, of at most ``SAMPLE_PASSAGES`` passages each.  Scoring co
 
 Nulls: a null text counts as empty and has one empty passage; rows without a label or doc_id are not
 learnt from but scored; a null doc_id is scored and counts as not held out.  Repeated rows get equal
-scores; a doc_id with several labels counts with the smallest.  Without any label every score is 0.5.
+scores; a doc_id with several labels counts with the smallest, one with several texts is learnt from once.  Without any label every score is 0.5.
 Very long texts are read whole.  Only doc_id and text are read, so other columns cannot clash.
 """
 
@@ -139,7 +139,7 @@ class Model:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """(doc_id, label, passages, features) of the documents to learn from; at most ``sample``."""
+    """(doc_id, label, passages, features) of the documents to learn from; at most ``sample``, one row of each id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -152,7 +152,8 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> Data
             ["doc_id", "label", "passages", "features"],
         )
 
-    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").cast("long"), "label", "text")
+    met = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    found = met.groupBy(F.col("doc_id").cast("long").alias("doc_id"), "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return map_texts(found, run, "doc_id long, label int, passages long, features binary").where("features is not null")
 
 

@@ -227,6 +227,13 @@ def test_surroundings_stay_within_texts():
     assert got.tolist() == [[0, 0, 2, 3], [0, 1, 3, 0], [1, 2, 0, 0], [0, 0, 0, 0]]
 
 
+def test_passage_quality_sample_holds_one_row_of_each_id(spark, documents):
+    known = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    docs = documents([(i % 40, f"text {i} of a document") for i in range(400)])
+    found = passage_quality.sampled(docs, known, "quality", 12).collect()
+    assert 0 < len(found) == len({r.doc_id for r in found}) <= 12
+
+
 def test_passage_quality_on_held_out_documents(spark, documents):
     rng = random.Random(6)
     rows, labels = [], []
