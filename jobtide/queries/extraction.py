@@ -284,6 +284,21 @@ def parse_list(spark, sf):
     )
 
 
+def parse_list_columns(spark, sf):
+    """Lists written from the columns of parts: as literals with either quote, and with commas."""
+    part, form = table(spark, sf, "part"), F.col("p_partkey") % 3
+    raw = (
+        F.when(form == 0, F.concat(F.lit("['"), "p_brand", F.lit("', ' "), "p_type", F.lit(" ', '"), "p_name", F.lit("']")))
+        .when(form == 1, F.concat(F.lit('["'), "p_type", F.lit('", "'), F.lower("p_type"), F.lit('", "x,y"]')))
+        .otherwise(F.concat("p_name", F.lit(", "), "p_type", F.lit(",,"), F.upper("p_name")))
+    )
+    return part.withColumn("raw", raw).select(
+        "p_partkey",
+        F.array_join(tags.parse_list("raw"), "|").alias("dashboard"),
+        F.array_join(tags.parse_list("raw", "analysis"), "|").alias("analysis"),
+    )
+
+
 def alias_normalize(spark, sf):
     part = table(spark, sf, "part")
     raw = F.array("p_type", F.concat(F.lit(" "), F.lower("p_type")), F.col("p_brand"), F.lit(" "), "p_name")
@@ -505,6 +520,17 @@ QUERIES: dict[str, Query] = {
         f"""SELECT p_partkey, {sql_pick('p_partkey', LISTS_DASHBOARD)} AS dashboard,
               {sql_pick('p_partkey', LISTS_ANALYSIS)} AS analysis FROM part""",
     ),
+    "parse_list_columns": Query(
+        parse_list_columns,
+        """WITH i AS (
+             SELECT p_partkey, p_partkey % 3 AS form, lower(p_brand) AS b, lower(p_type) AS t, lower(p_name) AS n FROM part)
+           SELECT p_partkey,
+             CASE form WHEN 0 THEN b || CASE WHEN t = b THEN '' ELSE '|' || t END
+                 || CASE WHEN n = b OR n = t THEN '' ELSE '|' || n END
+               WHEN 1 THEN t || '|x,y' ELSE n || CASE WHEN t = n THEN '' ELSE '|' || t END END AS dashboard,
+             CASE form WHEN 0 THEN b || '|' || t || '|' || n WHEN 1 THEN t || '|' || t || '|x,y' ELSE '' END AS analysis
+           FROM i""",
+    ),
     "alias_normalize": Query(
         alias_normalize,
         """WITH i AS (
