@@ -79,7 +79,18 @@ class Tag:
         return rf"(?={start}\s*=\s*{f'(?i:{test})' if self.fold else test})"
 
 
-Path = tuple[Tag, ...]
+@dataclass(frozen=True)
+class AnyOf:
+    """An opening tag that fits any of the tags."""
+
+    tags: tuple[Tag, ...]
+    name: str = ""
+
+    def pattern(self) -> str:
+        return "(?:" + "|".join(tag.pattern() for tag in self.tags) + ")"
+
+
+Path = tuple["Tag | AnyOf", ...]
 
 
 def bound(value: str, use: Callable[[str], str]) -> str:
@@ -301,3 +312,35 @@ def anchors_within(page: str, tag: Tag) -> str:
 
     each = _lambda(anchors, "e")
     return f"flatten(transform({bound(_cut(page, tag), over)}, {each}))"
+
+
+def elements(page: str, tag: Tag, use: Callable[[str, str], str]) -> str:
+    """An array with ``use(inner, before)`` for each element that the tag opens, in page order.
+
+    ``inner`` is what lies inside the element, ``before`` the page up to it.  Nested elements count, too.
+    """
+
+    def over(parts: str) -> str:
+        def one(place: str) -> str:
+            before = f"array_join(slice({parts}, 1, {place} - 1), '')"
+            inner = bound(_tail(parts, place), lambda tail: _inner(tail, tag))
+            both = f"named_struct('inner', {inner}, 'before', {before})"
+            return bound(both, lambda b: use(f"{b}.inner", f"{b}.before"))
+
+        return f"transform({_own(parts, tag)}, {_lambda(one, 'i')})"
+
+    return bound(_cut(page, tag), over)
+
+
+def open_link(before: str) -> str:
+    """Array with the href of the link that is still open where the text ends; empty where none is."""
+    tag = Tag("a", "href", how="has")
+    opened = literal("^" + tag.pattern())
+
+    def last(token: str) -> str:
+        href = attribute(f"regexp_extract({token}, {opened}, 0)", "href")
+        is_open = f"rlike({token}, {opened}) AND NOT rlike({token}, {literal(r'^<[^>]*/>')})"
+        return f"if({is_open}, array({href}), CAST(array() AS array<string>))"
+
+    tokens = f"split({before}, {literal(r'(?i)(?=</?a[\s/>])')})"
+    return bound(f"element_at({tokens}, -1)", last)

@@ -1,33 +1,20 @@
 """Facts out of HTML pages.
 
-Detail facts, main text, labelled values and links are column expressions (``functions.markup``).
-Cards of a listing page need the elements around a card, too, so one Arrow-batched function per page
-finds them by CSS selectors and returns plain structs; URL choice, joining and de-duplication of cards
-are DataFrame work again.  That helper keeps to the standard library (``dom``) and knows only the
-selector forms listed there.
+Cards, detail facts, main text, labelled values and links are column expressions (``functions.markup``), so
+no page goes through Python; URL choice, joining and de-duplication of cards are DataFrame work.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions import markup
-from jobtide.functions.markup import Path, Tag
-from jobtide.functions.text import as_col
+from jobtide.functions.markup import AnyOf, Path, Tag
 from jobtide.functions.urls import absolute_url, canonical_url, detail_pattern, ranked_urls
-from jobtide.sources import dom
-from jobtide.sources.dom import Node, Selector, parse_page
-
-# Tasks get the page code with the function itself, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(dom)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CARD_FIELDS = ("url", "title", "company", "location_raw", "posted_date", "employment_type")
 FACT_FIELDS = (
@@ -47,19 +34,19 @@ _NOWRAP = Tag("span", "class", "white-space_nowrap", "word")
 
 @dataclass(frozen=True)
 class PageLayout:
-    """Where one site keeps its facts: CSS selectors of cards, paths of tags for everything else.
+    """Where one site keeps its facts, as paths of tags.
 
     Lists are tried in order, the first non-empty result wins.  The defaults are fixed values.
     """
 
-    cards: tuple[str, ...] = (
-        "div[data-cy='vacancy-serp-item']",
-        "[data-cy*='vacancy-serp' i]",
-        "[data-cy*='serp-item' i]",
+    cards: tuple[Tag, ...] = (
+        Tag("div", "data-cy", "vacancy-serp-item"),
+        Tag("", "data-cy", "vacancy-serp", "holds", True),
+        Tag("", "data-cy", "serp-item", "holds", True),
     )
-    card_title: str = "span[class*='fw_bold'], h2, h3"
-    card_company: str = "p strong, strong"
-    card_date: str = "div[data-cy^='serp-item-'] p, p[class*='caption'], p"
+    card_title: Path = (AnyOf((Tag("span", "class", "fw_bold", "holds"), Tag("h2"), Tag("h3"))),)
+    card_company: Path = (Tag("strong"),)
+    card_date: Path = (Tag("p"),)
     card_location_label: str = "Place of work"
     card_contract_label: str = "Contract type"
     label: str = "span"
@@ -92,54 +79,40 @@ class PageLayout:
     reserved: tuple[str, ...] = ("search", "results")
 
 
-def _labelled_value(node: Node, prefix: str, label: Selector, value: Selector) -> str:
-    """Text of the value element beside the first label that starts with the prefix."""
-    for hit in label.all(node):
-        if hit.text().lower().startswith(prefix.lower()):
-            found = value.one(hit.parent)
-            if found is not None:
-                return found.text()
-    return ""
-
-
-def _card_links(card: Node, anchor: Selector) -> list[str]:
-    outer = [n for n in card.up() if n.tag == "a" and n.attrs.get("href")]
-    return [n.attrs.get("href", "") for n in [*outer, *anchor.all(card)]]
+def raw_cards(html: str, layout: PageLayout | None = None) -> Column:
+    """Cards of a listing page in page order, each with the link around it and all links in it.
 
-
-def raw_cards(html: Column | str, layout: PageLayout | None = None) -> Column:
-    """Cards of a listing page in page order, each with all the links in and around it."""
+    The first kind of card that the page holds counts.  ``html`` here and below names the column with the
+    page.
+    """
     layout = layout or PageLayout()
+    label, value = Tag(layout.label), Tag(layout.labelled)
 
-    @F.pandas_udf(RAW_CARD_TYPE)
-    def cards_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        kinds = [Selector(s) for s in layout.cards]
-        title, company = Selector(layout.card_title), Selector(layout.card_company)
-        date, anchor = Selector(layout.card_date), Selector("a[href]")
-        label, value = Selector(layout.label), Selector(layout.labelled)
-
-        def facts(card: Node) -> dict:
-            return {
-                "links": _card_links(card, anchor),
-                "title": title.one_text(card),
-                "company": company.one_text(card),
-                "location_raw": _labelled_value(card, layout.card_location_label, label, value),
-                "posted_date": date.one_text(card),
-                "employment_type": _labelled_value(card, layout.card_contract_label, label, value),
-            }
-
-        def one(page: str | None) -> list[dict]:
-            root = parse_page(page or "")
-            found = (list(kind.all(root)) for kind in kinds)
-            return [facts(card) for card in next((c for c in found if c), [])]
+    def facts(inner: str, before: str) -> str:
+        def text(path: Path) -> str:
+            return markup.plain_text(markup.first_inner(inner, path))
+
+        inside = f"transform({markup.anchors(inner)}, l -> l.href)"
+        found = {
+            "links": f"concat({markup.open_link(before)}, {inside})",
+            "title": text(layout.card_title),
+            "company": text(layout.card_company),
+            "location_raw": markup.beside_label(inner, layout.card_location_label, label, value),
+            "posted_date": text(layout.card_date),
+            "employment_type": markup.beside_label(inner, layout.card_contract_label, label, value),
+        }
+        return "named_struct(" + ", ".join(f"'{name}', {fact}" for name, fact in found.items()) + ")"
 
-        for batch in pages:
-            yield batch.map(one)
+    def choose(page: str) -> str:
+        patterns = [f"rlike({page}, {markup.literal(tag.pattern())})" for tag in layout.cards]
+        kinds = [markup.elements(page, tag, facts) for tag in layout.cards]
+        cases = " ".join(f"WHEN {test} THEN {found}" for test, found in zip(patterns, kinds))
+        return f"CASE {cases} ELSE CAST(array() AS {RAW_CARD_TYPE}) END"
 
-    return cards_of(as_col(html))
+    return F.expr(markup.bound(markup.visible(html), choose)).cast(RAW_CARD_TYPE)
 
 
-def card_list(html: Column | str, base: str, layout: PageLayout | None = None) -> Column:
+def card_list(html: str, base: str, layout: PageLayout | None = None) -> Column:
     """Cards with their detail URL; cards without one, and repeats of a URL, are left out.
 
     The URL of a card is the best of its links that no earlier card of the page has taken.
@@ -167,10 +140,7 @@ def card_list(html: Column | str, base: str, layout: PageLayout | None = None) -
 
 
 def labelled_value(html: str, prefix: str, layout: PageLayout | None = None) -> Column:
-    """Value beside the label that starts with ``prefix`` (any case), ``''`` where none does.
-
-    ``html`` here and below names the column with the page.
-    """
+    """Value beside the label that starts with ``prefix`` (any case), ``''`` where none does."""
     layout = layout or PageLayout()
     label, value = Tag(layout.label), Tag(layout.labelled)
     return F.expr(

@@ -34,5 +34,4 @@ def test_plan_has_no_cross_join(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "NestedLoopJoin" not in plan
-    if name not in ("html_cards", "collect_postings", "enrich_postings", "integrate_postings"):
-        assert "EvalPython" not in plan and "InPandas" not in plan
+    assert "EvalPython" not in plan and "InPandas" not in plan and "InArrow" not in plan

@@ -1,31 +1,12 @@
 from pyspark.sql import functions as F
 
 from jobtide.functions import markup, text
+from jobtide.functions.markup import Tag
 from jobtide.sources import files, html, jsonstat
-from jobtide.sources.dom import Selector, parse_page
 
 BASE = "https://jobs.example.com"
 
 
-def texts(page, selector):
-    return [n.text() for n in Selector(selector).all(parse_page(page))]
-
-
-def test_selectors():
-    page = """<div class="a b" data-cy="Serp-Item-1"><p>one<p>two <b>three</div>
-      <ul><li data-cy="x"><span>four</span></li><li><span class="w">fi&amp;ve</span></li></ul>
-      <script>var p = "<p>no</p>";</script><!-- <p>no</p> --><br/><p/>six</q>"""
-    assert texts(page, "div.a.b p") == ["one two three", "two three"]
-    assert texts(page, "[data-cy*='serp-item' i] b") == ["three"]
-    assert texts(page, "[data-cy*='serp-item'] b") == []
-    assert texts(page, "ul > li:not([data-cy]) span, b") == ["three", "fi&ve"]
-    assert texts(page, "ul > span") == []
-    assert texts(page, "div[data-cy^='Serp'] > p") == ["one two three"]
-    assert texts(page, "li[data-cy='x']") == ["four"]
-    assert parse_page(page).text().endswith("six")
-    assert texts("a<5 b < c", "p") == [] and parse_page("x a<5 b < c").text() == "x a<5 b < c"
-
-
 def test_facts_fallbacks(spark):
     page = """<h1 data-cy="vacancy-title"> Data  <i>Lead</i></h1>
       <ul><li data-cy="info-publication">12 May 2026</li>
@@ -134,11 +115,29 @@ def test_csv_without_line_breaks_is_split(spark, tmp_path):
 def test_card_link_far_out_and_unquoted_slash(spark):
     inner = "<div data-cy='vacancy-serp-item'><span>t</span></div>"
     page = "<a href='/en/jobs/detail/x/'>" + "<div>" * 12 + inner + "</div>" * 12 + "</a>"
-    layout = html.PageLayout(cards=("div[data-cy='vacancy-serp-item']",))
+    layout = html.PageLayout(cards=(Tag("div", "data-cy", "vacancy-serp-item"),))
     df = spark.createDataFrame([(page,)], "page string").select(html.raw_cards("page", layout).alias("c"))
     assert df.first().c[0]["links"] == ["/en/jobs/detail/x/"]
-    root = parse_page("<p><a href=/en/jobs/>first</a><br/><a href='b'/>x</p>")
-    assert Selector("a[href]").one_text(root) == "first"
+    page = "<div data-cy='vacancy-serp-item'><a href=/en/jobs/>first</a><br/><a href='b'>x</a></div>"
+    df = spark.createDataFrame([(page,)], "page string").select(html.raw_cards("page", layout).alias("c"))
+    assert df.first().c[0]["links"] == ["/en/jobs/", "b"]
+
+
+def test_cards_of_the_first_kind_with_all_their_facts(spark):
+    card = """<div data-cy="vacancy-serp-item"><a class=x href="/en/jobs/{0}?a=1&amp;b=2"><p class="caption">  {0} May </p>
+      <span class="text fw_bold big">Title <b>{0}</b></span><h2>no</h2><p><strong>Firm &amp; {0}</strong></p>
+      <div><span>Place of work:</span><p>Bern</p></div><div><span>contract type</span><p>Full<br>time</p></div></a></div>"""
+    nested = '<a href="/out"><div data-cy="vacancy-serp-item">A<div data-cy="vacancy-serp-item"><h3>In</h3></div></div></a>'
+    pages = [
+        "<!-- <div data-cy='vacancy-serp-item'><h2>x</h2></div> --><a href='/closed'>y</a>" + card.format(1) + card.format(2) + "<div data-cy='serp-item-9'><h2>z</h2></div>",
+        nested, "<li data-cy='My-SERP-item-3'><h3>T</h3></li>", "<p>no card</p>", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, page string").select("i", html.raw_cards("page").alias("c"))
+    found = {r.i: [tuple(x) for x in r.c] for r in df.collect()}
+    one = lambda n: ([f"/en/jobs/{n}?a=1&b=2"], f"Title {n}", f"Firm & {n}", "Bern", f"{n} May", "Full time")
+    assert found[0] == [one(1), one(2)]
+    assert [(c[0], c[1]) for c in found[1]] == [(["/out"], "In"), (["/out"], "In")]
+    assert found[2] == [([], "T", "", "", "", "")] and found[3] == found[4] == []
 
 
 def test_key_is_sha1(values):
