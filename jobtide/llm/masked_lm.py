@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import LOWER, Texts, Words, map_texts, mix, pieces, release, small_batches, sums_by
+from jobtide.llm.texts import LOWER, Texts, Words, map_texts, mix, one_thread, pieces, release, small_batches, sums_by
 
 CLASSES, FREQUENT = 512, 160
 GROUP = 32
@@ -292,6 +292,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
         sent = spark.sparkContext.broadcast((flat, frequent))
 
         def run(batches, sent=sent, turn=turn):
+            one_thread()
             start, known = sent.value
             network, seen = Network(start, class_count(known)), 0
             around, target = [], []
@@ -342,6 +343,7 @@ def score(
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(rows, texts):
+        one_thread()
         values, known, held, logarithms = sent.value
         words = texts.words(fold=True)
         classes = classes_of(texts, words, known)

@@ -85,6 +85,16 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def one_thread() -> None:
+    """Keeps numpy's matrix products to the task's own core; for small ones its threads mostly wait, at full load."""
+    for path in (Path(np.__file__).parent.parent / "numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(30))
