@@ -200,17 +200,18 @@ class Shard:
             alive[at[may_hold(held, keys)]] = True
         return alive
 
-    def rows(self, at: np.ndarray, k: int, n: np.ndarray, slack: np.ndarray) -> pa.RecordBatch:
-        words = [self.w[at + i].view(np.int64) if i < k else np.zeros(len(at), np.int64) for i in range(LONGEST)]
-        lang = pa.array(self.names, pa.string()).take(pa.array(self.code[at]))
-        columns = [np.full(len(at), k, np.int32), *words]
-        return pa.RecordBatch.from_arrays(
-            [*map(pa.array, columns), lang, pa.array(n.astype(np.int64)), pa.array(slack.astype(np.int64))],
-            ["k", *_WORDS, "lang", "n", "slack"],
-        )
+    def rows(self, at: np.ndarray, k: int, width: int, n: np.ndarray, slack: np.ndarray | None) -> pa.RecordBatch:
+        """The phrases at the places, in columns for ``width`` words; with language and slack if that is given."""
+        words = [self.w[at + i].view(np.int64) if i < k else np.zeros(len(at), np.int64) for i in range(width)]
+        columns, names = [pa.array(c) for c in (*words, n.astype(np.int64))], [*_WORDS[:width], "n"]
+        if slack is not None:
+            lang = pa.array(self.names, pa.string()).take(pa.array(self.code[at]))
+            columns, names = [*columns, lang, pa.array(slack.astype(np.int64))], [*names, "lang", "slack"]
+        return pa.RecordBatch.from_arrays(columns, names)
 
 
-FINDS = f"k int, {', '.join(f'{w} long' for w in _WORDS)}, lang string, n long, slack long"
+def _words(width: int) -> str:
+    return ", ".join(f"{w} long" for w in _WORDS[:width])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -263,12 +264,14 @@ def hashed(words: DataFrame) -> DataFrame:
     return words.select("lang", "text", "n").mapInArrow(run, "lang string, text string, n long, w long")
 
 
-def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int) -> DataFrame:
-    """Local finds of the sizes, as ``FINDS``.
+def mined(
+    cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int, held_back: bool
+) -> DataFrame:
+    """Local finds of the sizes: (w0 and so on, n), words beyond a phrase 0; with lang and slack if shards hold back any.
 
     ``filters`` tell of phrases of two words and more which may be frequent.
     """
-    sent, lowered = cuts.sparkSession.sparkContext.broadcast((totals, filters)), LOWERED
+    sent, lowered, width = cuts.sparkSession.sparkContext.broadcast((totals, filters)), LOWERED, sizes[-1]
 
     def run(batches):
         known, bits = sent.value
@@ -284,10 +287,11 @@ def mined(cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], si
                     slack = least[shard.code[first]] - 1
                     enough = n > slack
                     alive[at[own[enough[of]]]] = True
-                    yield shard.rows(first[enough], k, n[enough], slack[enough])
+                    yield shard.rows(first[enough], k, width, n[enough], slack[enough] if held_back else None)
         release()
 
-    return cuts.mapInArrow(run, FINDS)
+    more = ", lang string, slack long" if held_back else ""
+    return cuts.mapInArrow(run, f"{_words(width)}, n long{more}")
 
 
 def slack_of(cuts: DataFrame, totals: DataFrame, support: int) -> DataFrame:
@@ -299,34 +303,36 @@ def slack_of(cuts: DataFrame, totals: DataFrame, support: int) -> DataFrame:
 
 
 def candidates(finds: DataFrame, slack: DataFrame, support: int) -> DataFrame:
-    """(k, w0 to w4, n) of finds that may reach the support, by what shards reported and what others can hold."""
-    found = finds.groupBy("k", *_WORDS, "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
+    """(w0 and so on, n) of finds that may reach the support, by what shards reported and what others can hold."""
+    words = [c for c in finds.columns if c in _WORDS]
+    if "slack" not in finds.columns:
+        return finds.groupBy(*words).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+    found = finds.groupBy(*words, "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
     found = found.join(slack, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support)
-    return found.select("k", *_WORDS, "n")
+    return found.select(*words, "n")
 
 
 def keyed(phrases: DataFrame) -> DataFrame:
-    """The phrases with the hash that shards know them by."""
+    """The hashes that shards know the phrases by."""
 
     def run(batches):
         for batch in batches:
-            k = batch.column(0).to_numpy()
-            words = [batch.column(1 + i).to_numpy().view(np.uint64) for i in range(LONGEST)]
+            words = [column.to_numpy().view(np.uint64) for column in batch.columns]
+            k = sum((w != 0).astype(np.int64) for w in words)
             keys = np.zeros(len(k), np.uint64)
             for size in np.unique(k):
                 own = np.flatnonzero(k == size)
                 keys[own] = sequence_hash([w[own] for w in words[:size]])
-            yield batch.append_column("key", pa.array(keys.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
 
-    schema = f"k int, {', '.join(f'{w} long' for w in _WORDS)}, n long, key long"
-    return phrases.select("k", *_WORDS, "n").mapInArrow(run, schema)
+    return phrases.select(*[c for c in phrases.columns if c in _WORDS]).mapInArrow(run, "key long")
 
 
 def unreported(
     cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int
 ) -> DataFrame:
-    """Counts in shards that did not report them, of phrases that the filter ``wanted`` lets pass, as ``FINDS``."""
-    sent, lowered = cuts.sparkSession.sparkContext.broadcast((totals, filters, wanted)), LOWERED
+    """Counts in shards that did not report them, of phrases that the filter ``wanted`` lets pass: (w0 and so on, n)."""
+    sent, lowered, width = cuts.sparkSession.sparkContext.broadcast((totals, filters, wanted)), LOWERED, sizes[-1]
 
     def run(batches):
         known, bits, held = sent.value
@@ -344,10 +350,10 @@ def unreported(
                     first = at[own[one]]
                     slack = least[shard.code[first]] - 1
                     few = n <= slack
-                    yield shard.rows(first[few], k, n[few], slack[few])
+                    yield shard.rows(first[few], k, width, n[few], None)
         release()
 
-    return cuts.mapInArrow(run, FINDS)
+    return cuts.mapInArrow(run, f"{_words(width)}, n long")
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, dict[str, int]]:
@@ -363,18 +369,22 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     held_back = slack_of(cuts, sizes_by_language, support).collect()
     slack = spark.createDataFrame(held_back, "lang string, all_slack long")
     found, known = None, []
+    holds_back = any(r["all_slack"] for r in held_back)
     for sizes in (range(2, 3), range(3, LONGEST + 1)):
+        own = _WORDS[: sizes[-1]]
         with batch_rows(spark, 1):
-            exact = written(candidates(mined(cuts, totals, known, sizes, support), slack, support), "phrase-candidates")
-        if any(r["all_slack"] for r in held_back):
+            finds = mined(cuts, totals, known, sizes, support, holds_back)
+            exact = written(candidates(finds, slack, support), "phrase-candidates")
+        if holds_back:
             wanted = bitmap(keyed(exact), "key")
             with batch_rows(spark, 1):
-                rest = unreported(cuts, totals, known, wanted, sizes, support)
-                both = exact.unionByName(rest.select("k", *_WORDS, "n")).groupBy("k", *_WORDS).agg(F.sum("n").alias("n"))
-                exact = written(both.where(F.col("n") >= support), "phrase-counts")
-        found = exact if found is None else found.unionByName(exact)
+                both = exact.unionByName(unreported(cuts, totals, known, wanted, sizes, support))
+                both = both.groupBy(*own).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+                exact = written(both, "phrase-counts")
         known = [*known, bitmap(keyed(exact), "key")]
-    return found.select(F.slice(F.array(*_WORDS), 1, F.col("k")).alias("words"), F.col("n").alias("a")), words, totals
+        rows = exact.select(F.filter(F.array(*own), lambda w: w != 0).alias("words"), F.col("n").alias("a"))
+        found = rows if found is None else found.unionByName(rows)
+    return found, words, totals
 
 
 def _scored(named: DataFrame, phrases: DataFrame, words: DataFrame) -> DataFrame:
