@@ -1,17 +1,14 @@
 """Phrases whose words meet more often than chance, mined by SON partitioning.
 
 Method: words of every language are counted, then phrases of two words, then those of three to
-``LONGEST`` words.  The texts, as hashes of their frequent words, are written once in shards of at most
-about ``SHARD_WORDS`` words, so that all passes see the same shards.  A task mines a shard completely:
-what has in it at least the shard's part of a ``LOWERED``-th of ``support`` (in proportion to its words of
-the language, rounded up) is a local find and goes out with its count.  A phrase that reaches ``support``
-over all documents is found in at least one shard.  The union of the finds is pruned by a bound: a shard
-that did not report a phrase holds at most its local support less one of it, so a phrase whose reported
-counts and the rest of these bounds stay below ``support`` goes.  For the others the shards count what they
-have not reported, and the sum is exact.  The lower the local support, the more finds and the fewer
-false candidates.  With many shards it is one, and the reported counts are complete: the work then grows
-in proportion to the words, whereas shards with a higher local support find the less the fewer they are.
-Longer phrases are mined only where all their two-word parts are frequent.
+``LONGEST`` words.  For the phrases each task mines its shards completely: what has in a shard at least
+the shard's part of ``support`` (in proportion to its words of the language, rounded up) is a local
+find.  A phrase that reaches ``support`` over all documents is found in at least one shard.  The union of the
+finds is pruned by a bound: a shard that did not report a phrase holds at most its local support less
+one of it, so a phrase whose reported counts and the rest of these bounds stay below ``support`` goes.
+The other finds are then counted exactly over all documents.  Longer phrases are mined only where all
+their two-word parts are frequent.  A shard is at most ``SHARD_WORDS`` words of one task, so memory is
+bounded; with many shards the local support falls to one, and a shard's counts are then complete.
 
 What tasks need to know about all documents reaches them as bitmaps of fixed size, which may let too
 much pass but never too little; only exact counts decide.  Words are compared by 64-bit hashes (with
@@ -36,24 +33,10 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import (
-    LOWER,
-    Texts,
-    batch_rows,
-    mix,
-    pieces,
-    prefix,
-    range_hash,
-    release,
-    sequence_hash,
-    small_batches,
-)
+from jobtide.llm.texts import LOWER, Texts, mix, pieces, prefix, range_hash, release, sequence_hash, small_batches
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
-#: A shard is a row; rows are sent to the workers one at a time.
-SHARD_WORDS, LOWERED = 1 << 20, 8
-#: Phrases hashed at a time, and parts that a shard's phrases are counted in.
-CHUNK, PORTIONS = 1 << 18, 8
+SHARD_WORDS = 1 << 22
 #: Parts of a language that are ranked by themselves before all are ranked.
 SALTS = 64
 UNKNOWN = "und"
@@ -97,87 +80,21 @@ class Piece:
         self.w = _with_language(range_hash(prefix(self.data), self.start, self.end), _whole(languages)[owner])
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
-    for batch in batches:
-        for rows in pieces(batch):
-            yield Piece(rows)
-
-
-def portions(keys: np.ndarray) -> Iterator[np.ndarray]:
-    """Places of the keys in ``PORTIONS`` parts, equal keys in one, so that sorting them takes little memory."""
-    part = (keys >> np.uint64(32)).astype(np.uint8) % PORTIONS
-    for k in range(PORTIONS):
-        yield np.flatnonzero(part == k)
-
-
-SHARD = "names array<string>, sizes array<long>, w binary, joined binary, code binary"
-
-
-def _code_type(names: list[str]) -> type:
-    return np.uint8 if len(names) < 256 else np.int32
-
-
-def _frequent(p: Piece, known: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Names, codes, hashes and joins of the words that may be frequent; those of others part phrases."""
-    kept = np.flatnonzero(may_hold(known, p.w))
-    follows = np.zeros(len(kept), bool)
-    follows[:-1] = kept[1:] == kept[:-1] + 1
-    return p.names.tolist(), p.code[kept], p.w[kept], p.joined[kept] & follows
-
-
-def cut(texts: DataFrame, known: np.ndarray) -> DataFrame:
-    """A row of ``SHARD`` for each shard, without the words that are surely not frequent."""
-    sent = texts.sparkSession.sparkContext.broadcast(known)
-
-    def row(parts, counts) -> pa.RecordBatch:
-        names = sorted(counts)
-        number = {name: i for i, name in enumerate(names)}
-        kind = _code_type(names)
-        code = np.concatenate([np.array([number[n] for n in held], kind)[c] for held, c, _, _ in parts])
-        w, joined = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
-        return pa.RecordBatch.from_pydict({
-            "names": pa.array([names]), "sizes": pa.array([[counts[n] for n in names]], pa.list_(pa.int64())),
-            "w": pa.array([w.tobytes()]), "joined": pa.array([np.packbits(joined).tobytes()]),
-            "code": pa.array([code.tobytes()]),
-        })
-
-    def run(batches):
-        held, counts = [], {}
-        for p in pieces_of(batches):
-            if not len(p.w):
-                continue
-            held.append(_frequent(p, sent.value))
-            for name, n in zip(p.names.tolist(), np.bincount(p.code, minlength=len(p.names)).tolist()):
-                counts[name] = counts.get(name, 0) + n
-            if sum(counts.values()) >= SHARD_WORDS:
-                yield row(held, counts)
-                held, counts = [], {}
-        if held:
-            yield row(held, counts)
-        release()
-
-    return texts.mapInArrow(run, SHARD)
-
-
 class Shard:
-    """Words of a part of the texts, with the number of words by language."""
+    """Words of at most about ``SHARD_WORDS`` words of one task, with the number of words by language."""
 
-    def __init__(self, names, sizes, w, joined, code):
-        self.names, self.sizes = names.as_py(), sizes.as_py()
-        self.w = np.frombuffer(w.as_buffer(), np.uint64)
-        self.code = np.frombuffer(code.as_buffer(), _code_type(self.names))
-        self.joined = np.unpackbits(np.frombuffer(joined.as_buffer(), np.uint8), count=len(self.w)).astype(bool)
+    def __init__(self, parts: list[Piece]):
+        self.names = sorted({name for p in parts for name in p.names})
+        number = {name: i for i, name in enumerate(self.names)}
+        self.w = np.concatenate([p.w for p in parts])
+        self.joined = np.concatenate([p.joined for p in parts])
+        self.code = np.concatenate([np.array([number[n] for n in p.names], np.int32)[p.code] for p in parts])
+        self.sizes = np.bincount(self.code, minlength=len(self.names))
 
-    @staticmethod
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator["Shard"]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield Shard(*(column[k] for column in batch.columns))
-
-    def local_support(self, totals: dict[str, int], support: int, lowered: int) -> np.ndarray:
-        """For each language the shard's part of the lowered support, rounded up, at least 1."""
-        sizes = zip(self.names, self.sizes)
-        return np.array([max(1, -(-support * n // (lowered * totals[name]))) if n else 1 for name, n in sizes], np.int64)
+    def local_support(self, totals: dict[str, int], support: int) -> np.ndarray:
+        """For each language the shard's part of the support, rounded up, at least 1."""
+        sizes = zip(self.names, self.sizes.tolist())
+        return np.array([max(1, -(-support * n // totals[name])) if n else 1 for name, n in sizes], np.int64)
 
     def phrases(self, alive: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Where phrases of k words start whose parts of k - 1 words are alive, and their hashes."""
@@ -185,33 +102,21 @@ class Shard:
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at = np.flatnonzero(alive[:n] & alive[1 : n + 1] & (self.joined[:n] if k == 2 else True))
-        keys = np.empty(len(at), np.uint64)
-        for low in range(0, len(at), CHUNK):
-            part = at[low : low + CHUNK]
-            keys[low : low + CHUNK] = sequence_hash([self.w[part + i] for i in range(k)])
-        return at, keys
-
-    def alive(self, bits: list[np.ndarray]) -> np.ndarray:
-        """Where phrases start that pass the filters for two words and more; frequent words without any."""
-        alive = np.ones(len(self.w), bool)
-        for k, held in enumerate(bits, 2):
-            at, keys = self.phrases(alive, k)
-            alive = np.zeros(len(alive), bool)
-            alive[at[may_hold(held, keys)]] = True
-        return alive
-
-    def rows(self, at: np.ndarray, k: int, width: int, n: np.ndarray, slack: np.ndarray | None) -> pa.RecordBatch:
-        """The phrases at the places, in columns for ``width`` words; with language and slack if that is given."""
-        words = [self.w[at + i].view(np.int64) if i < k else np.zeros(len(at), np.int64) for i in range(width)]
-        columns, names = [pa.array(c) for c in (*words, n.astype(np.int64))], [*_WORDS[:width], "n"]
-        if slack is not None:
-            lang = pa.array(self.names, pa.string()).take(pa.array(self.code[at]))
-            columns, names = [*columns, lang, pa.array(slack.astype(np.int64))], [*names, "lang", "slack"]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-
-def _words(width: int) -> str:
-    return ", ".join(f"{w} long" for w in _WORDS[:width])
+        return at, sequence_hash([self.w[at + i] for i in range(k)])
+
+
+def shards(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[list[Piece]]:
+    """The pieces of each shard of a task, of about so many words at most."""
+    held, size = [], 0
+    for batch in batches:
+        for rows in pieces(batch):
+            held.append(Piece(rows))
+            size += len(held[-1].w)
+            if size >= words:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -233,23 +138,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
             "n": np.concatenate([n, own]),
         })
 
-    def merged(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        found = pa.concat_tables(tables).group_by(["lang", "text"]).aggregate([("n", "sum")])
-        yield from found.select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"]).to_batches()
-
     def run(batches):
-        held, size = [], 0
-        for p in pieces_of(batches):
-            held.append(of_piece(p))
-            size += len(p.w)
-            if size >= SHARD_WORDS:
-                yield from merged(held)
-                held, size = [], 0
-        if held:
-            yield from merged(held)
+        for parts in shards(batches, limit):
+            found = pa.concat_tables([of_piece(p) for p in parts]).group_by(["lang", "text"]).aggregate([("n", "sum")])
+            yield from found.select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"]).to_batches()
         release()
 
     small_batches(texts.sparkSession)
+    limit = SHARD_WORDS
     return texts.mapInArrow(run, "lang string, text string, n long").groupBy("lang", "text").agg(F.sum("n").alias("n"))
 
 
@@ -264,127 +160,101 @@ def hashed(words: DataFrame) -> DataFrame:
     return words.select("lang", "text", "n").mapInArrow(run, "lang string, text string, n long, w long")
 
 
-def mined(
-    cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int, held_back: bool
-) -> DataFrame:
-    """Local finds of the sizes: (w0 and so on, n), words beyond a phrase 0; with lang and slack if shards hold back any.
+def mined(texts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int) -> DataFrame:
+    """Local finds: (key, lang, n, slack) for phrases of the sizes; rows without key have a shard's slack.
 
-    ``filters`` tell of phrases of two words and more which may be frequent.
+    ``filters`` tell of words, and then of phrases of two words and more, which may be frequent.
     """
-    sent, lowered, width = cuts.sparkSession.sparkContext.broadcast((totals, filters)), LOWERED, sizes[-1]
+    sent, limit = texts.sparkSession.sparkContext.broadcast((totals, filters)), SHARD_WORDS
 
     def run(batches):
         known, bits = sent.value
-        for shard in Shard.each(batches):
-            least = shard.local_support(known, support, lowered)
-            alive = shard.alive(bits)
+        for parts in shards(batches, limit):
+            shard = Shard(parts)
+            parts.clear()
+            least = shard.local_support(known, support)
+            alive = _alive(shard, bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
+                _, one, of, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+                code = shard.code[at[one]]
+                enough = n >= least[code]
                 alive = np.zeros(len(alive), bool)
-                for own in portions(keys):
-                    _, one, of, n = np.unique(keys[own], return_index=True, return_inverse=True, return_counts=True)
-                    first = at[own[one]]
-                    slack = least[shard.code[first]] - 1
-                    enough = n > slack
-                    alive[at[own[enough[of]]]] = True
-                    yield shard.rows(first[enough], k, width, n[enough], slack[enough] if held_back else None)
+                alive[at[enough[of]]] = True
+                yield _finds(keys[one[enough]].view(np.int64), shard, code[enough], n[enough], least)
+            every = np.arange(len(shard.names))
+            yield _finds(pa.nulls(len(every), pa.int64()), shard, every, np.zeros(len(every), np.int64), least)
         release()
 
-    more = ", lang string, slack long" if held_back else ""
-    return cuts.mapInArrow(run, f"{_words(width)}, n long{more}")
-
-
-def slack_of(cuts: DataFrame, totals: DataFrame, support: int) -> DataFrame:
-    """(lang, all_slack): how often a phrase may occur in all shards together without being reported."""
-    each = cuts.select(F.explode(F.arrays_zip("names", "sizes")).alias("s")).select(F.col("s.names").alias("lang"), "s.sizes")
-    least = F.expr(f"(sizes * {support} + n * {LOWERED} - 1) div (n * {LOWERED})")
-    held = F.when(F.col("sizes") > 0, F.greatest(least, F.lit(1)) - 1).otherwise(F.lit(0))
-    return each.join(totals, "lang").groupBy("lang").agg(F.sum(held).cast("long").alias("all_slack"))
-
+    def _finds(keys, shard, code, n, least):
+        lang = pa.array(shard.names, pa.string()).take(pa.array(code))
+        return pa.RecordBatch.from_arrays(
+            [keys if isinstance(keys, pa.Array) else pa.array(keys), lang, pa.array(n), pa.array(least[code] - 1)],
+            ["key", "lang", "n", "slack"],
+        )
 
-def candidates(finds: DataFrame, slack: DataFrame, support: int) -> DataFrame:
-    """(w0 and so on, n) of finds that may reach the support, by what shards reported and what others can hold."""
-    words = [c for c in finds.columns if c in _WORDS]
-    if "slack" not in finds.columns:
-        return finds.groupBy(*words).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    found = finds.groupBy(*words, "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    found = found.join(slack, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support)
-    return found.select(*words, "n")
+    return texts.mapInArrow(run, "key long, lang string, n long, slack long")
 
 
-def keyed(phrases: DataFrame) -> DataFrame:
-    """The hashes that shards know the phrases by."""
+def _alive(shard: Shard, bits: list[np.ndarray]) -> np.ndarray:
+    """Where phrases start that pass all filters, of as many words as there are filters."""
+    alive = may_hold(bits[0], shard.w)
+    for k, held in enumerate(bits[1:], 2):
+        at, keys = shard.phrases(alive, k)
+        alive = np.zeros(len(alive), bool)
+        alive[at[may_hold(held, keys)]] = True
+    return alive
 
-    def run(batches):
-        for batch in batches:
-            words = [column.to_numpy().view(np.uint64) for column in batch.columns]
-            k = sum((w != 0).astype(np.int64) for w in words)
-            keys = np.zeros(len(k), np.uint64)
-            for size in np.unique(k):
-                own = np.flatnonzero(k == size)
-                keys[own] = sequence_hash([w[own] for w in words[:size]])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
 
-    return phrases.select(*[c for c in phrases.columns if c in _WORDS]).mapInArrow(run, "key long")
+def candidates(finds: DataFrame, support: int) -> DataFrame:
+    """Keys of finds that may reach the support, by what shards reported and what the others can hold."""
+    whole = finds.where("key is null").groupBy("lang").agg(F.sum("slack").alias("all_slack"))
+    found = finds.where("key is not null").groupBy("key", "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
+    return found.join(whole, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support).select("key")
 
 
-def unreported(
-    cuts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int
-) -> DataFrame:
-    """Counts in shards that did not report them, of phrases that the filter ``wanted`` lets pass: (w0 and so on, n)."""
-    sent, lowered, width = cuts.sparkSession.sparkContext.broadcast((totals, filters, wanted)), LOWERED, sizes[-1]
+def counted(texts: DataFrame, filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int) -> DataFrame:
+    """(key, k, w0 to w4, n): exact counts of phrases that the filter ``wanted`` lets pass, ``support`` or more."""
+    sent, limit = texts.sparkSession.sparkContext.broadcast((filters, wanted)), SHARD_WORDS
 
     def run(batches):
-        known, bits, held = sent.value
-        for shard in Shard.each(batches):
-            least = shard.local_support(known, support, lowered)
-            alive = shard.alive(bits)
+        bits, held = sent.value
+        for parts in shards(batches, limit):
+            shard = Shard(parts)
+            parts.clear()
+            alive = _alive(shard, bits)
             for k in sizes:
                 at, keys = shard.phrases(alive, k)
                 passes = may_hold(held, keys)
                 at, keys = at[passes], keys[passes]
                 alive = np.zeros(len(alive), bool)
                 alive[at] = True
-                for own in portions(keys):
-                    _, one, n = np.unique(keys[own], return_index=True, return_counts=True)
-                    first = at[own[one]]
-                    slack = least[shard.code[first]] - 1
-                    few = n <= slack
-                    yield shard.rows(first[few], k, width, n[few], None)
+                _, one, n = np.unique(keys, return_index=True, return_counts=True)
+                words = [shard.w[at[one] + i].view(np.int64) if i < k else np.zeros(len(one), np.int64) for i in range(LONGEST)]
+                columns = [keys[one].view(np.int64), np.full(len(one), k, np.int32), *words, n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "k", *_WORDS, "n"])
         release()
 
-    return cuts.mapInArrow(run, f"{_words(width)}, n long")
+    schema = f"key long, k int, {', '.join(f'{w} long' for w in _WORDS)}, n long"
+    rows = texts.mapInArrow(run, schema).groupBy("key", "k", *_WORDS).agg(F.sum("n").alias("n"))
+    return rows.where(F.col("n") >= support)
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """Frequent phrases (words, a) as arrays of word hashes, frequent words (lang, text, n, w), words by language."""
-    spark = docs.sparkSession
     texts = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     counts = written(word_counts(texts).where((F.col("n") >= support) | F.col("text").isNull()), "phrase-words")
     totals = {r["lang"]: r["n"] for r in counts.where("text is null").collect()}
     words = written(hashed(counts.where("text is not null")), "phrase-hashes")
-    cuts = written(cut(texts, bitmap(words, "w")), "phrase-shards")
-    sizes_by_language = spark.createDataFrame(list(totals.items()), "lang string, n long")
-    # One row for each language.
-    held_back = slack_of(cuts, sizes_by_language, support).collect()
-    slack = spark.createDataFrame(held_back, "lang string, all_slack long")
-    found, known = None, []
-    holds_back = any(r["all_slack"] for r in held_back)
+    known = [bitmap(words, "w")]
+    found = None
     for sizes in (range(2, 3), range(3, LONGEST + 1)):
-        own = _WORDS[: sizes[-1]]
-        with batch_rows(spark, 1):
-            finds = mined(cuts, totals, known, sizes, support, holds_back)
-            exact = written(candidates(finds, slack, support), "phrase-candidates")
-        if holds_back:
-            wanted = bitmap(keyed(exact), "key")
-            with batch_rows(spark, 1):
-                both = exact.unionByName(unreported(cuts, totals, known, wanted, sizes, support))
-                both = both.groupBy(*own).agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-                exact = written(both, "phrase-counts")
-        known = [*known, bitmap(keyed(exact), "key")]
-        rows = exact.select(F.filter(F.array(*own), lambda w: w != 0).alias("words"), F.col("n").alias("a"))
-        found = rows if found is None else found.unionByName(rows)
-    return found, words, totals
+        finds = written(mined(texts, totals, known, sizes, support), "phrase-finds")
+        wanted = bitmap(candidates(finds, support), "key")
+        exact = written(counted(texts, known, wanted, sizes, support), "phrase-counts")
+        found = exact if found is None else found.unionByName(exact)
+        known = [*known, bitmap(exact, "key")]
+    return found.select(F.slice(F.array(*_WORDS), 1, F.col("k")).alias("words"), F.col("n").alias("a")), words, totals
 
 
 def _scored(named: DataFrame, phrases: DataFrame, words: DataFrame) -> DataFrame:

@@ -65,18 +65,6 @@ def large_batches(spark: SparkSession) -> None:
     spark.conf.set(BATCH_CONF, "10000")
 
 
-@contextlib.contextmanager
-def batch_rows(spark: SparkSession, rows: int):
-    """Arrow batches of so many rows for what is computed inside; afterwards the session is as before."""
-    ship(spark)
-    before = spark.conf.get(BATCH_CONF)
-    spark.conf.set(BATCH_CONF, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH_CONF, before)
-
-
 def release() -> None:
     """Gives freed memory back, as the worker waits for its next task beside the executor's JVM."""
     gc.collect()
