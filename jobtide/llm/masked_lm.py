@@ -207,23 +207,37 @@ class Network:
         p /= n
         d["G"][:], d["g"][:] = h.T @ p, p.sum(axis=0)
         d_h = p @ self.G.T
-        for k, rows in _by_group(group):
-            own = h[rows]
-            p = _softmax(own @ self.O[k] + self.c[k])
-            p[np.arange(len(rows)), member[rows]] -= 1
-            p /= n
-            d["O"][k], d["c"][k] = own.T @ p, p.sum(axis=0)
-            d_h[rows] += p @ self.O[k].T
+        order, groups, edges = _by_group(group)
+        own = h[order]
+        p = self._within(own, groups, edges)
+        p += self.c[group[order]]
+        p = _softmax(p)
+        p[np.arange(n), member[order]] -= 1
+        p /= n
+        back = np.empty_like(own)
+        for k, low, high in zip(groups, edges, edges[1:]):
+            np.matmul(own[low:high].T, p[low:high], out=d["O"][k])
+            np.matmul(p[low:high], self.O[k].T, out=back[low:high])
+        d["c"][groups] = np.add.reduceat(p, edges[:-1], axis=0)
+        d_h[order] += back
         d_h *= 1 - h * h
         d["W"][:], d["b"][:] = x.T @ d_h, d_h.sum(axis=0)
         d_x = (d_h @ self.W.T).reshape(n * 2 * SIDE, WIDTH)
-        met = around.ravel()
+        # Short keys are sorted by radix.
+        met = around.ravel().astype(np.uint16 if self.classes < 1 << 16 else np.int64)
         order = np.argsort(met, kind="stable")
         met = met[order]
         at = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
         d["E"][met[at]] = np.add.reduceat(d_x[order], at, axis=0)
         return flat
 
+    def _within(self, own: np.ndarray, groups: list[int], edges: list[int]) -> np.ndarray:
+        """What the hidden layer adds to the classes of each row's group; the rows come by group."""
+        out = np.empty((len(own), GROUP), np.float32)
+        for k, low, high in zip(groups, edges, edges[1:]):
+            np.matmul(own[low:high], self.O[k], out=out[low:high])
+        return out
+
     def train(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step of Adagrad on the mean log loss of a batch."""
         gradient = self.gradient(around, target)
@@ -245,8 +259,10 @@ class Network:
             np.tanh(h, out=h)
             group, member = np.divmod(goal, GROUP)
             found = _log_softmax_at(h @ self.G + self.g, group)
-            for k, rows in _by_group(group):
-                found[rows] += _log_softmax_at(h[rows] @ self.O[k] + self.c[k], member[rows])
+            order, groups, edges = _by_group(group)
+            z = self._within(h[order], groups, edges)
+            z += self.c[group[order]]
+            found[order] += _log_softmax_at(z, member[order])
             out[low : low + STEP] = found
         return out
 
@@ -263,13 +279,12 @@ def _log_softmax_at(z: np.ndarray, column: np.ndarray) -> np.ndarray:
     return own - np.log(np.exp(z, out=z).sum(axis=1))
 
 
-def _by_group(group: np.ndarray):
-    """Each group that occurs, with its rows."""
-    order = np.argsort(group, kind="stable")
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+    """Rows in the order of their groups, the groups that occur, and where each begins and the last ends."""
+    order = np.argsort(group.astype(np.uint16), kind="stable")
     ordered = group[order]
-    edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(group) else [0]
-    for low, high in zip(edges[:-1], edges[1:]):
-        yield int(ordered[low]), order[low:high]
+    edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(group) else np.zeros(0, np.int64)
+    return order, ordered[edges].tolist(), [*edges.tolist(), len(group)]
 
 
 def rounds_of(words: Words, draw: int) -> np.ndarray:

@@ -27,7 +27,7 @@ def by_numpy(vectors):
 
 
 def test_matches_numpy_with_repeated_rows_and_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(whitening, "BLOCK", 16)
+    monkeypatch.setattr(whitening, "BLOCK", 64)
     rng = np.random.default_rng(3)
     vectors = (rng.standard_normal((300, 20)) * np.linspace(3, 0.5, 20)).tolist()
     vectors += [vectors[0]] * 100 + [vectors[7]]
