@@ -11,12 +11,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where that is unset (tests), a local one.
-
-    A session that runs on several machines must have the setting, or reading back fails there.
-    """
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, in local mode only, a local one."""
     found = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         found = getattr(spark.sparkContext, "_jobtide_llm_folder", None) or tempfile.mkdtemp(prefix="jobtide-llm-")
         spark.sparkContext._jobtide_llm_folder = found
     return found.rstrip("/")
