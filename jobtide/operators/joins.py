@@ -59,14 +59,20 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
 
     At most ``share`` rows, whatever the table; keys with a null are not counted.
     """
-    known = df.select(*keys).dropna()
-    counts = known.groupBy(*keys).agg(F.count("*").alias("_n"))
-    least = known.agg(F.count("*") / share).scalar()
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n"))
+    return hot_of_counts(counts, keys, share)
+
+
+def hot_of_counts(counts: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
+    """As ``hot_keys``, of the rows ``_n`` of each key; the keys must not repeat, those with a null are not counted."""
+    counts = counts.dropna(subset=list(keys))
+    least = counts.agg(F.sum("_n") / share).scalar()
     return counts.where(F.col("_n") > least).select(*keys, F.ceil(F.col("_n") / least).cast("int").alias("_parts"))
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "inner", share: int = HOT_SHARE
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "inner", share: int = HOT_SHARE,
+    counts: DataFrame | None = None, shuffled: bool = False,
 ) -> DataFrame:
     """Equi-join (``inner`` or ``left``) in which no task gathers a hot key or the rows without a key.
 
@@ -74,11 +80,13 @@ def spread_join(
     rows of that key are copied to each of its places; left rows with a null key are dealt over
     ``share`` places.  The hot keys are counted first, by an aggregate over the keys only; there are at
     most ``share`` of them, so they may be broadcast.  Left rows that agree in all ``spread`` columns
-    stay together.
+    stay together.  ``counts`` (the keys and their left rows ``_n``), where they are known, save that
+    aggregate.  ``shuffled`` keeps Spark from broadcasting the right rows: what it takes for the size of
+    rows made by an explode can be far too low.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    hot = F.broadcast(hot_keys(left, on, share))
+    hot = F.broadcast(hot_keys(left, on, share) if counts is None else hot_of_counts(counts, on, share))
     if how == "inner":
         left = left.dropna(subset=list(on))
     missing = F.lit(False)
@@ -89,4 +97,5 @@ def spread_join(
     dealt = left.join(hot, list(on), "left").withColumn("_place", F.pmod(hashed, parts).cast("int")).drop("_parts")
     places = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
     copied = right.join(hot, list(on), "left").withColumn("_place", places).drop("_parts")
+    copied = copied.hint("merge") if shuffled else copied
     return dealt.join(copied, [*on, "_place"], how).drop("_place")

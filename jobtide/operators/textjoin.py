@@ -140,7 +140,7 @@ def keyword_hits(texts: DataFrame, key: str, text: str, rules: DataFrame, keywor
     cut = texts.where(F.col(text).isNotNull()).select(key, words.alias("_w"), gaps.alias("_g"))
     every = [_phrases(F.col("_w"), F.col("_g"), n) for n in sizes]
     runs = cut.select(key, F.explode(F.concat(*every) if len(every) > 1 else every[0]).alias("_p")).select(key, "_p.*")
-    met = spread_join(runs, entries, ["core", "n"], [key])
+    met = spread_join(runs, entries, ["core", "n"], [key], shuffled=True)
     fits = ((F.col("_lead") == "") | (F.col("_lead") == F.col("before"))) & (
         (F.col("_trail") == "") | (F.col("_trail") == F.col("after"))
     )

@@ -96,3 +96,15 @@ def test_substring_join_splits_a_hot_gram(spark, shuffled_joins):
     found = textjoin.substring_join(texts, "id", "text", names, "name")
     assert found.where("rank = 1").count() == 4_000 and found.where("rank = 2").count() == 111
     assert largest_share(found) < 0.1
+
+
+def test_keyword_rows_made_by_an_explode_are_not_broadcast(spark):
+    rules = spark.range(3).select(
+        F.col("id").cast("int").alias("rule_order"), F.lit("c").alias("category"), F.explode(F.sequence(F.lit(0), F.lit(999))).alias("keyword_order")
+    )
+    rules = rules.withColumn("keyword", F.concat_ws(" ", F.lit("bolt"), F.col("keyword_order").cast("string")))
+    texts = spark.range(50).select("id", F.concat(F.lit("a bolt "), F.col("id").cast("string")).alias("text"))
+    found = textjoin.keyword_hits(texts, "id", "text", rules)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [core" in plan
+    assert found.count() == 150
