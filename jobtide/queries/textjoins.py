@@ -32,13 +32,17 @@ VARIANTS = 100
 
 def _rules(spark, sf) -> DataFrame:
     """Keywords of two words and a number, by size and brand of the parts."""
-    parts = table(spark, sf, "part").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
-    return parts.select(
-        F.col("p_size").cast("int").alias("rule_order"),
-        F.col("p_brand").alias("category"),
+    parts = table(spark, sf, "part").select(
+        F.col("p_size").cast("int").alias("rule_order"), F.col("p_brand").alias("category"), F.lower("p_name").alias("_name")
+    )
+    # Equal parts give equal keywords, so they are put together before each is written out with its numbers.
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("k")
+    return parts.distinct().select("*", numbers).select(
+        "rule_order",
+        "category",
         (F.col("k") + 1).alias("keyword_order"),
-        F.concat_ws(" ", F.lower("p_name"), F.col("k").cast("string")).alias("keyword"),
-    ).distinct()
+        F.concat_ws(" ", "_name", F.col("k").cast("string")).alias("keyword"),
+    )
 
 
 def _labels(spark, sf) -> DataFrame:
