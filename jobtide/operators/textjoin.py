@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from jobtide.functions.text import WORD
 from jobtide.operators.joins import spread_join
 from jobtide.operators.rows import keep_first
+from jobtide.session import stored
 
 GRAM = 4
 
@@ -47,19 +48,21 @@ def substring_join(
         return _none(texts.select(key), names)
     own = F.when(F.char_length("_name") < gram, F.array("_name")).otherwise(grams(F.col("_name"), gram))
     of_name = listed.select("_name", F.explode(own).alias("_gram"))
-    of_text = _exploded_grams(texts, [key], F.col(text), sizes)
-    met = of_text.join(of_name.select("_gram").distinct(), "_gram", "left_semi")
-    counts = met.groupBy("_gram").agg(F.count("*").alias("_texts"))
+    of_text = _exploded_grams(texts.where(F.col(text).isNotNull()), [key], F.col(text), sizes)
+    # The texts are cut twice: to count the pieces that names have, and to meet the names by the pieces chosen.  Both
+    # times what no name asks for falls out at once, before anything is shuffled, if the pieces asked for are few.
+    asked = stored(of_name.select("_gram").distinct())
+    counts = stored(of_text.join(asked, "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_n")))
     rated = of_name.join(counts, "_gram", "left")
-    entry = rated.groupBy("_name").agg(
-        F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("_texts"), "_gram")).alias("_entry")
-    )
-    entry = entry.where(F.col("_entry._texts") > 0).select("_name", F.col("_entry._gram").alias("_gram"))
-    pairs = spread_join(of_text, entry, ["_gram"], [key]).select(key, "_name")
-    found = pairs.join(texts.select(key, F.col(text).alias("_text")), key)
-    found = found.where(F.contains("_text", "_name")).select(key, "_name")
-    named = names.withColumn("_name", F.col(name))
-    return spread_join(found, named, ["_name"], [key]).drop("_name")
+    entry = rated.groupBy("_name").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_gram")).alias("_entry"))
+    entry = stored(entry.where(F.col("_entry._n") > 0).select("_name", F.col("_entry._gram").alias("_gram")))
+    chosen = stored(counts.join(entry.select("_gram").distinct(), "_gram", "left_semi"))
+    # Names that texts do not meet are out before their rows are joined; a repeated name has an entry for each row.
+    named = names.withColumn("_name", F.col(name)).join(entry, "_name")
+    met = of_text.join(chosen.select("_gram"), "_gram", "left_semi")
+    pairs = spread_join(met, named, ["_gram"], [key], counts=chosen, shuffled=True).drop("_gram")
+    found = pairs.join(texts.select(F.col(key).alias("_key"), F.col(text).alias("_text")), F.col(key) == F.col("_key"))
+    return found.where(F.contains("_text", "_name")).select(key, *names.columns)
 
 
 def _none(left: DataFrame, right: DataFrame) -> DataFrame:

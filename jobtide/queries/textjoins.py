@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.operators import textjoin
-from jobtide.queries.common import Query, table
+from jobtide.queries.common import Query, spread_table, table
 
 
 def _names(spark, sf) -> DataFrame:
@@ -19,7 +19,7 @@ def _names(spark, sf) -> DataFrame:
 
 def substring_join(spark, sf):
     """Per document the first name by rank that its text holds, and how many names it holds."""
-    docs = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("body"))
+    docs = spread_table(spark, sf, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("body"))
     found = textjoin.substring_join(docs, "doc_id", "body", _names(spark, sf), "name")
     return found.groupBy("doc_id").agg(
         F.min_by("name", "rank").alias("name"), F.min("rank").alias("rank"), F.count("*").alias("names")

@@ -108,3 +108,11 @@ def test_keyword_rows_made_by_an_explode_are_not_broadcast(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin [core" in plan
     assert found.count() == 150
+
+
+def test_substring_join_cuts_the_texts_once_after_counting(spark):
+    texts = spark.range(200).select("id", F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    names = spark.createDataFrame([("words 1", 1), ("none", 2), (None, 3), ("words 1", 4)], "name string, rank int")
+    found = textjoin.substring_join(texts, "id", "text", names, "name")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(r["rank"] for r in found.collect()) == [1] * 111 + [4] * 111
