@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from jobtide.functions.text import WORD, WORD_EDGE, nonempty, strip
 from jobtide.operators.joins import spread_join
 from jobtide.operators.textjoin import substring_join
+from jobtide.session import stored
 
 #: A place table: what a key is (code, company, name, marker or city), its place in its list, and what it says.
 SCHEMA = "kind string, key string, rank int, canton string, city string"
@@ -32,7 +33,9 @@ def resolve_places(df: DataFrame, location: str, places: DataFrame, spread: list
     """
     trimmed = strip(location)
     found = df.withColumn("_loc", nonempty(trimmed))
-    texts = found.select("_loc").where(F.col("_loc").isNotNull()).distinct()
+    # The rows are read twice: here, to count the locations, and to be joined to what was found for them.
+    counts = stored(found.groupBy("_loc").agg(F.count("*").alias("_n")).where(F.col("_loc").isNotNull()))
+    texts = counts.select("_loc")
     first = strip(F.get(F.split("_loc", ","), F.lit(0)))
     code = F.regexp_extract("_loc", rf"{WORD_EDGE}{code_prefix}-([{WORD}]+)", 1)
 
@@ -67,7 +70,7 @@ def resolve_places(df: DataFrame, location: str, places: DataFrame, spread: list
     told = texts.join(said, "_loc", "left").select(
         "_loc", "canton", F.coalesce("_city", F.when(F.col("_stop").isNull(), bare)).alias("city")
     )
-    return spread_join(found, told, ["_loc"], spread, "left").drop("_loc")
+    return spread_join(found, told, ["_loc"], spread, "left", counts=counts).drop("_loc")
 
 
 def place_table(spark, gazetteer) -> DataFrame:

@@ -32,3 +32,13 @@ def test_empty_tables(spark):
     assert [tuple(r) for r in places.resolve_places(df, "place", none, ["i"]).collect()] == [(1, "Bern", None, "Bern")]
     full = places.place_table(spark, geo.Gazetteer())
     assert places.resolve_places(df.where(F.lit(False)), "place", full, ["i"]).collect() == []
+
+
+def test_rows_are_read_twice_only(spark):
+    rows = spark.range(40).select("id", F.concat(F.lit("North "), F.col("id") % 4).alias("at"))
+    table = spark.createDataFrame([("name", "north 1", 0, "N1", None), ("marker", "North 2", 1, None, None)], places.SCHEMA)
+    out = places.resolve_places(rows, "at", table, ["id"])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 40") == 1
+    assert sorted((r.at, r.canton, r.city) for r in out.distinct().select("at", "canton", "city").distinct().collect()) == [
+        ("North 0", None, "North 0"), ("North 1", "N1", "North 1"), ("North 2", None, None), ("North 3", None, "North 3")
+    ]
