@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from jobtide.functions.text import as_col
 from jobtide.operators.facets import text_search
 from jobtide.operators.textjoin import grams
+from jobtide.session import stored
 
 GRAM = 3
 _SPECIAL = set("\\^$.|?*+()[]{}")
@@ -28,7 +29,8 @@ def build_index(df: DataFrame, key: str, columns: Sequence[str], path: str) -> N
     ``key`` must identify a row.  A piece that very many rows hold is spread over ranges of keys.
     """
     pieces = F.array_distinct(F.concat(*[grams(folded(F.coalesce(F.col(c), F.lit(""))), GRAM) for c in columns]))
-    rows = df.select(F.explode(pieces).alias("gram"), F.col(key).alias("key"))
+    # Written first: the ranges are found by readings of their own, which would cut all texts again.
+    rows = stored(df.select(F.explode(pieces).alias("gram"), F.col(key).alias("key")))
     rows.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key").write.mode("overwrite").parquet(path)
 
 

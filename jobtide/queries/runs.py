@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from jobtide.operators import dates, sketches, textindex
-from jobtide.queries.common import Query, table
+from jobtide.queries.common import Query, spread_table, table
 from jobtide.session import scratch_dir
 from jobtide.sources.history import History
 from jobtide.streaming import runs as stream
@@ -49,7 +49,7 @@ def stream_runs(spark, sf):
 
 def indexed_search(spark, sf):
     """Documents with a pattern in their text, by an index of its pieces."""
-    docs, path = table(spark, sf, "documents"), scratch_dir(spark)
+    docs, path = spread_table(spark, sf, "documents", "doc_id", "text", "source"), scratch_dir(spark)
     textindex.build_index(docs, "doc_id", ["text", "source"], path)
     found = textindex.indexed_search(docs, "doc_id", ["text", "source"], path, "licensed under [a-z]+ apache")
     literal = textindex.indexed_search(docs, "doc_id", ["text", "source"], path, "PATHETIC", regex=False)

@@ -88,3 +88,17 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     found = spark.read.parquet(args[2]).collect()
     assert sorted((r.id, r.v) for r in found) == [(i, f"v{i}") for i in range(90)]
     assert {r.day for r in found} == {datetime.date(2026, 1, d) for d in range(1, 10)}
+
+
+def test_an_index_cuts_each_text_once(spark, tmp_path):
+    cut = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        cut.add(1)
+        return text
+
+    df = spark.range(200).select("id", seen.asNondeterministic()(F.concat(F.lit("a text "), F.col("id"))).alias("text"))
+    textindex.build_index(df, "id", ["text"], str(tmp_path / "index"))
+    assert cut.value == 200
+    assert textindex.candidates(spark, str(tmp_path / "index"), ["t 1"]).count() == 111
