@@ -202,4 +202,4 @@ def test_pipeline_stages(spark, documents, odd, tmp_path):
 def test_queries_are_all_there():
     from jobtide.llm import queries
 
-    assert set(queries.SQL) <= set(queries.QUERIES) and len(queries.QUERIES) == 11
+    assert set(queries.SQL) <= set(queries.QUERIES) and len(queries.QUERIES) == 14
