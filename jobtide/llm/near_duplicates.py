@@ -317,6 +317,19 @@ def _across(mixed: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (node, label) after further links (a, b), of which only those of the labels are followed."""
+    for end in ("a", "b"):
+        to = labels.withColumnsRenamed({"node": end, "label": f"label_{end}"})
+        links = links.join(to, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    further = components(links, "label_a", "label_b").withColumnsRenamed({"node": "old", "label": "new"})
+    # A class that only further links reach had no label and was its own.
+    alone = further.join(labels, F.col("old") == F.col("node"), "left_anti").select("old", "new")
+    moved = labels.join(further, F.col("label") == F.col("old"), "left")
+    moved = moved.select("node", F.coalesce("new", "label").alias("label"))
+    return written(moved.unionByName(alone.toDF("node", "label")), "near-labels")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id and kept.
 
@@ -347,8 +360,7 @@ def _with_first(docs: DataFrame, shingle: int, percent: int, rows: int = ROWS) -
     stars = met.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     met_nodes = met.select("node").distinct().join(classes.select("node", "rep"), "node")
     texts = written(_texts_of(docs, written(met_nodes, "near-needed"), shingle), "near-texts")
-    links = written(_confirmed(stars, classes, texts, shingle, percent, total), "near-links")
-    labels = components(links, "a", "b")
+    labels = components(_confirmed(stars, classes, texts, shingle, percent, total), "a", "b")
 
     placed = met.join(labels, "node", "left").select("band", "node", "centre", F.coalesce("label", "node").alias("label"))
     placed = written(placed, "near-placed")
@@ -365,9 +377,7 @@ def _with_first(docs: DataFrame, shingle: int, percent: int, rows: int = ROWS) -
     kept = classes.select("node", "bands").join(_long_signatures(texts.join(sizes, "node"), shingle), "node")
     mixed = mixed.join(sizes, "node").join(kept, "node")
     across = written(_across(mixed, percent), "near-across")
-    links_across = _exact(_with_texts(across, texts), shingle, percent)
-    links = written(links.unionByName(links_across), "near-all-links")
-    labels = components(links, "a", "b")
+    labels = _joined(labels, _exact(_with_texts(across, texts), shingle, percent))
 
     own = classes.select("node", "first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = own.groupBy("label").agg(F.min("first").alias("first"))

@@ -104,6 +104,26 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+def test_components_of_a_chain_in_few_rounds(spark, monkeypatch):
+    made, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: made.append(name) or written(df, name))
+    ids = np.random.default_rng(3).permutation(3000).tolist()
+    links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long").coalesce(1)
+    rows = components.components(links, "a", "b").collect()
+    assert len(rows) == 3000 and len({r.label for r in rows}) == 1
+    assert made.count("cc-points") <= 2
+
+
+def test_further_links_join_labels(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node long, label long")
+    links = spark.createDataFrame([(2, 6), (6, 7), (10, 11), (1, 2)], "a long, b long")
+    rows = near_duplicates._joined(labels, links).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.label, set()).add(r.node)
+    assert len(rows) == 9 and sorted(map(sorted, groups.values())) == [[1, 2, 5, 6, 7], [8, 9], [10, 11]]
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
