@@ -21,11 +21,12 @@ from jobtide.functions.text import SPACE
 
 _ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 _REST = rf"(?:{_ATTRIBUTES}|[^>]*+)>"
-_TAG = rf"</?[a-zA-Z]{_REST}|<[!?/][^>]*+>"
-_HIDDEN = r"(?is)<!--(?:.*?-->|.*\z)|<(script|style|template)(?=[\s/>])[^>]*+>.*?(?:</\1[^>]*+>|\z)"
+# What all choices begin with stands before them, so that other places of a text are passed over quickly.
+_TAG = rf"<(?:/?[a-zA-Z]{_REST}|[!?/][^>]*+>)"
+_HIDDEN = r"(?is)<(?:!--(?:.*?-->|.*\z)|(script|style|template)(?=[\s/>])[^>]*+>.*?(?:</\1[^>]*+>|\z))"
 # Elements without an end tag.
 _VOID = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr"
-_ENTITY = r"(?=&(?:#[0-9xX]|[a-zA-Z]))"
+_ENTITY = r"&(?:#[0-9xX]|[a-zA-Z])"
 # Entities that count without a semicolon, longest first.
 _LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 # One literal, as a map of single literals makes plans slow to build.
@@ -98,6 +99,15 @@ def bound(value: str, use: Callable[[str], str]) -> str:
     return f"get(transform(array({value}), {_lambda(use, 'x')}), 0)"
 
 
+def parts_at(text: str, start: str, mark: str = "<") -> str:
+    """The text cut before each place where ``start`` (SQL, a pattern that begins with the mark) fits.
+
+    Unlike ``split``, this compiles a constant pattern once, and tries it only where a mark is.
+    """
+    head, tail = literal(f"(?s).[^{mark}]*+(?:(?!"), literal(f"){mark}[^{mark}]*+)*+|^\\z")
+    return f"regexp_extract_all({text}, concat({head}, {start}, {tail}), 0)"
+
+
 def visible(page: str) -> str:
     """The page without comments, scripts, styles and templates; null gives ``''``."""
     return f"regexp_replace(coalesce({page}, ''), {literal(_HIDDEN)}, '<!>')"
@@ -128,7 +138,7 @@ def unescape(text: str) -> str:
 
     def whole(t: str) -> str:
         read = _lambda(lambda p: f"if(startswith({p}, '&'), {_read_entity(p)}, {p})", "p")
-        return f"if(contains({t}, '&'), array_join(transform(split({t}, {literal(_ENTITY)}), {read}), ''), {t})"
+        return f"if(contains({t}, '&'), array_join(transform({parts_at(t, literal(_ENTITY), '&')}, {read}), ''), {t})"
 
     return bound(text, whole)
 
@@ -156,10 +166,9 @@ def _inner(tail: str, tag: Tag) -> str:
     """What lies inside the element with whose opening tag the text begins."""
 
     def named(name: str) -> str:
-        edge = literal(r"\E[\s/>]")
+        edge = literal(r"\E[\s/>])")
         both, opens, closes = (
-            f"concat({literal(k)}, {name}, {edge}{', ' + literal(')') if k[4] == '(' else ''})"
-            for k in (r"(?i)(?=</?\Q", r"(?i)^<\Q", r"(?i)^</\Q")
+            f"concat({literal(k)}, {name}, {edge})" for k in (r"(?i:</?\Q", r"^(?i:<\Q", r"^(?i:</\Q")
         )
         closed = literal(r"^<[^>\"']*/>")
 
@@ -167,15 +176,15 @@ def _inner(tail: str, tag: Tag) -> str:
             return f"CASE WHEN rlike({token}, {opens}) AND NOT rlike({token}, {closed}) THEN 1 WHEN rlike({token}, {closes}) THEN -1 ELSE 0 END"
 
         rest = f"regexp_replace({tail}, {literal(_OPENING)}, '')"
-        return bound(f"split({rest}, {both})", lambda tokens: _upto(tokens, step))
+        return bound(parts_at(rest, both), lambda tokens: _upto(tokens, step))
 
     if tag.name:
         return named(literal(tag.name))
     return bound(f"regexp_extract({tail}, {literal(r'^<([a-zA-Z][^\s/>]*)')}, 1)", named)
 
 
-def _cut(page: str, tag: Tag, limit: int = -1) -> str:
-    return f"split({page}, {literal(f'(?={tag.pattern()})')}, {limit})"
+def _cut(page: str, tag: Tag) -> str:
+    return parts_at(page, literal(tag.pattern()))
 
 
 def _own(parts: str, tag: Tag) -> str:
@@ -245,34 +254,52 @@ def without_first(page: str, tag: Tag) -> str:
         kept = f"concat(element_at({parts}, 1), {bound(f'element_at({parts}, 2)', drop)})"
         return f"if(size({parts}) < 2, {page}, {kept})"
 
-    return bound(_cut(page, tag, 2), cut)
+    return bound(f"split({page}, {literal(f'(?={tag.pattern()})')}, 2)", cut)
 
 
-def beside_label(page: str, prefix: str, label: Tag, value: Tag) -> str:
-    """Text of the value element after the first label that starts with the prefix, any case.
+def beside_labels(page: str, prefixes: Sequence[str], label: Tag, value: Tag) -> str:
+    """Array with, for each prefix, the text of the value element after the first label that starts with it, any case.
 
-    The value must lie in the element that holds the label; ``''`` where there is none.
+    The value must lie in the element that holds the label; ``''`` where there is none.  Labels are read once
+    for all prefixes.
     """
-    alone = literal(rf"(?i)^</?(?:{_VOID})[\s/>]|^<[^>]*/>")
+    alone = literal(rf"^<(?:/?(?i:{_VOID})[\s/>]|[^>]*/>)")
 
     def step(token: str) -> str:
         return f"CASE WHEN rlike({token}, {alone}) THEN 0 WHEN rlike({token}, '^</[a-zA-Z]') THEN -1 WHEN rlike({token}, '^<[a-zA-Z]') THEN 1 ELSE 0 END"
 
-    def use(tail: str) -> str:
-        def read(inner: str) -> str:
-            fits = f"startswith(lower({plain_text(inner)}), {literal(prefix.lower())})"
+    def read(tail: str) -> str:
+        def both(inner: str) -> str:
             opened = f"length(regexp_extract({tail}, {literal(_OPENING)}, 0))"
             after = f"substring({tail}, {opened} + length({inner}) + 1)"
-            return f"if({fits}, {beside(f'regexp_replace({after}, {literal(f"^</[a-zA-Z]{_REST}")}, {literal("")})')}, NULL)"
+            return f"named_struct('text', lower({plain_text(inner)}), 'after', {after})"
+
+        return bound(_inner(tail, label), both)
 
-        return bound(_inner(tail, label), read)
+    def over(parts: str) -> str:
+        return f"transform({_own(parts, label)}, {_lambda(lambda i: bound(_tail(parts, i), read), 'i')})"
 
     def beside(rest: str) -> str:
         # What follows the label reaches to the end tag of the element that holds it.
-        held = bound(f"split({rest}, '(?=</?[a-zA-Z])')", lambda tokens: _upto(tokens, step))
+        held = bound(parts_at(rest, literal("</?[a-zA-Z]")), lambda tokens: _upto(tokens, step))
         return bound(held, lambda h: f"nullif({plain_text(first_inner(h, (value,)))}, '')")
 
-    return f"coalesce({_tails(page, label, use)}, '')"
+    def chosen(labels: str) -> str:
+        def first(prefix: str) -> str:
+            def go(found: str, own: str) -> str:
+                rest = f"regexp_replace({own}.after, {literal(f'^</[a-zA-Z]{_REST}')}, '')"
+                return f"coalesce({found}, if(startswith({own}.text, {literal(prefix.lower())}), {beside(rest)}, NULL))"
+
+            return f"coalesce(aggregate({labels}, CAST(NULL AS STRING), {_lambda(go, 'f', 'l')}), '')"
+
+        return f"array({', '.join(map(first, prefixes))})"
+
+    return bound(bound(_cut(page, label), over), chosen)
+
+
+def beside_label(page: str, prefix: str, label: Tag, value: Tag) -> str:
+    """The text of ``beside_labels`` for one prefix."""
+    return f"get({beside_labels(page, [prefix], label, value)}, 0)"
 
 
 def attribute(opening: str, name: str) -> str:
@@ -342,5 +369,6 @@ def open_link(before: str) -> str:
         is_open = f"rlike({token}, {opened}) AND NOT rlike({token}, {literal(r'^<[^>]*/>')})"
         return f"if({is_open}, array({href}), CAST(array() AS array<string>))"
 
-    tokens = f"split({before}, {literal(r'(?i)(?=</?a[\s/>])')})"
-    return bound(f"element_at({tokens}, -1)", last)
+    # The rest from the last tag of a link on.
+    rest = f"regexp_extract({before}, {literal(r'(?s).*(</?[aA][\s/>].*)')}, 1)"
+    return bound(rest, last)

@@ -93,15 +93,20 @@ def raw_cards(html: str, layout: PageLayout | None = None) -> Column:
             return markup.plain_text(markup.first_inner(inner, path))
 
         inside = f"transform({markup.anchors(inner)}, l -> l.href)"
-        found = {
-            "links": f"concat({markup.open_link(before)}, {inside})",
-            "title": text(layout.card_title),
-            "company": text(layout.card_company),
-            "location_raw": markup.beside_label(inner, layout.card_location_label, label, value),
-            "posted_date": text(layout.card_date),
-            "employment_type": markup.beside_label(inner, layout.card_contract_label, label, value),
-        }
-        return "named_struct(" + ", ".join(f"'{name}', {fact}" for name, fact in found.items()) + ")"
+        beside = markup.beside_labels(inner, [layout.card_location_label, layout.card_contract_label], label, value)
+
+        def card(labels: str) -> str:
+            found = {
+                "links": f"concat({markup.open_link(before)}, {inside})",
+                "title": text(layout.card_title),
+                "company": text(layout.card_company),
+                "location_raw": f"get({labels}, 0)",
+                "posted_date": text(layout.card_date),
+                "employment_type": f"get({labels}, 1)",
+            }
+            return "named_struct(" + ", ".join(f"'{name}', {fact}" for name, fact in found.items()) + ")"
+
+        return markup.bound(beside, card)
 
     def choose(page: str) -> str:
         patterns = [f"rlike({page}, {markup.literal(tag.pattern())})" for tag in layout.cards]

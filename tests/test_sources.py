@@ -185,3 +185,21 @@ def test_markup_of_long_pages(spark):
     page = "<article>" + ("<div class='" + "c" * 500 + "'><p>w</p><br>") * 2000 + "</article>"
     row = spark.createDataFrame([(page,)], "html string").select(html.main_text("html", html.PageLayout(body_min_chars=3)).alias("t")).first()
     assert row.t == " ".join(["w"] * 2000)
+
+
+def test_parts_are_those_of_split(spark):
+    texts = ["", "a", "<p>", "x<p>y<p z>\n<b>", "<p><p", "é𝄞<p>é", "</p><P >", "<" * 5000 + "<p>", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = F.expr(markup.parts_at("t", markup.literal(r"<(?i:p)[\s>]")))
+    for r in df.select("t", found.alias("a"), F.split("t", r"(?=<(?i:p)[\s>])").alias("b")).collect():
+        assert r.a == r.b
+
+
+def test_labels_are_read_once_for_all_prefixes(spark):
+    label, value = markup.Tag("span"), markup.Tag("p")
+    page = "<div><span>Place</span><p>Bern</p></div><div><SPAN>Contract <b>type</b></SPAN><p>Fixed</p></div><span>Pay</span>"
+    df = spark.createDataFrame([(page,), ("",)], "t string")
+    found = F.expr(markup.beside_labels("t", ["contract type", "place", "pay", "other"], label, value))
+    assert [r.a for r in df.select(found.alias("a")).collect()] == [["Fixed", "Bern", "", ""], [""] * 4]
+    cards = markup.elements("t", label, lambda inner, before: markup.plain_text(inner))
+    assert "split(" not in cards + markup.beside_label("t", "place", label, value)
