@@ -146,17 +146,17 @@ class Shares:
         return F.log(F.coalesce("n", F.lit(1)) / F.get(self.totals, F.col("bucket")))
 
 
-def surroundings(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each token the classes of the ``SIDE`` tokens on each side (tokens by places)."""
-    n = len(classes)
-    counts = np.diff(first)
-    low, high = np.repeat(first[:-1], counts), np.repeat(first[1:], counts)
-    places = np.arange(n)
-    out = np.zeros((n, 2 * SIDE), np.int64)
+def surroundings(classes: np.ndarray, first: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+    """For each token, or those at some places, the classes of the ``SIDE`` tokens on each side (tokens by places)."""
+    # Texts are laid out with empty places between them, so that no place needs a test.
+    shift = np.repeat(np.arange(1, len(first)) * SIDE, np.diff(first))
+    spaced = np.zeros(len(classes) + len(first) * SIDE, np.int64)
+    own = np.arange(len(classes)) + shift
+    spaced[own] = classes
+    at = own if places is None else own[places]
+    out = np.empty((len(at), 2 * SIDE), np.int64)
     for k, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        at = places + step
-        inside = (at >= low) & (at < high)
-        out[inside, k] = classes[at[inside]]
+        out[:, k] = spaced[at + step]
     return out
 
 
@@ -243,8 +243,12 @@ class Network:
         gradient = self.gradient(around, target)
         if self.squares is None:
             self.squares = np.full(len(self.flat), 1e-8, np.float32)
-        self.squares += gradient * gradient
-        self.flat -= rate * gradient / np.sqrt(self.squares)
+        step = gradient * gradient
+        self.squares += step
+        np.sqrt(self.squares, out=step)
+        gradient *= rate
+        gradient /= step
+        self.flat -= gradient
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The log-probability of each target, given the classes around it."""
@@ -317,7 +321,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, draw: int
                     words = texts.words(fold=True)
                     classes = classes_of(texts, words, known)
                     drawn = np.flatnonzero(rounds_of(words, draw) == turn % draw)
-                    around.append(surroundings(classes, words.first)[drawn])
+                    around.append(surroundings(classes, words.first, drawn))
                     target.append(classes[drawn])
                     if sum(map(len, target)) >= BATCH:
                         x, y = np.concatenate(around), np.concatenate(target)
