@@ -288,3 +288,11 @@ def test_allocation_matches_brute_force():
             held = [min(b, h) - max(a, x) for x, h in sections]
             best = max(held, default=0)
             assert where == (held.index(best) if best > 0 else -1)
+
+
+def test_surroundings_of_some_places_are_those_of_all():
+    classes, first = np.arange(1, 10), np.array([0, 3, 3, 4, 9])
+    whole = masked_lm.surroundings(classes, first)
+    assert whole[[0, 3, 8]].tolist() == [[0, 0, 2, 3], [0, 0, 0, 0], [7, 8, 0, 0]]
+    some = np.array([1, 4, 7])
+    assert (masked_lm.surroundings(classes, first, some) == whole[some]).all()
