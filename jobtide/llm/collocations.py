@@ -1,14 +1,11 @@
-"""Phrases whose words meet more often than chance, mined by SON partitioning.
-
-Method: words of every language are counted, then phrases of two words, then those of three to
-``LONGEST`` words.  For the phrases each task mines its shards completely: what has in a shard at least
-the shard's part of ``support`` (in proportion to its words of the language, rounded up) is a local
-find.  A phrase that reaches ``support`` over all documents is found in at least one shard.  The union of the
-finds is pruned by a bound: a shard that did not report a phrase holds at most its local support less
-one of it, so a phrase whose reported counts and the rest of these bounds stay below ``support`` goes.
-The other finds are then counted exactly over all documents.  Longer phrases are mined only where all
-their two-word parts are frequent.  A shard is at most ``SHARD_WORDS`` words of one task, so memory is
-bounded; with many shards the local support falls to one, and a shard's counts are then complete.
+"""Phrases whose words meet more often than chance, mined level by level from counts of shards.
+
+Method: words of every language are counted, then phrases of two words, of three and so on up to
+``LONGEST``.  At each length a task counts, shard by shard, every phrase whose parts of one word less are
+frequent over all documents, and the counts of all shards are summed.  A shard holds nothing back, so the
+sums are exact and no second pass has to ask the shards for what they did not report: each occurrence
+of a phrase is sent at most once, however many phrases and shards there are.  A shard is at most about
+``SHARD_WORDS`` words of one task, so memory is bounded.
 
 What tasks need to know about all documents reaches them as bitmaps of fixed size, which may let too
 much pass but never too little; only exact counts decide.  Words are compared by 64-bit hashes (with
@@ -24,7 +21,8 @@ texts are read whole.  Only text and lang are read, so other columns cannot clas
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +31,14 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.bloom import bitmap, may_hold
 from jobtide.llm.scratch import written
-from jobtide.llm.texts import LOWER, Texts, mix, pieces, prefix, range_hash, release, sequence_hash, small_batches
+from jobtide.llm.texts import (
+    LOWER, Texts, large_batches, mix, pieces, prefix, range_hash, release, sequence_hash, small_batches,
+)
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
 SHARD_WORDS = 1 << 22
+#: Rows of one batch that leaves a task.
+SENT_ROWS = 1 << 16
 #: Parts of a language that are ranked by themselves before all are ranked.
 SALTS = 64
 UNKNOWN = "und"
@@ -79,17 +81,19 @@ class Piece:
         self.code = code[owner].astype(np.int32) if len(owner) else np.zeros(0, np.int32)
         self.w = _with_language(range_hash(prefix(self.data), self.start, self.end), _whole(languages)[owner])
 
+    def sizes(self) -> dict[str, int]:
+        """The number of words by language."""
+        return dict(zip(self.names.tolist(), np.bincount(self.code, minlength=len(self.names)).tolist()))
+
 
 class Shard:
     """Words of at most about ``SHARD_WORDS`` words of one task, with the number of words by language."""
 
-    def __init__(self, parts: list[Piece]):
-        self.names = sorted({name for p in parts for name in p.names})
-        number = {name: i for i, name in enumerate(self.names)}
-        self.w = np.concatenate([p.w for p in parts])
-        self.joined = np.concatenate([p.joined for p in parts])
-        self.code = np.concatenate([np.array([number[n] for n in p.names], np.int32)[p.code] for p in parts])
-        self.sizes = np.bincount(self.code, minlength=len(self.names))
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, dict[str, int]]]):
+        own = sum((Counter(sizes) for *_, sizes in parts), Counter())
+        self.names, self.sizes = list(own), np.array(list(own.values()), np.int64)
+        self.w = np.concatenate([w for w, *_ in parts])
+        self.joined = np.concatenate([joined for _, joined, _ in parts])
 
     def local_support(self, totals: dict[str, int], support: int) -> np.ndarray:
         """For each language the shard's part of the support, rounded up, at least 1."""
@@ -105,13 +109,14 @@ class Shard:
         return at, sequence_hash([self.w[at + i] for i in range(k)])
 
 
-def shards(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[list[Piece]]:
-    """The pieces of each shard of a task, of about so many words at most."""
+def shards(batches: Iterator[pa.RecordBatch], words: int, keep: Callable[[Piece], object]) -> Iterator[list]:
+    """What is kept of the pieces of each shard of a task, of about so many words at most."""
     held, size = [], 0
     for batch in batches:
         for rows in pieces(batch):
-            held.append(Piece(rows))
-            size += len(held[-1].w)
+            piece = Piece(rows)
+            held.append(keep(piece))
+            size += len(piece.w)
             if size >= words:
                 yield held
                 held, size = [], 0
@@ -131,16 +136,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
             len(at), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(p.data[places])
         )
         lang = pa.array(p.names.tolist(), pa.string()).take(pa.array(p.code[at]))
-        own = np.bincount(p.code, minlength=len(p.names))
+        own = p.sizes()
         return pa.table({
-            "lang": pa.concat_arrays([lang, pa.array(p.names.tolist(), pa.string())]),
+            "lang": pa.concat_arrays([lang, pa.array(list(own), pa.string())]),
             "text": pa.concat_arrays([words.cast(pa.string()), pa.nulls(len(own), pa.string())]),
-            "n": np.concatenate([n, own]),
+            "n": np.concatenate([n, list(own.values())]).astype(np.int64),
         })
 
     def run(batches):
-        for parts in shards(batches, limit):
-            found = pa.concat_tables([of_piece(p) for p in parts]).group_by(["lang", "text"]).aggregate([("n", "sum")])
+        for parts in shards(batches, limit, of_piece):
+            found = pa.concat_tables(parts).group_by(["lang", "text"]).aggregate([("n", "sum")])
             yield from found.select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"]).to_batches()
         release()
 
@@ -160,42 +165,6 @@ def hashed(words: DataFrame) -> DataFrame:
     return words.select("lang", "text", "n").mapInArrow(run, "lang string, text string, n long, w long")
 
 
-def mined(texts: DataFrame, totals: dict[str, int], filters: list[np.ndarray], sizes: range, support: int) -> DataFrame:
-    """Local finds: (key, lang, n, slack) for phrases of the sizes; rows without key have a shard's slack.
-
-    ``filters`` tell of words, and then of phrases of two words and more, which may be frequent.
-    """
-    sent, limit = texts.sparkSession.sparkContext.broadcast((totals, filters)), SHARD_WORDS
-
-    def run(batches):
-        known, bits = sent.value
-        for parts in shards(batches, limit):
-            shard = Shard(parts)
-            parts.clear()
-            least = shard.local_support(known, support)
-            alive = _alive(shard, bits)
-            for k in sizes:
-                at, keys = shard.phrases(alive, k)
-                _, one, of, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                code = shard.code[at[one]]
-                enough = n >= least[code]
-                alive = np.zeros(len(alive), bool)
-                alive[at[enough[of]]] = True
-                yield _finds(keys[one[enough]].view(np.int64), shard, code[enough], n[enough], least)
-            every = np.arange(len(shard.names))
-            yield _finds(pa.nulls(len(every), pa.int64()), shard, every, np.zeros(len(every), np.int64), least)
-        release()
-
-    def _finds(keys, shard, code, n, least):
-        lang = pa.array(shard.names, pa.string()).take(pa.array(code))
-        return pa.RecordBatch.from_arrays(
-            [keys if isinstance(keys, pa.Array) else pa.array(keys), lang, pa.array(n), pa.array(least[code] - 1)],
-            ["key", "lang", "n", "slack"],
-        )
-
-    return texts.mapInArrow(run, "key long, lang string, n long, slack long")
-
-
 def _alive(shard: Shard, bits: list[np.ndarray]) -> np.ndarray:
     """Where phrases start that pass all filters, of as many words as there are filters."""
     alive = may_hold(bits[0], shard.w)
@@ -206,38 +175,48 @@ def _alive(shard: Shard, bits: list[np.ndarray]) -> np.ndarray:
     return alive
 
 
-def candidates(finds: DataFrame, support: int) -> DataFrame:
-    """Keys of finds that may reach the support, by what shards reported and what the others can hold."""
-    whole = finds.where("key is null").groupBy("lang").agg(F.sum("slack").alias("all_slack"))
-    found = finds.where("key is not null").groupBy("key", "lang").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    return found.join(whole, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support).select("key")
-
+def local_counts(texts: DataFrame, filters: list[np.ndarray], k: int) -> DataFrame:
+    """(k, w0 to w4, n): the counts, in each shard, of all phrases of k words whose parts pass the filters.
 
-def counted(texts: DataFrame, filters: list[np.ndarray], wanted: np.ndarray, sizes: range, support: int) -> DataFrame:
-    """(key, k, w0 to w4, n): exact counts of phrases that the filter ``wanted`` lets pass, ``support`` or more."""
-    sent, limit = texts.sparkSession.sparkContext.broadcast((filters, wanted)), SHARD_WORDS
+    ``filters`` tell of words, and then of phrases of two words and more, up to k - 1, which may be frequent.
+    """
+    small_batches(texts.sparkSession)
+    sent, limit = texts.sparkSession.sparkContext.broadcast(filters), SHARD_WORDS
 
     def run(batches):
-        bits, held = sent.value
-        for parts in shards(batches, limit):
+        for parts in shards(batches, limit, lambda p: (p.w, p.joined, p.sizes())):
             shard = Shard(parts)
             parts.clear()
-            alive = _alive(shard, bits)
-            for k in sizes:
-                at, keys = shard.phrases(alive, k)
-                passes = may_hold(held, keys)
-                at, keys = at[passes], keys[passes]
-                alive = np.zeros(len(alive), bool)
-                alive[at] = True
-                _, one, n = np.unique(keys, return_index=True, return_counts=True)
-                words = [shard.w[at[one] + i].view(np.int64) if i < k else np.zeros(len(one), np.int64) for i in range(LONGEST)]
-                columns = [keys[one].view(np.int64), np.full(len(one), k, np.int32), *words, n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "k", *_WORDS, "n"])
+            at, keys = shard.phrases(_alive(shard, sent.value), k)
+            _, one, n = np.unique(keys, return_index=True, return_counts=True)
+            at = at[one]
+            del keys, one
+            for low in range(0, len(at), SENT_ROWS):
+                some = at[low : low + SENT_ROWS]
+                words = [shard.w[some + i].view(np.int64) if i < k else np.zeros(len(some), np.int64) for i in range(LONGEST)]
+                columns = [np.full(len(some), k, np.int32), *words, n[low : low + SENT_ROWS]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", *_WORDS, "n"])
         release()
 
-    schema = f"key long, k int, {', '.join(f'{w} long' for w in _WORDS)}, n long"
-    rows = texts.mapInArrow(run, schema).groupBy("key", "k", *_WORDS).agg(F.sum("n").alias("n"))
-    return rows.where(F.col("n") >= support)
+    return texts.mapInArrow(run, f"k int, {', '.join(f'{w} long' for w in _WORDS)}, n long")
+
+
+def counted(texts: DataFrame, filters: list[np.ndarray], k: int, support: int) -> DataFrame:
+    """(k, w0 to w4, n): exact counts of the phrases of k words that reach the support."""
+    counts = local_counts(texts, filters, k).groupBy("k", *_WORDS).agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") >= support)
+
+
+def phrase_bitmap(phrases: DataFrame, k: int) -> np.ndarray:
+    """The bitmap of phrases of k words, by the hash that shards give them."""
+
+    def run(batches):
+        for batch in batches:
+            key = sequence_hash([c.to_numpy().view(np.uint64) for c in batch.columns])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
+
+    large_batches(phrases.sparkSession)
+    return bitmap(phrases.select(*_WORDS[:k]).mapInArrow(run, "key long"), "key")
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame, dict[str, int]]:
@@ -246,14 +225,12 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     counts = written(word_counts(texts).where((F.col("n") >= support) | F.col("text").isNull()), "phrase-words")
     totals = {r["lang"]: r["n"] for r in counts.where("text is null").collect()}
     words = written(hashed(counts.where("text is not null")), "phrase-hashes")
-    known = [bitmap(words, "w")]
-    found = None
-    for sizes in (range(2, 3), range(3, LONGEST + 1)):
-        finds = written(mined(texts, totals, known, sizes, support), "phrase-finds")
-        wanted = bitmap(candidates(finds, support), "key")
-        exact = written(counted(texts, known, wanted, sizes, support), "phrase-counts")
+    known, found = [bitmap(words, "w")], None
+    for k in range(2, LONGEST + 1):
+        exact = written(counted(texts, known, k, support), "phrase-counts")
         found = exact if found is None else found.unionByName(exact)
-        known = [*known, bitmap(exact, "key")]
+        if k < LONGEST:
+            known = [*known, phrase_bitmap(exact, k)]
     return found.select(F.slice(F.array(*_WORDS), 1, F.col("k")).alias("words"), F.col("n").alias("a")), words, totals
 
 

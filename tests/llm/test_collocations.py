@@ -88,3 +88,33 @@ def test_local_support_adds_up():
             part.names, part.sizes = ["en"], __import__("numpy").array([n])
             least += int(part.local_support({"en": sum(sizes)}, 100)[0]) - 1
         assert least < 100
+
+
+@pytest.mark.parametrize("k", [2, 3, 4, 5])
+def test_rows_from_tasks_grow_as_the_input(spark, documents, monkeypatch, k):
+    """Five times the rows in five times the tasks: a task sends no more rows, though far more phrases are frequent."""
+    monkeypatch.setattr(collocations, "SHARD_WORDS", 400)
+    rng = random.Random(k)
+    text = lambda: " ".join(rng.choice("abcdefgh") for _ in range(50))
+    texts = [(i, text(), "en", "s") for i in range(400)]
+    made = []
+    for times in (1, 5):
+        docs = documents(texts[: 80 * times], parts=4 * times)
+        every = [collocations.np.full(1 << 20, (1 << 64) - 1, collocations.np.uint64)] * (k - 1)
+        counts = collocations.local_counts(docs.select("text", "lang"), every, k)
+        made.append(counts.count())
+        plain = Counter(tuple(r.text.split()[i : i + k]) for r in docs.collect() for i in range(51 - k))
+        found = collocations.counted(docs.select("text", "lang"), every, k, 3).collect()
+        assert sorted(r.n for r in found) == sorted(n for n in plain.values() if n >= 3)
+    assert made[0] <= 80 * (51 - k) and made[1] <= 1.5 * 5 * made[0]
+
+
+def test_texts_are_read_once_a_length(spark, documents, monkeypatch):
+    """No second pass asks the shards for counts of candidates: words, then each length once."""
+    passes = []
+    counts = collocations.local_counts
+    monkeypatch.setattr(collocations, "local_counts", lambda t, f, k: passes.append((k, len(f))) or counts(t, f, k))
+    docs = documents([(i, "a b c d e f", "en", "s") for i in range(9)])
+    phrases, words, totals = collocations.frequent_phrases(docs, 9)
+    assert passes == [(2, 1), (3, 2), (4, 3), (5, 4)] and totals == {"en": 54} and words.count() == 6
+    assert sorted((len(r.words), r.a) for r in phrases.collect()) == sorted((k, 9) for k in range(2, 6) for _ in range(7 - k))
